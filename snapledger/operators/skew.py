@@ -25,7 +25,9 @@ def match_keys(
     """
     if keys_fit:
         return rows.join(F.broadcast(keys), pk)
-    heavy = keys.orderBy(F.desc(weight), F.asc(pk)).limit(HEAVY_KEYS)
+    # Sorting by every column keeps all three uses of ``keys`` alike, so that they share one exchange.
+    rest_columns = [c for c in keys.columns if c not in (weight, pk)]
+    heavy = keys.orderBy(F.desc(weight), F.asc(pk), *rest_columns).limit(HEAVY_KEYS)
     hot = rows.join(F.broadcast(heavy), pk)
     rest = rows.join(F.broadcast(heavy.select(pk)), pk, "left_anti").join(keys, pk)
     return hot.unionByName(rest)

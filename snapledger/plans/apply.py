@@ -30,6 +30,7 @@ from snapledger.operators.changes import (
 )
 from snapledger.operators.keys import active
 from snapledger.operators.quality import detect_errors, error_counts
+from snapledger.sources.rows import no_rows
 
 
 class SchemaMismatch(ValueError):
@@ -202,7 +203,7 @@ def apply_cdc(
     pk = cfg.primary_key_column
     hashed = with_row_hash(src, cfg.hash_nulls)
     if tgt is None:
-        tgt = src.sparkSession.createDataFrame([], target_schema(src.schema, pk))
+        tgt = no_rows(src.sparkSession, target_schema(src.schema, pk))
     check_schema(hashed, tgt.schema, pk)
     slice_ = active(tgt)
     rows = next_rows(hashed, slice_, cfg, run_ts)

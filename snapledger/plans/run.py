@@ -38,6 +38,7 @@ from snapledger.plans.runlog import (
     run_log,
 )
 from snapledger.session import shared_dir
+from snapledger.sources.rows import no_rows, one_row
 from snapledger.sources.staging import read_staging
 from snapledger.sources.store import COUNTERS, VersionStore
 
@@ -202,6 +203,8 @@ def run_entity(
     rows = totals.rows
 
     repeated = changes.where((F.col("cdc_class") == BLOCKED) & (F.col("n_rows") > 1))
+    if not rows.get(BLOCKED):
+        repeated = no_rows(spark, changes.schema)
     errors = detect_errors(
         hashed,
         pk,
@@ -243,7 +246,8 @@ def run_entity(
         - totals.blocked_in_target,
         **found.asDict(),
     }
-    metrics = spark.createDataFrame([tuple(counters[c] for c in COUNTERS)], COUNTERS)
+    schema = ", ".join(f"{c} bigint" for c in COUNTERS)
+    metrics = one_row(spark, schema, tuple(counters[c] for c in COUNTERS))
     store.commit(entity_log_row(metrics, run_id, entity, start, clock()), run_id, entity)
     log.info("entity %s run %s: %s", entity, run_id, counters)
     return counters
@@ -268,7 +272,11 @@ def process(
     limits: Limits = Limits(),
     schemas: dict[str, T.StructType] | None = None,
 ) -> str | None:
-    """Run the entity of one configuration id. Returns a message if it failed, else None."""
+    """Run the entity of one configuration id as part of a run.
+
+    Returns None, or a message if it failed. Then the run is FAILED, the failure is in the error log,
+    and errors that were found in the data stay logged.
+    """
     name = f"config {config_id}"
     try:
         cfg = find_config(configs, config_id)
@@ -279,11 +287,10 @@ def process(
     except Exception as failure:  # any failure of an entity ends up in the log
         log.warning("entity %s failed: %s", name, failure)
         message = json.dumps({"message": str(failure), "config_id": config_id})
-        row = spark.createDataFrame(
-            [(f"{run_id}-{config_id}-{RUNTIME_ERROR}", run_id, name, RUNTIME_ERROR, message, clock())],
-            ERROR_SCHEMA,
-        )
+        error_id = f"{run_id}-{config_id}-{RUNTIME_ERROR}"
+        row = one_row(spark, ERROR_SCHEMA, (error_id, run_id, name, RUNTIME_ERROR, message, clock()))
         store.append_errors(run_id, name, row, part="runtime")
+        store.append_event(run_id, 1, FAILED, clock())
         return str(failure)
 
 
@@ -321,7 +328,7 @@ def run(
                 break
     failed = bool(failures) or (not chosen and on_no_config == "failed")
     status = FAILED if failed else COMPLETED
-    store.append_event(run_id, 1, status, clock())
+    store.append_event(run_id, 2, status, clock())
     return RunResult(run_id, status, failures)
 
 

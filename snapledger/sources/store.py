@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from snapledger.operators.quality import ERROR_SCHEMA
 from snapledger.sources import fs
+from snapledger.sources.rows import no_rows, one_row
 
 COUNTERS = [
     "rows_inserted",
@@ -72,7 +73,7 @@ class VersionStore:
     def _read_log(self, name: str, schema: str) -> DataFrame:
         path = self._log(name)
         if not fs.exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     # logs
@@ -91,8 +92,8 @@ class VersionStore:
         return fs.create_new(self.spark, f"{self.root}/runs/{run_id}")
 
     def append_event(self, run_id: int, seq: int, status: str, ts: datetime) -> None:
-        row = self.spark.createDataFrame([(run_id, seq, status, ts)], RUN_EVENT_SCHEMA)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self._log('run_events')}/{run_id}-{seq}")
+        row = one_row(self.spark, RUN_EVENT_SCHEMA, (run_id, seq, status, ts))
+        row.write.mode("overwrite").parquet(f"{self._log('run_events')}/{run_id}-{seq}")
 
     def append_errors(self, run_id: int, entity: str, errors: DataFrame, part: str = "rows") -> DataFrame:
         """Write the error rows of one run and entity and return them as stored. A retry replaces
@@ -103,7 +104,7 @@ class VersionStore:
 
     def commit(self, entity_log_row: DataFrame, run_id: int, entity: str) -> None:
         path = f"{self._log('entity_log')}/{run_id}/{quote(entity, safe='')}"
-        entity_log_row.coalesce(1).write.mode("overwrite").parquet(path)
+        entity_log_row.write.mode("overwrite").parquet(path)
 
     def committed_runs(self, entity: str) -> list[int]:
         """Run ids in ascending order; one per run of the entity."""
@@ -125,7 +126,7 @@ class VersionStore:
     def _read_slices(self, paths: list[str], active: bool, schema: T.StructType) -> DataFrame:
         paths = [p for p in paths if fs.exists(self.spark, p)]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         stored = T.StructType([f for f in schema if f.name != "is_active"])
         rows = self.spark.read.schema(stored).parquet(*paths)
         return rows.withColumn("is_active", F.lit(active)).select(*schema.fieldNames())

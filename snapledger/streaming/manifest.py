@@ -16,6 +16,7 @@ from snapledger.config import EntityConfig
 from snapledger.plans.run import COMPLETED, Clock, Limits, RunResult, run, utc_now
 from snapledger.session import shared_dir
 from snapledger.sources import fs
+from snapledger.sources.rows import one_row
 from snapledger.sources.store import VersionStore
 
 MANIFEST_SCHEMA = "snapshot_id bigint, entity_name string, path string"
@@ -23,8 +24,8 @@ MANIFEST_SCHEMA = "snapshot_id bigint, entity_name string, path string"
 
 def announce(spark: SparkSession, manifest_dir: str, snapshot_id: int, entity_name: str, path: str) -> None:
     """Add the manifest row of a finished snapshot directory."""
-    row = spark.createDataFrame([(snapshot_id, entity_name, path)], MANIFEST_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(manifest_dir)
+    row = one_row(spark, MANIFEST_SCHEMA, (snapshot_id, entity_name, path))
+    row.write.mode("append").parquet(manifest_dir)
 
 
 def consume(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpoint: str) -> int:
