@@ -2,8 +2,7 @@
 
 from snapledger.config import EntityConfig, load_configs
 from snapledger.functions.hashing import with_row_hash
-from snapledger.operators.changes import CdcResult
-from snapledger.plans.apply import apply_cdc
+from snapledger.plans.apply import CdcResult, apply_cdc
 from snapledger.plans.run import run, run_entity
 from snapledger.sources.store import VersionStore
 

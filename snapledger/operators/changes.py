@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,16 +12,6 @@ from snapledger.operators.keys import active, key_summary, unique_rows
 INSERT, UPDATE, UNCHANGED, DELETE, BLOCKED = "I", "U", "N", "D", "BLOCKED"
 
 
-@dataclass(frozen=True)
-class CdcResult:
-    """Lazy outcome of one comparison. ``metrics`` is one row with the seven counters."""
-
-    target: DataFrame
-    changes: DataFrame
-    errors: DataFrame
-    metrics: DataFrame
-
-
 def _old_hash(tgt: DataFrame, pk: str) -> DataFrame:
     return active(tgt).select(pk, F.col("row_hash").alias("old_hash"))
 

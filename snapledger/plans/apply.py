@@ -6,6 +6,9 @@ into the zero to two target rows its class asks for. There is one exchange per s
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +27,6 @@ from snapledger.operators.changes import (
     INSERT,
     UNCHANGED,
     UPDATE,
-    CdcResult,
     change_class,
     classify,
 )
@@ -188,6 +190,47 @@ def run_metrics(changes: DataFrame, errors: DataFrame) -> DataFrame:
     ).drop("_one")
 
 
+@dataclass(frozen=True)
+class CdcResult:
+    """Outcome of one comparison as lazy frames; each is planned when it is first asked for."""
+
+    hashed: DataFrame
+    previous: DataFrame
+    cfg: EntityConfig
+    run_ts: object
+    run_id: int
+
+    @cached_property
+    def target(self) -> DataFrame:
+        """The next state of the whole target, closed history included."""
+        rows = next_rows(self.hashed, active(self.previous), self.cfg, self.run_ts)
+        return rows.unionByName(self.previous.where(~F.col("is_active")))
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        """Every key with its class."""
+        pk = self.cfg.primary_key_column
+        return classify(self.hashed, self.previous, pk).drop("old_end_ts")
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        """Error rows in the form of the error log."""
+        cfg = self.cfg
+        return detect_errors(
+            self.hashed,
+            cfg.primary_key_column,
+            self.run_id,
+            cfg.entity_name,
+            self.run_ts,
+            cfg.dup_includes_empty_key,
+        )
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """One row with the seven counters."""
+        return run_metrics(self.changes, self.errors)
+
+
 def apply_cdc(
     src: DataFrame,
     tgt: DataFrame | None,
@@ -205,14 +248,4 @@ def apply_cdc(
     if tgt is None:
         tgt = no_rows(src.sparkSession, target_schema(src.schema, pk))
     check_schema(hashed, tgt.schema, pk)
-    slice_ = active(tgt)
-    rows = next_rows(hashed, slice_, cfg, run_ts)
-    changes = classify(hashed, tgt, pk)
-    errors = detect_errors(hashed, pk, run_id, cfg.entity_name, run_ts, cfg.dup_includes_empty_key)
-    closed = tgt.where(~F.col("is_active"))
-    return CdcResult(
-        target=rows.unionByName(closed),
-        changes=changes.select(pk, "cdc_class", "n_rows", "is_conflict", "in_target"),
-        errors=errors,
-        metrics=run_metrics(changes, errors),
-    )
+    return CdcResult(hashed, tgt, cfg, run_ts, run_id)

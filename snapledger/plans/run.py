@@ -34,7 +34,6 @@ from snapledger.plans.runlog import (
     FAILED,
     RUNNING,
     entity_log_row,
-    next_run_id,
     run_log,
 )
 from snapledger.session import shared_dir
@@ -76,6 +75,7 @@ class _Totals:
     rows: dict[str, int]
     key_bytes: dict[str, int]
     blocked_in_target: int
+    active_before: int
 
     def few(self, limits: Limits, *classes: str) -> bool:
         return (
@@ -84,25 +84,27 @@ class _Totals:
         )
 
 
-def _totals(changes: DataFrame, pk: str) -> _Totals:
-    """Row and byte counts per class; at most one result row per class and side."""
-    counted = (
-        changes.groupBy("cdc_class", "in_target")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.octet_length(F.col(pk).cast("string"))), F.lit(0)).alias("bytes"),
-        )
-        .collect()
+def _totals(changes: DataFrame, slice_: DataFrame, pk: str) -> _Totals:
+    """Row and byte counts per class, and the size of the active slice, in one small job. There is
+    at most one result row per class and side."""
+    size = F.coalesce(F.sum(F.octet_length(F.col(pk).cast("string"))), F.lit(0)).cast("long")
+    n = F.count(F.lit(1)).alias("n")
+    per_class = changes.groupBy("cdc_class", "in_target").agg(n, size.alias("bytes"))
+    before = slice_.agg(n).select(
+        F.lit(None).cast("string").alias("cdc_class"), F.lit(True).alias("in_target"), "n", F.lit(0).cast("long").alias("bytes")
     )
     rows: dict[str, int] = {}
     key_bytes: dict[str, int] = {}
-    blocked = 0
-    for r in counted:
+    blocked = active_before = 0
+    for r in per_class.unionByName(before).collect():
+        if r.cdc_class is None:
+            active_before = r.n
+            continue
         rows[r.cdc_class] = rows.get(r.cdc_class, 0) + r.n
         key_bytes[r.cdc_class] = key_bytes.get(r.cdc_class, 0) + r.bytes
         if r.cdc_class == BLOCKED and r.in_target:
             blocked += r.n
-    return _Totals(rows, key_bytes, blocked)
+    return _Totals(rows, key_bytes, blocked, active_before)
 
 
 def changed_rows(
@@ -199,7 +201,7 @@ def run_entity(
     changes = store.write_changes(
         entity, run_id, classify(hashed, slice_, pk).where(F.col("cdc_class") != UNCHANGED)
     )
-    totals = _totals(changes, pk)
+    totals = _totals(changes, slice_, pk)
     rows = totals.rows
 
     repeated = changes.where((F.col("cdc_class") == BLOCKED) & (F.col("n_rows") > 1))
@@ -221,7 +223,6 @@ def run_entity(
         raise EntityFailure(f"entity {entity} stops on errors: {json.dumps(found.asDict())}")
 
     moved = rows.get(INSERT, 0) + rows.get(UPDATE, 0) + rows.get(DELETE, 0)
-    active_before = slice_.count()
     if moved:
         change = changes.where(F.col("cdc_class").isin(INSERT, UPDATE, DELETE))
         stamps = None
@@ -240,7 +241,7 @@ def run_entity(
         "rows_inserted": rows.get(INSERT, 0),
         "rows_updated": rows.get(UPDATE, 0),
         "rows_deleted": rows.get(DELETE, 0),
-        "rows_unchanged": active_before
+        "rows_unchanged": totals.active_before
         - rows.get(UPDATE, 0)
         - rows.get(DELETE, 0)
         - totals.blocked_in_target,
@@ -255,7 +256,7 @@ def run_entity(
 
 def claim_run_id(store: VersionStore) -> int:
     """Take the next free run id. Two concurrent runs cannot take the same one."""
-    run_id = next_run_id(store.run_events()).first().next_run_id
+    run_id = max(store.claimed_runs(), default=0) + 1
     while not store.claim_run(run_id):
         run_id += 1
     return run_id

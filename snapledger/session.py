@@ -15,6 +15,8 @@ SETTINGS = {
     # Versions are written split by is_active. With open writers for both values a task needs no
     # sort of its rows before the write.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # Collecting a Python stack trace per column expression costs more than planning a small run.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -57,6 +57,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target))
 
 
+def match(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, target = _resolve(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

@@ -107,9 +107,13 @@ class VersionStore:
         entity_log_row.write.mode("overwrite").parquet(path)
 
     def committed_runs(self, entity: str) -> list[int]:
-        """Run ids in ascending order; one per run of the entity."""
-        rows = self.entity_log().where(F.col("entity_name") == entity).select("run_id").collect()
-        return sorted(r.run_id for r in rows)
+        """Run ids in ascending order; one per run of the entity. A commit record appears under its
+        final name only when its write is complete, so the file listing is enough."""
+        found = fs.match(self.spark, f"{self._log('entity_log')}/*/{quote(entity, safe='')}/part-*")
+        return sorted({int(path.split("/")[-3]) for path in found})
+
+    def claimed_runs(self) -> list[int]:
+        return sorted(int(n) for n in fs.list_names(self.spark, f"{self.root}/runs"))
 
     # targets
 

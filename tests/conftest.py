@@ -19,7 +19,8 @@ def spark():
         "local[8]",
         "snapledger-tests",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
