@@ -71,22 +71,35 @@ def compare_runs(log_a: DataFrame, log_b: DataFrame, labels: tuple[str, str] = (
 
 def reconcile(src: DataFrame, tgt: DataFrame, columns: list[str], both_ways: bool = False) -> DataFrame:
     """Row counts of snapshot and active target, and the number of distinct snapshot rows that the
-    active target lacks. ``both_ways`` adds the count of the opposite difference."""
-    def counted(label: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(label).alias("source"), "row_count")
-
-    new, old = src.select(*columns), active(tgt).select(*columns)
-    parts = [
-        counted("STAGING", src),
-        counted("TARGET", active(tgt)),
-        counted("DIFFERENCES", new.subtract(old)),
-    ]
+    active target lacks. ``both_ways`` adds the count of the opposite difference.
+
+    One grouping by contents answers all of it. NULLs compare as equal there, as in a set difference,
+    and copies are folded before the shuffle.
+    """
+    def side(df: DataFrame, new: int) -> DataFrame:
+        one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+        return df.select(*columns, (one if new else zero).alias("_new"), (zero if new else one).alias("_old"))
+
+    contents = (
+        side(src, 1)
+        .unionByName(side(active(tgt), 0))
+        .groupBy(*columns)
+        .agg(F.sum("_new").alias("_new"), F.sum("_old").alias("_old"))
+    )
+    new, old = F.col("_new"), F.col("_old")
+    counts = {
+        "STAGING": F.coalesce(F.sum(new), F.lit(0)),
+        "TARGET": F.coalesce(F.sum(old), F.lit(0)),
+        "DIFFERENCES": F.count_if((new > 0) & (old == 0)),
+    }
     if both_ways:
-        parts.append(counted("DIFFERENCES_REVERSE", old.subtract(new)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        counts["DIFFERENCES_REVERSE"] = F.count_if((old > 0) & (new == 0))
+    totals = contents.agg(*[c.cast("long").alias(name) for name, c in counts.items()])
+    return totals.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(n).alias("source"), F.col(n).alias("row_count")) for n in counts])
+        ).alias("r")
+    ).select("r.*")
 
 
 def check(name: str, df: DataFrame, value: Column, expected: Column | None = None, label: str = "value") -> DataFrame:

@@ -33,6 +33,27 @@ def match_keys(
     return hot.unionByName(rest)
 
 
+def flag_keys(rows: DataFrame, keys: DataFrame, pk: str, flag: str) -> DataFrame:
+    """``rows`` with a flag that says whether their key is in ``keys`` (its only column, named as
+    ``pk``). Rows without a key are in no join at all, and rows of the heaviest keys only in a
+    broadcast join; the others are joined by a shuffle."""
+    listed = keys.where(F.col(pk).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    known = rows.where(F.col(pk).isNotNull())
+    heavy = (
+        known.groupBy(pk)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.desc("_n"), F.asc(pk))
+        .limit(HEAVY_KEYS)
+        .select(pk)
+    )
+    heavy_flags = heavy.join(listed, pk, "left")
+    hot = known.join(F.broadcast(heavy_flags), pk)
+    rest = known.join(F.broadcast(heavy), pk, "left_anti").join(listed, pk, "left")
+    keyless = rows.where(F.col(pk).isNull()).withColumn(flag, F.lit(False))
+    marked = hot.unionByName(rest).withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return marked.unionByName(keyless).select(*rows.columns, flag)
+
+
 def count_copies(rows: DataFrame, name: str = "copies") -> DataFrame:
     """Equal rows folded into one with their number. The map side folds most of a hot group."""
     return rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias(name))

@@ -53,10 +53,12 @@ class EntityFailure(RuntimeError):
 
 @dataclass(frozen=True)
 class Limits:
-    """Most rows and key bytes of a key table that may be broadcast."""
+    """Most rows and key bytes of a key table that may be broadcast, and the largest share of the
+    active rows that may change for a broadcast to pay off."""
 
     rows: int = 1_000_000
     key_bytes: int = 64 * 1024 * 1024
+    share: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -228,8 +230,10 @@ def run_entity(
         stamps = None
         if cfg.distinct_update_ts and rows.get(UPDATE):
             stamps = update_ts(change.where(F.col("cdc_class") == UPDATE), pk, start, tie_break=True)
-        narrow = totals.few(limits, INSERT, UPDATE, DELETE) and not (
-            absent and cfg.update_strategy == "OVERWRITE"
+        narrow = (
+            totals.few(limits, INSERT, UPDATE, DELETE)
+            and moved <= limits.share * totals.active_before
+            and not (absent and cfg.update_strategy == "OVERWRITE")
         )
         if narrow:
             version = changed_rows(src, slice_, change, cfg, start, stamps)

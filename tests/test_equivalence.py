@@ -17,6 +17,7 @@ from snapledger.sources.store import VersionStore
 from datetime import datetime
 
 PAIRS = [(u, d) for u in ("HISTORY", "OVERWRITE") for d in ("SOFT", "HARD")]
+BROADCAST, JOINED = Limits(share=100.0), Limits(rows=0, key_bytes=0)
 EARLIER, NOW = "2026-01-01 00:00:00", "2026-01-02 00:00:00"
 
 
@@ -92,7 +93,7 @@ def test_stored_runs_agree_whatever_the_size_limits(spark, tmp_path, update, del
     """Three snapshots through the store: broadcast only, joins only."""
     cfg = EntityConfig(1, "E", "s", "t", "pk", delete_strategy=delete, update_strategy=update)
     outcomes = []
-    for limits in (Limits(), Limits(rows=0, key_bytes=0)):
+    for limits in (BROADCAST, JOINED):
         store = VersionStore(spark, str(tmp_path / uuid.uuid4().hex))
         counters = []
         for day, seed in enumerate((21, 22, 23), start=1):

@@ -9,6 +9,7 @@ from snapledger.operators.reports import latest_run
 from snapledger.plans.run import Limits, claim_run_id, run, run_entity, stored_run_log
 
 SCHEMA = "id string, v string"
+BROADCAST, JOINED = Limits(share=100.0), Limits(rows=0, key_bytes=0)
 
 
 def cfg(config_id=1, name="A", **over):
@@ -129,7 +130,7 @@ def test_run_without_configs(spark, store, mode, status):
 def test_failed_entity_keeps_its_errors_and_publishes_nothing(spark, store):
     limited = cfg(length_limits={"v": 3})
     run(spark, store, [limited], snapshots(spark, A=[("1", "abc")]))
-    for limits in (Limits(), Limits(rows=0, key_bytes=0)):
+    for limits in (BROADCAST, JOINED):
         bad = snapshots(spark, A=[("1", "abcd"), ("2", "x"), ("2", "x"), (None, "y")])
         result = run(spark, store, [limited], bad, limits=limits)
         assert result.status == "FAILED" and "longer than 3" in result.failures["A"]
@@ -188,7 +189,7 @@ def test_new_staging_column_fails_and_missing_one_becomes_null(spark, store):
 def test_overwrite_keeps_columns_the_snapshot_lacks(spark, store):
     over = cfg(update_strategy="OVERWRITE")
     run(spark, store, [over], snapshots(spark, A=[("1", "a")]))
-    for limits in (Limits(), Limits(rows=0, key_bytes=0)):
+    for limits in (BROADCAST, JOINED):
         narrower = spark.createDataFrame([("1",)], "id string")
         assert run(spark, store, [over], lambda s, n: narrower, limits=limits).status == "COMPLETED"
         assert [(r.id, r.v, r.is_active) for r in store.read_target("A").collect()] == [("1", "a", True)]
@@ -205,7 +206,7 @@ def test_declared_target_types_are_kept(spark, store):
     assert run(spark, store, [cfg()], lambda s, n: bad, schemas={"A": declared}).status == "FAILED"
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(rows=0, key_bytes=0)])
+@pytest.mark.parametrize("limits", [BROADCAST, JOINED])
 def test_distinct_update_times(spark, store, limits):
     one = cfg(distinct_update_ts=True)
     run_entity(spark, store, one, spark.createDataFrame([(f"{i:02d}", "a") for i in range(20)], SCHEMA), 1, lambda: datetime(2026, 1, 1), limits)

@@ -49,3 +49,17 @@ def test_append_load_keeps_faulty_rows(spark):
     first = spark.createDataFrame([("1", "John Doe", "Arnhem"), ("2", "Jane Doe", "Arnhem")], schema)
     second = spark.createDataFrame([("2", "Jane de Wit", "Maastricht"), ("", "Emma Ptykee", "Rotterdam")], schema)
     assert [r.id for r in corrections.append_load([first, second], "id").collect()] == ["", "1", "2", "2"]
+
+
+def test_flags_with_heavy_and_missing_keys(spark, monkeypatch):
+    from snapledger.operators import skew
+
+    rows = spark.range(600).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', id % 10) end as id", "id as v"
+    )
+    listed = spark.createDataFrame([("hot",), ("k1",), ("k1",), (None,), ("none",)], "id string")
+    for heavy in (1, 3, 1024):
+        monkeypatch.setattr(skew, "HEAVY_KEYS", heavy)
+        out = skew.flag_keys(rows, listed, "id", "hit")
+        assert out.count() == 600
+        assert out.where("hit <> coalesce(id in ('hot', 'k1'), false)").isEmpty()
