@@ -176,18 +176,15 @@ def next_rows(
 
 def run_metrics(changes: DataFrame, errors: DataFrame) -> DataFrame:
     """One row with the seven counters of an entity run."""
-    def keys(cls: str) -> Column:
-        return F.coalesce(F.count_if(F.col("cdc_class") == cls), F.lit(0)).cast("long")
-
-    counted = changes.agg(
-        keys(INSERT).alias("rows_inserted"),
-        keys(UPDATE).alias("rows_updated"),
-        keys(DELETE).alias("rows_deleted"),
-        keys(UNCHANGED).alias("rows_unchanged"),
-    )
-    return counted.withColumn("_one", F.lit(1)).join(
-        F.broadcast(error_counts(errors).withColumn("_one", F.lit(1))), "_one"
-    ).drop("_one")
+    classes = {
+        "rows_inserted": INSERT,
+        "rows_updated": UPDATE,
+        "rows_deleted": DELETE,
+        "rows_unchanged": UNCHANGED,
+    }
+    counted = changes.agg(*[F.count_if(F.col("cdc_class") == c).alias(n) for n, c in classes.items()])
+    both = counted.unionByName(error_counts(errors), allowMissingColumns=True)
+    return both.agg(*[F.max(c).cast("long").alias(c) for c in both.columns])
 
 
 @dataclass(frozen=True)

@@ -236,10 +236,10 @@ def oracle_sql() -> dict[str, str]:
         f"WHERE end_ts IS NULL OR end_ts <> timestamp '{LOADED_TS}'"
     )
     sql["snk02_append_errors"] = (
-        f"WITH {ORDER_SETS}, {ALL_ERRORS} SELECT 2 AS run_id, 'Order' AS entity_name, error_code, order_key, row_hash, count(*) AS n "
+        f"WITH {ORDER_SETS}, {ALL_ERRORS} SELECT 2::bigint AS run_id, 'Order' AS entity_name, error_code, order_key, row_hash, count(*) AS n "
         "FROM errors GROUP BY ALL"
     )
-    sql["snk03_reset"] = f"WITH {ORDERS} SELECT (SELECT count(*) FROM before) AS rows_before, 0 AS rows_after"
+    sql["snk03_reset"] = f"WITH {ORDERS} SELECT (SELECT count(*) FROM before) AS rows_before, 0::bigint AS rows_after"
     sql["snk04_append_load"] = f"WITH {ORDERS} SELECT {B} FROM (SELECT * FROM before UNION ALL SELECT * FROM delivered)"
     in_debt = "o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
     sql["snk06_patch_snapshot"] = (
@@ -283,7 +283,7 @@ def oracle_sql() -> dict[str, str]:
     sql["dq03_key_errors"] = with_orders(f"SELECT {B}, row_hash FROM key_err")
     sql["dq04_error_row"] = with_orders(f"SELECT {order_json()} AS error_row FROM key_err")
     sql["dq05_detect_errors"] = (
-        f"WITH {ORDER_SETS}, {ALL_ERRORS} SELECT 1 AS run_id, 'Order' AS entity_name, error_code, "
+        f"WITH {ORDER_SETS}, {ALL_ERRORS} SELECT 1::bigint AS run_id, 'Order' AS entity_name, error_code, "
         f"'{RUN_TS}' AS occured_at, order_key, row_hash FROM errors"
     )
     sql["dq06_error_counts"] = with_orders(
@@ -292,7 +292,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["dq07_length_violations"] = "SELECT doc_id, lang, source, n_chars FROM documents WHERE length(text) > 2000 OR length(source) > 8"
     sql["dq09_error_strategy_stop"] = (
-        f"WITH {ORDERS} SELECT 2 AS run_id, 'FAILED' AS status, (SELECT count(*) FROM before) AS target_rows"
+        f"WITH {ORDERS} SELECT 2::bigint AS run_id, 'FAILED' AS status, (SELECT count(*) FROM before) AS target_rows"
     )
 
     # changes
@@ -345,7 +345,7 @@ def oracle_sql() -> dict[str, str]:
           (SELECT l.status FROM e l WHERE l.run_id = e.run_id ORDER BY l.seq DESC LIMIT 1) AS status
         FROM e GROUP BY run_id"""
     sql["l03_entity_log_row"] = with_orders(
-        f"SELECT 7 AS run_id, '{RUN_TS}' AS start_ts, '{RUN_TS}' AS end_ts, 'Order' AS entity_name, {counters()}"
+        f"SELECT 7::bigint AS run_id, '{RUN_TS}' AS start_ts, '{RUN_TS}' AS end_ts, 'Order' AS entity_name, {counters()}"
     )
     sql["l04_rollup_run"] = """
         SELECT l_orderkey AS run_id, count(*) FILTER (l_linestatus = 'O') AS rows_inserted,
@@ -354,19 +354,19 @@ def oracle_sql() -> dict[str, str]:
           count(*) FILTER (l_quantity < 5) AS duplicate_updates, count(*) FILTER (l_linenumber > 5) AS key_errors
         FROM lineitem GROUP BY l_orderkey"""
     sql["l05_failed_entity"] = (
-        f"WITH {ORDERS} SELECT 2 AS run_id, 'FAILED' AS status, (SELECT count(*) FROM before) AS target_rows, "
-        "0 AS entity_log_rows, 1 AS runtime_errors"
+        f"WITH {ORDERS} SELECT 2::bigint AS run_id, 'FAILED' AS status, (SELECT count(*) FROM before) AS target_rows, "
+        "0::bigint AS entity_log_rows, 1::bigint AS runtime_errors"
     )
     both = ORDER_SETS + "," + CUSTOMERS + "," + sets("c_staging", "c_target", "customer_key", "c_")
     sql["l07_run_two_entities"] = f"""
         WITH {both}
-        SELECT 1 AS run_id, 'Order' AS entity_name, {first_load('before')}
+        SELECT 1::bigint AS run_id, 'Order' AS entity_name, {first_load('before')}
         UNION ALL SELECT 1, 'Customer', {first_load('c_before')}
         UNION ALL SELECT 2, 'Order', {counters()}
         UNION ALL SELECT 2, 'Customer', {counters('c_')}"""
     sql["l07_run_log"] = f"""
         WITH {both}, entity AS (
-        SELECT 1 AS run_id, {first_load('before')}
+        SELECT 1::bigint AS run_id, {first_load('before')}
         UNION ALL SELECT 1, {first_load('c_before')}
         UNION ALL SELECT 2, {counters()}
         UNION ALL SELECT 2, {counters('c_')})
@@ -425,5 +425,5 @@ def oracle_sql() -> dict[str, str]:
           (SELECT min(n) < 0 AND max(n) > 0 FROM net k WHERE k.lang = each.lang AND k.n <> 0) AS is_update, sha256(lang) AS row_id FROM each"""
     sql["s02_stream_cdc"] = f"""
         WITH {ORDER_SETS}
-        SELECT 1 AS run_id, {first_load('before')} UNION ALL SELECT 2, {counters()}"""
+        SELECT 1::bigint AS run_id, {first_load('before')} UNION ALL SELECT 2, {counters()}"""
     return sql

@@ -114,36 +114,44 @@ def append_errors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def size(df: DataFrame) -> int:
+    return df.agg(F.count(F.lit(1))).first()[0]
+
+
+def with_counts(df: DataFrame, **counted: int):
+    return df.select("*", *[F.lit(n).cast("long").alias(name) for name, n in counted.items()])
+
+
 def reset(spark: SparkSession, sf: str) -> DataFrame:
     store = VersionStore(spark, new_dir(spark, "store"))
     load = lambda s, name: w.orders_before(s, sf)
     runs.run(spark, store, [w.orders_config()], load, clock=fixed(w.LOADED_TS))
-    before = store.read_target("Order").agg(F.count(F.lit(1)).alias("rows_before")).first().rows_before
+    before = size(store.read_target("Order"))
     store.reset("Order")
     known = store.schema("Order")
-    after = 0 if known is None else store.read_target("Order").count()
-    return store.entity_log().agg((F.count(F.lit(1)) + after).alias("rows_after")).select(
-        F.lit(before).alias("rows_before"), "rows_after"
-    )
+    after = 0 if known is None else size(store.read_target("Order"))
+    left = store.entity_log().agg(F.count(F.lit(1)).alias("log_rows"))
+    return with_counts(left, rows_before=before, rows_after=after).where("log_rows = 0").drop("log_rows")
+
+
+def last_run(store: VersionStore) -> DataFrame:
+    return reports.latest_run(runs.stored_run_log(store)).select("run_id", "status")
 
 
 def error_strategy_stop(spark: SparkSession, sf: str) -> DataFrame:
     store = two_runs(spark, sf, [w.orders_config()], [w.orders_config(error_strategy="STOP")])
-    rows = store.read_target("Order").agg(F.count(F.lit(1)).alias("target_rows"))
-    last = reports.latest_run(runs.stored_run_log(store)).select("run_id", "status")
-    return last.join(F.broadcast(rows), F.lit(True))
+    return with_counts(last_run(store), target_rows=size(store.read_target("Order")))
 
 
 def failed_entity(spark: SparkSession, sf: str) -> DataFrame:
     store = two_runs(spark, sf, [w.orders_config()], broken=True)
-    last = reports.latest_run(runs.stored_run_log(store)).select("run_id", "status")
     second = F.col("run_id") == 2
-    rows = store.read_target("Order").agg(F.count(F.lit(1)).alias("target_rows"))
-    logged = reports.count_where(store.entity_log(), second, "entity_log_rows")
-    failed = reports.count_where(store.error_log(), second & (F.col("error_code") == quality.RUNTIME_ERROR), "runtime_errors")
-    for one in (rows, logged, failed):
-        last = last.join(F.broadcast(one), F.lit(True))
-    return last
+    return with_counts(
+        last_run(store),
+        target_rows=size(store.read_target("Order")),
+        entity_log_rows=size(store.entity_log().where(second)),
+        runtime_errors=size(store.error_log().where(second & (F.col("error_code") == quality.RUNTIME_ERROR))),
+    )
 
 
 def run_two_entities(spark: SparkSession, sf: str) -> DataFrame:
