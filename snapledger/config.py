@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapledger.functions.columns import find_column
+
 CONFIG_SCHEMA = T.StructType(
     [
         T.StructField("config_id", T.LongType(), False),
@@ -80,6 +82,14 @@ class EntityConfig:
         return self
 
 
+def with_key_of(cfg: EntityConfig, columns: list[str]) -> EntityConfig:
+    """The configuration with its key spelled as in the data."""
+    key = find_column(columns, cfg.primary_key_column)
+    if key is None:
+        raise ConfigError(f"entity {cfg.entity_name}: no key column {cfg.primary_key_column}")
+    return replace(cfg, primary_key_column=key)
+
+
 def load_configs(config_table: DataFrame) -> list[EntityConfig]:
     """Active configurations in order of their id. The table holds one row per entity."""
     defaults = {

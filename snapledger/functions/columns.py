@@ -24,6 +24,16 @@ def business_columns(df: DataFrame, pk: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in reserved]
 
 
+def find_column(names: list[str], wanted: str) -> str | None:
+    """The name as it is spelled in ``names``; upper and lower case do not matter."""
+    return next((n for n in names if n.lower() == wanted.lower()), None)
+
+
+def spelled_like(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with its columns spelled as in ``names`` where they are the same but for case."""
+    return df.toDF(*[find_column(names, c) or c for c in df.columns])
+
+
 def key_text(pk: str) -> Column:
     """The key as text. Without the cast a numeric key cannot be compared with ``''``."""
     return F.col(pk).cast("string")

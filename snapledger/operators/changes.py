@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapledger.functions.columns import key_text, ts_literal
 from snapledger.operators.keys import active, key_summary, unique_rows
+from snapledger.session import shared_dir
 
 # The classes a key can fall into.
 INSERT, UPDATE, UNCHANGED, DELETE, BLOCKED = "I", "U", "N", "D", "BLOCKED"
@@ -107,6 +108,7 @@ def update_ts(updates: DataFrame, pk: str, run_ts, tie_break: bool = False) -> D
     """
     if not tie_break:
         return updates.withColumn("update_ts", ts_literal(run_ts))
+    shared_dir(updates.sparkSession)
     ordered = (
         updates.withColumn("_k", key_text(pk))
         .repartitionByRange(F.col("_k"))

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.config import EntityConfig
+from snapledger.config import EntityConfig, with_key_of
 from snapledger.functions.columns import (
     CONTROL_COLUMNS,
     business_columns,
+    spelled_like,
     target_schema,
     ts_literal,
 )
@@ -29,6 +30,7 @@ from snapledger.operators.changes import (
     UPDATE,
     change_class,
     classify,
+    update_ts,
 )
 from snapledger.operators.keys import active
 from snapledger.operators.quality import detect_errors, error_counts
@@ -121,7 +123,7 @@ def next_rows(
     check_schema(src, target, pk)
     business = business_columns(src, pk)
     ts = ts_literal(run_ts)
-    update_ts = ts
+    updated_at = ts
 
     new = (
         src.where(F.col(pk).isNotNull())
@@ -142,7 +144,7 @@ def next_rows(
 
     if update_stamps is not None:
         joined = joined.join(update_stamps.select(pk, "update_ts"), pk, "left")
-        update_ts = F.col("update_ts")
+        updated_at = F.col("update_ts")
 
     def from_new(name: str) -> Column:
         return F.col(pk) if name == pk else F.col(f"s.{name}")
@@ -158,10 +160,10 @@ def next_rows(
     kept = F.struct(*[from_old(f.name).cast(f.dataType).alias(f.name) for f in target])
     if cfg.update_strategy == "HISTORY":
         updated = F.array(
-            F.struct(*closed_version(target, from_old, update_ts)), opened("U", update_ts)
+            F.struct(*closed_version(target, from_old, updated_at)), opened("U", updated_at)
         )
     else:
-        updated = F.array(opened("U", update_ts, end_ts=F.col("t.end_ts"), kept=from_old))
+        updated = F.array(opened("U", updated_at, end_ts=F.col("t.end_ts"), kept=from_old))
     rows = F.when(F.col("cdc_class") == INSERT, F.array(opened("I", ts))).when(
         F.col("cdc_class") == UPDATE, updated
     )
@@ -200,7 +202,11 @@ class CdcResult:
     @cached_property
     def target(self) -> DataFrame:
         """The next state of the whole target, closed history included."""
-        rows = next_rows(self.hashed, active(self.previous), self.cfg, self.run_ts)
+        cfg, stamps = self.cfg, None
+        if cfg.distinct_update_ts:
+            updates = self.changes.where(F.col("cdc_class") == UPDATE)
+            stamps = update_ts(updates, cfg.primary_key_column, self.run_ts, tie_break=True)
+        rows = next_rows(self.hashed, active(self.previous), cfg, self.run_ts, stamps)
         return rows.unionByName(self.previous.where(~F.col("is_active")))
 
     @cached_property
@@ -239,8 +245,10 @@ def apply_cdc(
 
     ``tgt`` is None for a first load. Nothing is computed or written here.
     """
-    cfg.validate()
+    cfg = with_key_of(cfg.validate(), src.columns if tgt is None else tgt.columns)
     pk = cfg.primary_key_column
+    if tgt is not None:
+        src = spelled_like(src, tgt.columns)
     hashed = with_row_hash(src, cfg.hash_nulls)
     if tgt is None:
         tgt = no_rows(src.sparkSession, target_schema(src.schema, pk))

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.config import ConfigError, EntityConfig, find_config, load_configs
-from snapledger.functions.columns import business_columns, target_schema, ts_literal
+from snapledger.config import ConfigError, EntityConfig, find_config, load_configs, with_key_of
+from snapledger.functions.columns import business_columns, spelled_like, target_schema, ts_literal
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators.changes import BLOCKED, DELETE, INSERT, UNCHANGED, UPDATE, classify, update_ts
 from snapledger.operators.quality import ERROR_SCHEMA, RUNTIME_ERROR, detect_errors, error_counts
@@ -36,7 +36,6 @@ from snapledger.plans.runlog import (
     entity_log_row,
     run_log,
 )
-from snapledger.session import shared_dir
 from snapledger.sources.rows import no_rows, one_row
 from snapledger.sources.staging import read_staging
 from snapledger.sources.store import COUNTERS, VersionStore
@@ -186,16 +185,20 @@ def run_entity(
     ``src`` is the full snapshot; it is read more than once and must not change meanwhile.
     """
     cfg.validate()
-    shared_dir(spark)
-    entity, pk = cfg.entity_name, cfg.primary_key_column
+    entity = cfg.entity_name
     start = clock()
-    src = src.drop("row_hash")
+    base = store.committed_runs(entity)
     if not cfg.allow_empty_snapshot and src.isEmpty():
         raise EntityFailure(f"snapshot of {entity} is empty")
-    known = store.schema(entity)
-    target = known or schema or target_schema(src.schema, pk)
+    known = store.schema(entity) or schema
+    if known is not None:
+        src = spelled_like(src, known.fieldNames())
+    cfg = with_key_of(cfg, src.columns)
+    pk = cfg.primary_key_column
+    src = src.drop("row_hash")
+    target = known or target_schema(src.schema, pk)
     absent = check_schema(src, target, pk)
-    if known is None:
+    if store.schema(entity) is None:
         store.declare(entity, target)
     slice_ = store.read_active(entity, target)
     hashed = with_row_hash(src, cfg.hash_nulls)
@@ -251,6 +254,8 @@ def run_entity(
         - totals.blocked_in_target,
         **found.asDict(),
     }
+    if store.committed_runs(entity) != base:
+        raise EntityFailure(f"another run of {entity} was committed meanwhile")
     schema = ", ".join(f"{c} bigint" for c in COUNTERS)
     metrics = one_row(spark, schema, tuple(counters[c] for c in COUNTERS))
     store.commit(entity_log_row(metrics, run_id, entity, start, clock()), run_id, entity)

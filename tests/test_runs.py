@@ -243,3 +243,43 @@ def test_reset(spark, store):
 def test_config_error_names_the_entity():
     with pytest.raises(ConfigError, match="entity A"):
         cfg(hash_nulls="sometimes").validate()
+
+
+def test_upper_and_lower_case_do_not_matter(spark, store):
+    upper = EntityConfig(1, "A", "S_A", "T_A", "ID")
+    run(spark, store, [upper], snapshots(spark, A=[("1", "a"), ("2", "b")]))
+    shouted = spark.createDataFrame([("1", "x"), ("2", "b")], "ID string, V string")
+    assert run(spark, store, [upper], lambda s, n: shouted).status == "COMPLETED"
+    last = latest_run(stored_run_log(store)).first()
+    assert (last.rows_updated, last.rows_unchanged) == (1, 1)
+
+
+def test_unknown_key_column_fails(spark, store):
+    wrong = EntityConfig(1, "A", "S_A", "T_A", "no_such")
+    result = run(spark, store, [wrong], snapshots(spark, A=[("1", "a")]))
+    assert result.status == "FAILED" and "no_such" in result.failures["A"]
+
+
+def test_overlapping_runs_of_an_entity_do_not_lose_changes(spark, store, monkeypatch):
+    run(spark, store, [cfg()], snapshots(spark, A=[("1", "a")]))
+    real = store.publish
+
+    def overtaken(entity, run_id, rows):
+        real(entity, run_id, rows)
+        monkeypatch.setattr(store, "publish", real)
+        run(spark, store, [cfg()], snapshots(spark, A=[("1", "b")]))
+
+    monkeypatch.setattr(store, "publish", overtaken)
+    late = run(spark, store, [cfg()], snapshots(spark, A=[("1", "c")]))
+    assert late.status == "FAILED" and "meanwhile" in late.failures["A"]
+    assert versions(store) == [("1", "a", False, "I"), ("1", "b", True, "U")]
+
+
+def test_lazy_result_with_distinct_update_times(spark):
+    from snapledger.plans.apply import apply_cdc
+
+    one = cfg(distinct_update_ts=True)
+    first = apply_cdc(spark.createDataFrame([("1", "a"), ("2", "a")], SCHEMA), None, one, "2026-01-01 00:00:00")
+    second = apply_cdc(spark.createDataFrame([("1", "b"), ("2", "b")], SCHEMA), first.target, one, "2026-01-02 00:00:00")
+    live = {r.id: r.start_ts for r in second.target.where("is_active").collect()}
+    assert live == {"1": datetime(2026, 1, 2), "2": datetime(2026, 1, 2, 0, 0, 0, 1)}
