@@ -14,7 +14,7 @@ INSERT, UPDATE, UNCHANGED, DELETE, BLOCKED = "I", "U", "N", "D", "BLOCKED"
 
 
 def _old_hash(tgt: DataFrame, pk: str) -> DataFrame:
-    return active(tgt).select(pk, F.col("row_hash").alias("old_hash"))
+    return active(tgt).select(pk, F.col("row_hash").alias("_old_hash"))
 
 
 def detect_inserts(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
@@ -28,8 +28,8 @@ def detect_updates(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
     return (
         unique_rows(src, pk)
         .join(_old_hash(tgt, pk), pk)
-        .where(F.col("row_hash") != F.col("old_hash"))
-        .drop("old_hash")
+        .where(F.col("row_hash") != F.col("_old_hash"))
+        .drop("_old_hash")
     )
 
 
@@ -38,8 +38,8 @@ def detect_unchanged(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
     return (
         unique_rows(src, pk)
         .join(_old_hash(tgt, pk), pk)
-        .where(F.col("row_hash") == F.col("old_hash"))
-        .drop("old_hash")
+        .where(F.col("row_hash") == F.col("_old_hash"))
+        .drop("_old_hash")
     )
 
 
@@ -84,12 +84,12 @@ def classify(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
     """
     new = key_summary(src, pk)
     old = active(tgt).select(
-        pk, F.col("row_hash").alias("old_hash"), F.col("end_ts").alias("old_end_ts"), F.lit(True).alias("in_target")
+        pk, F.col("row_hash").alias("_old_hash"), F.col("end_ts").alias("old_end_ts"), F.lit(True).alias("in_target")
     )
     in_target = F.coalesce(F.col("in_target"), F.lit(False))
     return new.join(old, pk, "full_outer").select(
         pk,
-        change_class(pk, F.col("n_rows"), in_target, F.col("min_hash"), F.col("old_hash")).alias("cdc_class"),
+        change_class(pk, F.col("n_rows"), in_target, F.col("min_hash"), F.col("_old_hash")).alias("cdc_class"),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.coalesce(F.col("min_hash") != F.col("max_hash"), F.lit(False)).alias("is_conflict"),
         in_target.alias("in_target"),

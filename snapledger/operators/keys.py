@@ -49,7 +49,7 @@ def unique_rows(src: DataFrame, pk: str) -> DataFrame:
     grouped = (
         src.where(valid_key(pk))
         .groupBy(pk)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.first(F.struct(*rest)).alias("_row"))
-        .where(F.col("n_rows") == 1)
+        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+        .where(F.col("_n") == 1)
     )
     return grouped.select(*[F.col(pk) if c == pk else F.col(f"_row.{c}").alias(c) for c in src.columns])

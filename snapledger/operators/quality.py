@@ -40,22 +40,24 @@ def repeated_rows(
     keys: DataFrame | None = None,
     keys_fit: bool = False,
 ) -> DataFrame:
-    """Distinct rows of all repeated keys with ``copies`` and ``is_conflict``.
+    """Distinct rows of all repeated keys with ``_copies`` and ``_conflict``.
 
     ``keys`` may hold the repeated keys if they are known already (see :func:`repeated_keys`), and
     ``keys_fit`` that they were measured and fit a broadcast.
     """
     if keys is None:
         keys = repeated_keys(src, pk)
-    keys = keys.where(_in_duplicate_checks(pk, include_empty_key))
-    matched = match_keys(src, keys, pk, weight="n_rows", keys_fit=keys_fit)
-    return count_copies(matched.drop("n_rows"))
+    keys = keys.where(_in_duplicate_checks(pk, include_empty_key)).select(
+        pk, F.col("n_rows").alias("_rows"), F.col("is_conflict").alias("_conflict")
+    )
+    matched = match_keys(src, keys, pk, weight="_rows", keys_fit=keys_fit)
+    return count_copies(matched.drop("_rows"))
 
 
 def duplicate_inserts(src: DataFrame, pk: str, include_empty_key: bool = True) -> DataFrame:
     """Every row that has an equal twin, with ``cnt`` = number of equal rows."""
-    groups = repeated_rows(src, pk, include_empty_key).where(F.col("copies") > 1)
-    rows = groups.withColumn("cnt", F.col("copies"))
+    groups = repeated_rows(src, pk, include_empty_key).where(F.col("_copies") > 1)
+    rows = groups.withColumn("cnt", F.col("_copies"))
     return expand_copies(rows).select(*src.columns, "cnt")
 
 
@@ -64,9 +66,9 @@ def duplicate_updates(src: DataFrame, pk: str, include_empty_key: bool = True) -
     keys = (
         repeated_keys(src, pk)
         .where(F.col("is_conflict") & _in_duplicate_checks(pk, include_empty_key))
-        .select(pk, "n_rows")
+        .select(pk, F.col("n_rows").alias("_rows"))
     )
-    return match_keys(src, keys, pk, weight="n_rows").select(*src.columns)
+    return match_keys(src, keys, pk, weight="_rows").select(*src.columns)
 
 
 def key_errors(src: DataFrame, pk: str) -> DataFrame:
@@ -104,24 +106,24 @@ def detect_errors(
     """
     repeated = repeated_rows(src, pk, include_empty_key, keys, keys_fit)
     plain = error_row(src)
-    counted = F.to_json(F.struct(*src.columns, F.col("copies").alias("cnt")))
+    counted = F.to_json(F.struct(*src.columns, F.col("_copies").alias("cnt")))
     logged = F.array_compact(
         F.array(
             F.when(
-                F.col("copies") > 1,
+                F.col("_copies") > 1,
                 F.struct(F.lit(DUPLICATE_INSERT).alias("code"), counted.alias("row")),
             ),
             F.when(
-                F.col("is_conflict"),
+                F.col("_conflict"),
                 F.struct(F.lit(DUPLICATE_UPDATE).alias("code"), plain.alias("row")),
             ),
         )
     )
-    duplicates = repeated.select("copies", F.explode(logged).alias("e")).select(
-        F.col("e.code").alias("error_code"), F.col("e.row").alias("error_row"), "copies"
+    duplicates = repeated.select("_copies", F.explode(logged).alias("_e")).select(
+        F.col("_e.code").alias("error_code"), F.col("_e.row").alias("error_row"), "_copies"
     )
     missing = count_copies(key_errors(src, pk)).select(
-        F.lit(PRIMARY_KEY_ERROR).alias("error_code"), plain.alias("error_row"), "copies"
+        F.lit(PRIMARY_KEY_ERROR).alias("error_code"), plain.alias("error_row"), "_copies"
     )
     rows = expand_copies(duplicates.unionByName(missing))
     identity = F.concat_ws(
@@ -129,7 +131,7 @@ def detect_errors(
         F.lit(str(run_id)),
         F.lit(entity_name),
         F.col("error_code"),
-        F.col("ordinal").cast("string"),
+        F.col("_ordinal").cast("string"),
         F.col("error_row"),
     )
     return rows.select(

@@ -54,12 +54,12 @@ def flag_keys(rows: DataFrame, keys: DataFrame, pk: str, flag: str) -> DataFrame
     return marked.unionByName(keyless).select(*rows.columns, flag)
 
 
-def count_copies(rows: DataFrame, name: str = "copies") -> DataFrame:
+def count_copies(rows: DataFrame, name: str = "_copies") -> DataFrame:
     """Equal rows folded into one with their number. The map side folds most of a hot group."""
     return rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias(name))
 
 
-def expand_copies(rows: DataFrame, copies: str = "copies", ordinal: str = "ordinal") -> DataFrame:
+def expand_copies(rows: DataFrame, copies: str = "_copies", ordinal: str = "_ordinal") -> DataFrame:
     """Inverse of :func:`count_copies`: one row per copy, numbered from 1.
 
     A group of many copies is first cut into runs, the runs are spread over the cluster, and only

@@ -129,28 +129,28 @@ def next_rows(
         src.where(F.col(pk).isNotNull())
         .groupBy(pk)
         .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.first(F.struct("row_hash", *business)).alias("s"),
+            F.count(F.lit(1)).alias("_n"),
+            F.first(F.struct("row_hash", *business)).alias("_s"),
         )
     )
     carried = [f.name for f in target if f.name != pk]
-    old = slice_.select(pk, F.struct(*carried).alias("t"))
+    old = slice_.select(pk, F.struct(*carried).alias("_t"))
     joined = new.join(old, pk, "full_outer").withColumn(
-        "cdc_class",
+        "_class",
         change_class(
-            pk, F.col("n_rows"), F.col("t").isNotNull(), F.col("s.row_hash"), F.col("t.row_hash")
+            pk, F.col("_n"), F.col("_t").isNotNull(), F.col("_s.row_hash"), F.col("_t.row_hash")
         ),
     )
 
     if update_stamps is not None:
-        joined = joined.join(update_stamps.select(pk, "update_ts"), pk, "left")
-        updated_at = F.col("update_ts")
+        joined = joined.join(update_stamps.select(pk, F.col("update_ts").alias("_ts")), pk, "left")
+        updated_at = F.col("_ts")
 
     def from_new(name: str) -> Column:
-        return F.col(pk) if name == pk else F.col(f"s.{name}")
+        return F.col(pk) if name == pk else F.col(f"_s.{name}")
 
     def from_old(name: str) -> Column:
-        return F.col(pk) if name == pk else F.col(f"t.{name}")
+        return F.col(pk) if name == pk else F.col(f"_t.{name}")
 
     def opened(operation: str, start_ts: Column, **over) -> Column:
         return F.struct(
@@ -163,17 +163,17 @@ def next_rows(
             F.struct(*closed_version(target, from_old, updated_at)), opened("U", updated_at)
         )
     else:
-        updated = F.array(opened("U", updated_at, end_ts=F.col("t.end_ts"), kept=from_old))
-    rows = F.when(F.col("cdc_class") == INSERT, F.array(opened("I", ts))).when(
-        F.col("cdc_class") == UPDATE, updated
+        updated = F.array(opened("U", updated_at, end_ts=F.col("_t.end_ts"), kept=from_old))
+    rows = F.when(F.col("_class") == INSERT, F.array(opened("I", ts))).when(
+        F.col("_class") == UPDATE, updated
     )
     if cfg.delete_strategy == "SOFT":
         rows = rows.when(
-            F.col("cdc_class") == DELETE,
+            F.col("_class") == DELETE,
             F.array(F.struct(*closed_version(target, from_old, ts, "D"))),
         )
-    rows = rows.when(F.col("cdc_class").isin(UNCHANGED, BLOCKED) & F.col("t").isNotNull(), F.array(kept))
-    return joined.select(F.explode(rows).alias("r")).select("r.*")
+    rows = rows.when(F.col("_class").isin(UNCHANGED, BLOCKED) & F.col("_t").isNotNull(), F.array(kept))
+    return joined.select(F.explode(rows).alias("_row")).select("_row.*")
 
 
 def run_metrics(changes: DataFrame, errors: DataFrame) -> DataFrame:

@@ -130,14 +130,16 @@ def changed_rows(
         stamped = changes.join(update_stamps.select(pk, "update_ts"), pk, "left").withColumn(
             "_ts", F.coalesce("update_ts", base_ts)
         )
-    key_table = stamped.select(F.col(pk).alias("_key"), "cdc_class", "old_end_ts", "_ts")
+    key_table = stamped.select(
+        F.col(pk).alias("_key"), F.col("cdc_class").alias("_class"), F.col("old_end_ts").alias("_old_end"), "_ts"
+    )
     keys = F.broadcast(key_table)
 
     def column(name: str):
         return F.col(name)
 
     # Old side: one scan. A row is kept, closed, or dropped by the class of its key.
-    cls = F.coalesce("cdc_class", F.lit(UNCHANGED))
+    cls = F.coalesce("_class", F.lit(UNCHANGED))
     kept = F.struct(*[F.col(f.name).alias(f.name) for f in target])
     rows = F.when(cls == UNCHANGED, kept)
     if cfg.update_strategy == "HISTORY":
@@ -146,17 +148,17 @@ def changed_rows(
         rows = rows.when(cls == DELETE, F.struct(*closed_version(target, column, base_ts, "D")))
     old = (
         slice_.join(keys, F.col(pk).eqNullSafe(F.col("_key")), "left")
-        .select(rows.alias("r"))
-        .where(F.col("r").isNotNull())
-        .select("r.*")
+        .select(rows.alias("_row"))
+        .where(F.col("_row").isNotNull())
+        .select("_row.*")
     )
 
     # New side: one scan. Only matching rows are hashed.
-    incoming = F.broadcast(key_table.where(F.col("cdc_class").isin(INSERT, UPDATE)))
+    incoming = F.broadcast(key_table.where(F.col("_class").isin(INSERT, UPDATE)))
     fresh = with_row_hash(
         src.join(incoming, F.col(pk) == F.col("_key")), cfg.hash_nulls, columns=src.columns
     )
-    is_update = F.col("cdc_class") == UPDATE
+    is_update = F.col("_class") == UPDATE
     overwrite = cfg.update_strategy == "OVERWRITE"
     version = new_version(
         target,
@@ -165,7 +167,7 @@ def changed_rows(
         F.col("_ts"),
         F.when(is_update, "U").otherwise("I"),
         cfg.length_limits,
-        end_ts=F.when(is_update, F.col("old_end_ts")) if overwrite else None,
+        end_ts=F.when(is_update, F.col("_old_end")) if overwrite else None,
     )
     return old.unionByName(fresh.select(*version))
 

@@ -99,10 +99,10 @@ def test_length_violations(spark):
 
 def test_many_copies_are_written_out_in_runs(spark, monkeypatch):
     monkeypatch.setattr(skew, "COPIES_PER_RUN", 10)
-    rows = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), ("d", 47)], "id string, copies bigint")
+    rows = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), ("d", 47)], "id string, _copies bigint")
     out = skew.expand_copies(rows).groupBy("id").agg(
-        F.count("*").alias("n"), F.min("ordinal").alias("lo"), F.max("ordinal").alias("hi"),
-        F.count_distinct("ordinal").alias("u"),
+        F.count("*").alias("n"), F.min("_ordinal").alias("lo"), F.max("_ordinal").alias("hi"),
+        F.count_distinct("_ordinal").alias("u"),
     )
     assert {r.id: (r.n, r.lo, r.hi, r.u) for r in out.collect()} == {
         "a": (1, 1, 1, 1), "b": (10, 1, 10, 10), "c": (11, 1, 11, 11), "d": (47, 1, 47, 47),

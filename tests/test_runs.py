@@ -283,3 +283,22 @@ def test_lazy_result_with_distinct_update_times(spark):
     second = apply_cdc(spark.createDataFrame([("1", "b"), ("2", "b")], SCHEMA), first.target, one, "2026-01-02 00:00:00")
     live = {r.id: r.start_ts for r in second.target.where("is_active").collect()}
     assert live == {"1": datetime(2026, 1, 2), "2": datetime(2026, 1, 2, 0, 0, 0, 1)}
+
+
+@pytest.mark.parametrize("limits", [BROADCAST, JOINED])
+def test_business_columns_may_have_any_name(spark, store, limits):
+    names = ["copies", "ordinal", "n_rows", "is_conflict", "cdc_class", "old_end_ts", "in_target", "s", "t", "min_hash"]
+    schema = ", ".join(["id string", *[f"{n} string" for n in names]])
+
+    def snapshot(*rows):
+        frame = spark.createDataFrame([(k, *[v] * len(names)) for k, v in rows], schema)
+        return lambda s, n: frame
+
+    assert run(spark, store, [cfg()], snapshot(("1", "a"), ("2", "b")), limits=limits).status == "COMPLETED"
+    result = run(spark, store, [cfg()], snapshot(("1", "x"), ("3", "c"), ("3", "c"), ("3", "d")), limits=limits)
+    assert result.status == "COMPLETED", result
+    last = latest_run(stored_run_log(store)).first()
+    assert (last.rows_updated, last.rows_deleted, last.duplicate_inserts, last.duplicate_updates) == (1, 1, 2, 3)
+    assert {(r.id, r.copies, r.is_active) for r in store.read_target("A").collect()} == {
+        ("1", "a", False), ("1", "x", True), ("2", "b", False),
+    }
