@@ -13,7 +13,7 @@ from snapledger.config import EntityConfig
 from snapledger.functions.columns import CONTROL_COLUMNS, ts_literal
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators import changes as ch
-from snapledger.operators import corrections, feed, keys, quality, reports
+from snapledger.operators import corrections, feed, keys, quality, reports, skew
 from snapledger.plans import run as runs
 from snapledger.plans import runlog
 from snapledger.plans.apply import apply_cdc
@@ -192,20 +192,19 @@ def generate_employees(spark: SparkSession, sf: str) -> DataFrame:
 # Queries on frames
 
 
-def patched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Snapshot, and the keys of all orders of customers in debt."""
+def debtor_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of all orders of customers in debt."""
     debtors = w.table(spark, sf, "customer").where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
-    return w.orders_staging(spark, sf), w.orders(spark, sf).join(debtors, "o_custkey", "left_semi").select(PK)
+    return skew.flag_keys(w.orders(spark, sf), debtors, "o_custkey", "in_debt").where("in_debt").select(PK)
 
 
 def patch_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    snapshot, listed = patched(spark, sf)
-    raised = (F.col("o_totalprice") + 400).cast("decimal(18,2)")
-    return shown(corrections.patch_snapshot(snapshot, PK, listed, {"o_totalprice": raised}))
+    raised = {"o_totalprice": (F.col("o_totalprice") + 400).cast("decimal(18,2)")}
+    return shown(corrections.patch_snapshot(w.orders_staging(spark, sf), PK, debtor_orders(spark, sf), raised))
 
 
 def drop_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(corrections.drop_keys(*patched(spark, sf)[:1], PK, patched(spark, sf)[1]))
+    return shown(corrections.drop_keys(w.orders_staging(spark, sf), PK, debtor_orders(spark, sf)))
 
 
 def hash_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,7 +248,7 @@ def on_snapshot(operator: Callable[..., DataFrame], **options) -> Query:
 def reactivated(spark: SparkSession, sf: str) -> DataFrame:
     target = w.orders_target(spark, sf)
     new = ch.detect_inserts(orders_src(spark, sf), target, PK)
-    return shown(new.join(target.select(PK), PK, "left_semi"))
+    return shown(new.join(target.select(PK).distinct(), PK, "left_semi"))
 
 
 def update_stamps(spark: SparkSession, sf: str) -> DataFrame:
