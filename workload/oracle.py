@@ -423,6 +423,7 @@ def oracle_sql() -> dict[str, str]:
         each AS (SELECT lang, text, n, unnest(range(abs(n)::bigint)) AS i FROM net WHERE n <> 0)
         SELECT lang, md5(text) AS text_md5, CASE WHEN n > 0 THEN 'INSERT' ELSE 'DELETE' END AS action,
           (SELECT min(n) < 0 AND max(n) > 0 FROM net k WHERE k.lang = each.lang AND k.n <> 0) AS is_update, sha256(lang) AS row_id FROM each"""
+    sql["s02_consume_feed"] = sql["s01_change_feed"]
     sql["s02_stream_cdc"] = f"""
         WITH {ORDER_SETS}
         SELECT 1::bigint AS run_id, {first_load('before')} UNION ALL SELECT 2, {counters()}"""

@@ -319,6 +319,16 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
     return shown(feed.change_feed(w.orders_before(spark, sf), today(spark, sf), PK))
 
 
+def consume_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed is published and consumed; the second call finds the offset moved and adds nothing."""
+    root = new_dir(spark, "feed")
+    out = feed.change_feed(w.orders_before(spark, sf), today(spark, sf), PK)
+    out.write.parquet(f"{root}/feed")
+    for _ in range(2):
+        consumed = manifest.consume_feed(spark, f"{root}/feed", out.schema, f"{root}/sink", f"{root}/checkpoint")
+    return shown(consumed)
+
+
 def change_feed_repeated_rows(spark: SparkSession, sf: str) -> DataFrame:
     before = w.documents(spark, sf)
     after = before.withColumn("text", F.replace("text", F.lit("e"), F.lit("E")))
@@ -408,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "s01_change_feed": change_feed,
     "s01_change_feed_repeated_rows": change_feed_repeated_rows,
     "s02_stream_cdc": stream_cdc,
+    "s02_consume_feed": consume_feed,
 }
 
 __all__ = ["CONTROL_COLUMNS", "QUERIES", "shown"]
