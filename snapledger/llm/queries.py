@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import exact_dedup, hilbert_shards
+from snapledger.llm import embeddings, exact_dedup, hilbert_shards, langid, packing, quality, simhash, warc
+from snapledger.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % parts
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = langid.learn_profiles(docs.filter(remainder(5) != 0))
+    found = langid.identify(docs, profiles)
+    return found.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return pieces.drop("ids")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = written(quality.with_statistics(table(spark, sf_dir, "documents")), "stats")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(stats.filter(remainder(4) != 2).join(labels, "doc_id"))
+    scored = quality.score(stats, model)
+    return scored.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -28,6 +69,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
+    "op3_language_id": op3_language_id,
+    "op4_simhash": op4_simhash,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op7_packing": op7_packing,
+    "op8_quality": op8_quality,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }
