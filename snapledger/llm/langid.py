@@ -126,6 +126,18 @@ class Profiles:
         return self.langs[lang], 1.0 - float(apart[lang]) / (self.top * len(mine))
 
 
+def without_unknown(docs: DataFrame, profiles: DataFrame, text_col: str = "text", top: int = TOP) -> DataFrame:
+    """``docs``, all columns as they were, without the rows whose language is not known (``und``)."""
+    known = Profiles(written(profiles, "profiles").collect(), top)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([known.best(t.as_py())[0] != UNKNOWN for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text", top: int = TOP) -> DataFrame:
     """doc_id, lang_pred, score per input row. Text that is NULL or has no letter: ``und``, score 0.
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import embeddings, exact_dedup, hilbert_shards, langid, packing, quality, simhash, warc
+from snapledger.llm import bpe, embeddings, exact_dedup, hilbert_shards, langid, packing, quality, simhash, suffix_dedup, warc
 from snapledger.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+    return found.drop("spans", "kept", "kept_text", "rest")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = langid.learn_profiles(docs.filter(remainder(5) != 0))
@@ -44,6 +49,12 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = bpe.encode_corpus(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
+    return found.drop("ids", "decoded")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return pieces.drop("ids")
@@ -70,9 +81,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_hilbert_shards": op9_hilbert_shards,
