@@ -24,6 +24,17 @@ CONFIG_SCHEMA = T.StructType(
     ]
 )
 
+# Columns that a configuration table may have besides; without them the defaults hold.
+OPTIONAL_SCHEMA = T.StructType(
+    [
+        T.StructField("hash_nulls", T.StringType()),
+        T.StructField("dup_includes_empty_key", T.BooleanType()),
+        T.StructField("length_limits", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("allow_empty_snapshot", T.BooleanType()),
+        T.StructField("distinct_update_ts", T.BooleanType()),
+    ]
+)
+
 _ALLOWED = {
     "update_strategy": ("HISTORY", "OVERWRITE"),
     "delete_strategy": ("SOFT", "HARD"),
@@ -47,7 +58,9 @@ class EntityConfig:
     ``dup_includes_empty_key``  whether rows with key ``''`` count in the duplicate checks.
     ``length_limits``    column -> most characters the target holds; a longer new value fails the entity.
     ``allow_empty_snapshot``    whether an empty snapshot may delete every active row.
-    ``distinct_update_ts``      give every update of a run its own microsecond, in key order.
+    ``distinct_update_ts``      give every update of a run its own microsecond, in key order; only with
+                         HISTORY, where versions follow one another.
+    ``target_table``     names the place of the target in the store.
     """
 
     config_id: int
@@ -77,6 +90,9 @@ class EntityConfig:
                 raise ConfigError(
                     f"entity {self.entity_name}: {name} is {value!r}, expected one of {', '.join(allowed)}"
                 )
+        for name in ("entity_name", "target_table"):
+            if getattr(self, name) in (None, "", ".", ".."):
+                raise ConfigError(f"entity {self.entity_name!r}: {name} cannot be {getattr(self, name)!r}")
         if not self.primary_key_column:
             raise ConfigError(f"entity {self.entity_name}: no primary key column")
         return self
@@ -91,22 +107,32 @@ def with_key_of(cfg: EntityConfig, columns: list[str]) -> EntityConfig:
 
 
 def load_configs(config_table: DataFrame) -> list[EntityConfig]:
-    """Active configurations in order of their id. The table holds one row per entity."""
-    defaults = {
-        "delete_strategy": "SOFT",
-        "error_strategy": "CONTINUE",
-        "update_strategy": "HISTORY",
-    }
+    """Active configurations in order of their id. The table holds one row per entity; a value that
+    is NULL, and an optional column that is missing, stand for the default."""
+    optional = [n for n in OPTIONAL_SCHEMA.fieldNames() if find_column(config_table.columns, n)]
     rows = (
-        config_table.select(*CONFIG_SCHEMA.fieldNames())
+        config_table.select(*CONFIG_SCHEMA.fieldNames(), *optional)
         .where(F.col("is_active"))
         .orderBy("config_id")
         .collect()
     )
-    return [
-        EntityConfig(**{k: defaults.get(k) if v is None else v for k, v in row.asDict().items()})
-        for row in rows
-    ]
+    return [EntityConfig(**{k: v for k, v in row.asDict().items() if v is not None}) for row in rows]
+
+
+def declared_limits(schema: T.StructType) -> dict[str, int]:
+    """The lengths of a declared target: its ``char(n)`` and ``varchar(n)`` columns."""
+    limits = {f.name: f.dataType.length for f in schema if isinstance(f.dataType, (T.CharType, T.VarcharType))}
+    for f in schema:
+        declared = str(f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", ""))
+        if declared.endswith(")"):
+            limits[f.name] = int(declared[:-1].rpartition("(")[2])
+    return limits
+
+
+def plain_schema(schema: T.StructType) -> T.StructType:
+    """The schema with text of any length in place of ``char(n)`` and ``varchar(n)``."""
+    kind = lambda t: T.StringType() if isinstance(t, (T.CharType, T.VarcharType)) else t
+    return T.StructType([T.StructField(f.name, kind(f.dataType), f.nullable) for f in schema])
 
 
 def find_config(configs: list[EntityConfig], config_id: int) -> EntityConfig:

@@ -6,41 +6,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.functions.columns import key_text, ts_literal
-from snapledger.operators.keys import active, key_summary, unique_rows
+from snapledger.operators.keys import active, key_summary
 from snapledger.session import shared_dir
 
 # The classes a key can fall into.
 INSERT, UPDATE, UNCHANGED, DELETE, BLOCKED = "I", "U", "N", "D", "BLOCKED"
 
 
-def _old_hash(tgt: DataFrame, pk: str) -> DataFrame:
-    return active(tgt).select(pk, F.col("row_hash").alias("_old_hash"))
+def rows_of_class(src: DataFrame, tgt: DataFrame, pk: str, cdc_class: str) -> DataFrame:
+    """Rows of the snapshot whose key is in a class. The keys are told apart with narrow columns
+    first; only then are the rows of the wanted ones fetched."""
+    keys = classify(src, tgt, pk).where(F.col("cdc_class") == cdc_class).select(pk)
+    return src.join(keys, pk, "left_semi").select(*src.columns)
 
 
 def detect_inserts(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
     """Unique valid rows whose key has no active version. A key with closed versions only counts
     as new again."""
-    return unique_rows(src, pk).join(active(tgt).select(pk), pk, "left_anti")
+    return rows_of_class(src, tgt, pk, INSERT)
 
 
 def detect_updates(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
     """Unique valid rows whose active version has another hash."""
-    return (
-        unique_rows(src, pk)
-        .join(_old_hash(tgt, pk), pk)
-        .where(F.col("row_hash") != F.col("_old_hash"))
-        .drop("_old_hash")
-    )
+    return rows_of_class(src, tgt, pk, UPDATE)
 
 
 def detect_unchanged(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
     """Unique valid rows whose active version has the same hash."""
-    return (
-        unique_rows(src, pk)
-        .join(_old_hash(tgt, pk), pk)
-        .where(F.col("row_hash") == F.col("_old_hash"))
-        .drop("_old_hash")
-    )
+    return rows_of_class(src, tgt, pk, UNCHANGED)
 
 
 def snapshot_keys(src: DataFrame, pk: str) -> DataFrame:
@@ -76,24 +69,26 @@ def change_class(pk: str, n_rows: Column, in_target: Column, new_hash: Column, o
     )
 
 
-def classify(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:
-    """Every key of the snapshot or the active slice with its class; narrow columns only.
+def classify(src: DataFrame, tgt: DataFrame, pk: str, *carried: str) -> DataFrame:
+    """Every key of the snapshot or the active slice with its class; narrow columns only, and the
+    ``carried`` columns of the active slice.
 
     One exchange per side: the per-key aggregate is already partitioned as the join needs it, and
     the scan of the target reads the key, its hash and its end time, nothing else.
     """
     new = key_summary(src, pk)
     old = active(tgt).select(
-        pk, F.col("row_hash").alias("_old_hash"), F.col("end_ts").alias("old_end_ts"), F.lit(True).alias("in_target")
+        pk, F.col("row_hash").alias("_old_hash"), F.col("end_ts").alias("old_end_ts"), F.lit(True).alias("in_target"), *carried
     )
     in_target = F.coalesce(F.col("in_target"), F.lit(False))
     return new.join(old, pk, "full_outer").select(
         pk,
-        change_class(pk, F.col("n_rows"), in_target, F.col("min_hash"), F.col("_old_hash")).alias("cdc_class"),
+        change_class(pk, F.col("n_rows"), in_target, F.col("only_hash"), F.col("_old_hash")).alias("cdc_class"),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-        F.coalesce(F.col("min_hash") != F.col("max_hash"), F.lit(False)).alias("is_conflict"),
+        F.coalesce("is_conflict", F.lit(False)).alias("is_conflict"),
         in_target.alias("in_target"),
         "old_end_ts",
+        *carried,
     )
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions.columns import valid_key
 
+# Begin and length of the five parts of a hexadecimal SHA-256 that fit whole numbers.
+HASH_PARTS = [(1, 15), (16, 15), (31, 15), (46, 15), (61, 4)]
+
 
 def active(target: DataFrame) -> DataFrame:
     """The current versions. Stored targets keep them in their own directory, so this prunes."""
@@ -14,42 +19,33 @@ def active(target: DataFrame) -> DataFrame:
 
 
 def key_summary(src: DataFrame, pk: str) -> DataFrame:
-    """One narrow row per key that is not NULL: row count and whether its rows differ.
+    """One narrow row per key that is not NULL: row count, whether its rows differ, and the hash of
+    its row if they don't. ``row_hash`` is the hexadecimal text of :func:`with_row_hash`.
 
-    ``min_hash`` and ``max_hash`` are equal exactly when all rows of the key are equal, so no row
-    is ever compared with another one. Partial aggregation folds a hot key before the shuffle.
+    The hash is folded as five whole numbers that hold all its digits. Their minima and maxima are
+    equal exactly when all rows of the key are equal, so no row is ever compared with another one,
+    and numbers are aggregated in place, where texts would have to be sorted first. Partial
+    aggregation folds a hot key before the shuffle.
     """
-    return (
-        src.where(F.col(pk).isNotNull())
-        .groupBy(pk)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.min("row_hash").alias("min_hash"),
-            F.max("row_hash").alias("max_hash"),
-        )
-    )
+    numbers = [F.conv(F.substring("row_hash", at, n), 16, 10).cast("long") for at, n in HASH_PARTS]
+    low = [F.min(v).alias(f"_low{i}") for i, v in enumerate(numbers)]
+    high = [F.max(v).alias(f"_high{i}") for i, v in enumerate(numbers)]
+    folded = src.where(F.col(pk).isNotNull()).groupBy(pk).agg(F.count(F.lit(1)).alias("n_rows"), *low, *high)
+    differs = reduce(lambda a, b: a | b, [F.col(f"_low{i}") != F.col(f"_high{i}") for i in range(len(HASH_PARTS))])
+    digits = [F.lpad(F.lower(F.hex(f"_low{i}")), n, "0") for i, (_, n) in enumerate(HASH_PARTS)]
+    return folded.select(pk, "n_rows", differs.alias("is_conflict"), F.concat(*digits).alias("only_hash"))
 
 
 def repeated_keys(src: DataFrame, pk: str) -> DataFrame:
     """Keys that occur more than once: ``(pk, n_rows, is_conflict)``."""
-    return (
-        key_summary(src, pk)
-        .where(F.col("n_rows") > 1)
-        .select(pk, "n_rows", (F.col("min_hash") != F.col("max_hash")).alias("is_conflict"))
-    )
+    return key_summary(src, pk).where(F.col("n_rows") > 1).drop("only_hash")
 
 
 def unique_rows(src: DataFrame, pk: str) -> DataFrame:
     """Rows whose key is valid and occurs exactly once. All rows of a repeated key are left out.
 
-    The aggregate takes one arbitrary row per key, which is *the* row where the count is 1. It keeps
-    one shuffle and one row per key after the map side, however often a key is repeated.
+    The repeated keys are counted in a narrow pass that folds each key on the map side; they are
+    few, so their rows go by an anti join.
     """
-    rest = [c for c in src.columns if c != pk]
-    grouped = (
-        src.where(valid_key(pk))
-        .groupBy(pk)
-        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
-        .where(F.col("_n") == 1)
-    )
-    return grouped.select(*[F.col(pk) if c == pk else F.col(f"_row.{c}").alias(c) for c in src.columns])
+    repeated = src.where(valid_key(pk)).groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return src.where(valid_key(pk)).join(repeated.select(pk), pk, "left_anti").select(*src.columns)

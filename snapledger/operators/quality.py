@@ -144,6 +144,19 @@ def detect_errors(
     )
 
 
+def count_errors(src: DataFrame, pk: str, include_empty_key: bool = True) -> DataFrame:
+    """The three counters of a snapshot, added up from copies: no error row is written out."""
+    repeated = repeated_rows(src.select(pk, "row_hash"), pk, include_empty_key)
+    copies = F.col("_copies")
+    duplicates = repeated.agg(
+        F.coalesce(F.sum(F.when(copies > 1, copies)), F.lit(0)).cast("long").alias("duplicate_inserts"),
+        F.coalesce(F.sum(F.when(F.col("_conflict"), copies)), F.lit(0)).cast("long").alias("duplicate_updates"),
+    )
+    missing = key_errors(src, pk).agg(F.count(F.lit(1)).alias("key_errors"))
+    both = duplicates.unionByName(missing, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def error_counts(errors: DataFrame, *by: str) -> DataFrame:
     """Number of error rows per code as the three counters of the entity log."""
     def counter(code: str) -> Column:

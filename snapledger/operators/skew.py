@@ -5,53 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The heaviest keys go through a broadcast of at most this many rows. Every other key then holds
-# less than 1/1024 of the rows, which a hash partition can take.
-HEAVY_KEYS = 1024
+from snapledger.session import new_dir
+
+# Rows of one key that a reduce task takes; a heavier key is dealt to several tasks.
+ROWS_PER_TASK = 1_000_000
 
 # Copies of one row are written out in runs of this many.
 COPIES_PER_RUN = 65536
 
+# Listed keys that may be broadcast once they are counted.
+LISTED_KEYS = 1_000_000
+
+
+def _dealt(rows: DataFrame, heavy: DataFrame, pk: str) -> DataFrame:
+    """``rows`` with ``_deal``: 0, or for a heavy key (``_deals`` tasks) one of its tasks.
+
+    ``heavy`` is broadcast: each of its keys has over ``ROWS_PER_TASK`` rows, so there is at most
+    one in so many rows. The deal follows from the place of the row in its partition: snapshots are
+    read from files, so a repeated task deals alike.
+    """
+    spread = F.xxhash64(F.monotonically_increasing_id())
+    marked = rows.join(F.broadcast(heavy), pk, "left")
+    return marked.withColumn("_deal", F.coalesce(F.pmod(spread, F.col("_deals")), F.lit(0))).drop("_deals")
+
+
+def _deals(rows_of_key: str):
+    return F.ceil(F.col(rows_of_key) / F.lit(ROWS_PER_TASK)).cast("long")
+
 
 def match_keys(
     rows: DataFrame, keys: DataFrame, pk: str, weight: str, keys_fit: bool = False
 ) -> DataFrame:
     """Inner join of ``rows`` with ``keys`` (one row per key, ``weight`` = rows of that key).
 
-    Rows of the heaviest keys never enter a shuffle: those keys are broadcast, a table bounded by
-    ``HEAVY_KEYS`` rows. The remaining keys are joined by a shuffle. Both parts together are the
-    whole inner join. ``keys_fit`` says that the caller measured ``keys`` and that all of them may
-    be broadcast.
+    A key with more rows than a task takes is dealt to as many tasks as its weight asks for, and its
+    row of ``keys`` goes to each of them. ``keys_fit`` says that the caller measured ``keys`` and that
+    all of them may be broadcast.
     """
     if keys_fit:
         return rows.join(F.broadcast(keys), pk)
-    # Sorting by every column keeps all three uses of ``keys`` alike, so that they share one exchange.
-    rest_columns = [c for c in keys.columns if c not in (weight, pk)]
-    heavy = keys.orderBy(F.desc(weight), F.asc(pk), *rest_columns).limit(HEAVY_KEYS)
-    hot = rows.join(F.broadcast(heavy), pk)
-    rest = rows.join(F.broadcast(heavy.select(pk)), pk, "left_anti").join(keys, pk)
-    return hot.unionByName(rest)
+    heavy = keys.where(F.col(weight) > ROWS_PER_TASK).select(pk, _deals(weight).alias("_deals"))
+    copied = keys.withColumn("_deal", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(_deals(weight), F.lit(1)) - 1)))
+    return _dealt(rows, heavy, pk).join(copied, [pk, "_deal"]).drop("_deal")
 
 
 def flag_keys(rows: DataFrame, keys: DataFrame, pk: str, flag: str) -> DataFrame:
     """``rows`` with a flag that says whether their key is in ``keys`` (its only column, named as
-    ``pk``). Rows without a key are in no join at all, and rows of the heaviest keys only in a
-    broadcast join; the others are joined by a shuffle."""
-    listed = keys.where(F.col(pk).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    known = rows.where(F.col(pk).isNotNull())
+    ``pk``).
+
+    The listed keys are written and counted once. Few of them are broadcast, and the rows stay where
+    they are. Otherwise rows and keys meet by a shuffle, with heavy keys of the rows dealt to several
+    tasks and rows without a key dealt evenly.
+    """
+    listed = keys.where(F.col(pk).isNotNull()).distinct()
+    path = new_dir(rows.sparkSession, "listed")
+    listed.write.parquet(path)
+    listed = rows.sparkSession.read.schema(listed.schema).parquet(path)
+    found = F.coalesce(flag, F.lit(False)).alias(flag)
+    if listed.count() <= LISTED_KEYS:
+        marked = rows.join(F.broadcast(listed.withColumn(flag, F.lit(True))), pk, "left")
+        return marked.select(*rows.columns, found)
     heavy = (
-        known.groupBy(pk)
+        rows.where(F.col(pk).isNotNull())
+        .groupBy(pk)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), F.asc(pk))
-        .limit(HEAVY_KEYS)
-        .select(pk)
+        .where(F.col("_n") > ROWS_PER_TASK)
+        .select(pk, _deals("_n").alias("_deals"))
+    )
+    copied = listed.join(F.broadcast(heavy), pk, "left").select(
+        pk, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_deals", F.lit(1)) - 1)).alias("_deal"), F.lit(True).alias(flag)
     )
-    heavy_flags = heavy.join(listed, pk, "left")
-    hot = known.join(F.broadcast(heavy_flags), pk)
-    rest = known.join(F.broadcast(heavy), pk, "left_anti").join(listed, pk, "left")
-    keyless = rows.where(F.col(pk).isNull()).withColumn(flag, F.lit(False))
-    marked = hot.unionByName(rest).withColumn(flag, F.coalesce(flag, F.lit(False)))
-    return marked.unionByName(keyless).select(*rows.columns, flag)
+    dealt = _dealt(rows, heavy, pk)
+    everywhere = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20))
+    dealt = dealt.withColumn("_deal", F.when(F.col(pk).isNull(), everywhere).otherwise(F.col("_deal")))
+    return dealt.join(copied, [pk, "_deal"], "left").select(*rows.columns, found)
 
 
 def count_copies(rows: DataFrame, name: str = "_copies") -> DataFrame:
@@ -62,14 +89,16 @@ def count_copies(rows: DataFrame, name: str = "_copies") -> DataFrame:
 def expand_copies(rows: DataFrame, copies: str = "_copies", ordinal: str = "_ordinal") -> DataFrame:
     """Inverse of :func:`count_copies`: one row per copy, numbered from 1.
 
-    A group of many copies is first cut into runs, the runs are spread over the cluster, and only
-    then is each run written out. No task writes more than ``COPIES_PER_RUN`` copies of a run.
+    A row with few copies is written out where it is. One with more than ``COPIES_PER_RUN`` is first
+    cut into runs, the runs are spread over the cluster, and only then is each run written out.
     """
     total = F.col(copies)
-    runs = rows.withColumn(
+    first = F.lit(1).cast("long")
+    few = rows.where(total <= COPIES_PER_RUN).withColumn(ordinal, F.explode(F.sequence(first, total)))
+    many = rows.where(total > COPIES_PER_RUN).withColumn(
         "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((total - 1) / COPIES_PER_RUN)))
     )
-    spread = runs.repartition(*[F.col(f"`{c}`") for c in runs.columns])
-    first = F.col("_run") * COPIES_PER_RUN + 1
-    last = F.least(total, (F.col("_run") + 1) * COPIES_PER_RUN)
-    return spread.withColumn(ordinal, F.explode(F.sequence(first, last))).drop("_run")
+    spread = many.repartition(*[F.col(f"`{c}`") for c in many.columns])
+    begin = F.col("_run") * COPIES_PER_RUN + 1
+    end = F.least(total, (F.col("_run") + 1) * COPIES_PER_RUN)
+    return few.unionByName(spread.withColumn(ordinal, F.explode(F.sequence(begin, end))).drop("_run"))

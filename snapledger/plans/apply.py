@@ -33,7 +33,7 @@ from snapledger.operators.changes import (
     update_ts,
 )
 from snapledger.operators.keys import active
-from snapledger.operators.quality import detect_errors, error_counts
+from snapledger.operators.quality import count_errors, detect_errors
 from snapledger.sources.rows import no_rows
 
 
@@ -177,7 +177,7 @@ def next_rows(
 
 
 def run_metrics(changes: DataFrame, errors: DataFrame) -> DataFrame:
-    """One row with the seven counters of an entity run."""
+    """One row with the seven counters of an entity run; ``errors`` has its three error counters."""
     classes = {
         "rows_inserted": INSERT,
         "rows_updated": UPDATE,
@@ -185,7 +185,7 @@ def run_metrics(changes: DataFrame, errors: DataFrame) -> DataFrame:
         "rows_unchanged": UNCHANGED,
     }
     counted = changes.agg(*[F.count_if(F.col("cdc_class") == c).alias(n) for n, c in classes.items()])
-    both = counted.unionByName(error_counts(errors), allowMissingColumns=True)
+    both = counted.unionByName(errors, allowMissingColumns=True)
     return both.agg(*[F.max(c).cast("long").alias(c) for c in both.columns])
 
 
@@ -203,7 +203,7 @@ class CdcResult:
     def target(self) -> DataFrame:
         """The next state of the whole target, closed history included."""
         cfg, stamps = self.cfg, None
-        if cfg.distinct_update_ts:
+        if cfg.distinct_update_ts and cfg.update_strategy == "HISTORY":
             updates = self.changes.where(F.col("cdc_class") == UPDATE)
             stamps = update_ts(updates, cfg.primary_key_column, self.run_ts, tie_break=True)
         rows = next_rows(self.hashed, active(self.previous), cfg, self.run_ts, stamps)
@@ -231,7 +231,8 @@ class CdcResult:
     @cached_property
     def metrics(self) -> DataFrame:
         """One row with the seven counters."""
-        return run_metrics(self.changes, self.errors)
+        cfg = self.cfg
+        return run_metrics(self.changes, count_errors(self.hashed, cfg.primary_key_column, cfg.dup_includes_empty_key))
 
 
 def apply_cdc(

@@ -5,10 +5,12 @@ Work of one entity run:
 1. Classify all keys with narrow columns only and write the keys that are not unchanged. This table
    gives the counters, names the repeated keys, and decides the rest.
 2. Log the errors. They stay even if the run fails later.
-3. Publish the next version. Nothing is written if no key changed. If the changed keys are few (by
-   rows and bytes, measured on the written table) they are broadcast, and neither the snapshot nor
-   the target is shuffled; otherwise both are joined by key.
-4. Commit by writing the entity-log row.
+3. Write the rows that the run opens and the keys that it ends, and nothing if no key changed. The
+   keys that end follow from the table of keys alone. The rows that open are those of the snapshot
+   whose key is to be inserted or updated: few such keys (by rows and bytes, measured on the written
+   table) are broadcast; on a first load the few repeated keys are broadcast and the other rows
+   pass; otherwise both sides are joined by key.
+4. Commit under the number after the commit that the run started from.
 """
 
 from __future__ import annotations
@@ -16,29 +18,24 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.config import ConfigError, EntityConfig, find_config, load_configs, with_key_of
-from snapledger.functions.columns import business_columns, spelled_like, target_schema, ts_literal
-from snapledger.functions.hashing import with_row_hash
+from snapledger.config import ConfigError, EntityConfig, declared_limits, find_config, load_configs, plain_schema, with_key_of
+from snapledger.functions.columns import CONTROL_COLUMNS, business_columns, spelled_like, target_schema, ts_literal, valid_key
+from snapledger.functions.hashing import ENCODING_VERSION, with_row_hash
 from snapledger.operators.changes import BLOCKED, DELETE, INSERT, UNCHANGED, UPDATE, classify, update_ts
 from snapledger.operators.quality import ERROR_SCHEMA, RUNTIME_ERROR, detect_errors, error_counts
-from snapledger.plans.apply import check_schema, closed_version, new_version, next_rows
-from snapledger.plans.runlog import (
-    COMPLETED,
-    FAILED,
-    RUNNING,
-    entity_log_row,
-    run_log,
-)
+from snapledger.operators.skew import ROWS_PER_TASK
+from snapledger.plans.apply import check_schema, new_version
+from snapledger.plans.runlog import COMPLETED, FAILED, RUNNING, run_log
 from snapledger.sources.rows import no_rows, one_row
 from snapledger.sources.staging import read_staging
-from snapledger.sources.store import COUNTERS, VersionStore
+from snapledger.sources.store import RUN, Commit, VersionStore
 
 log = logging.getLogger(__name__)
 
@@ -52,12 +49,10 @@ class EntityFailure(RuntimeError):
 
 @dataclass(frozen=True)
 class Limits:
-    """Most rows and key bytes of a key table that may be broadcast, and the largest share of the
-    active rows that may change for a broadcast to pay off."""
+    """Most rows and key bytes of a key table that may be broadcast."""
 
     rows: int = 1_000_000
     key_bytes: int = 64 * 1024 * 1024
-    share: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -76,7 +71,6 @@ class _Totals:
     rows: dict[str, int]
     key_bytes: dict[str, int]
     blocked_in_target: int
-    active_before: int
 
     def few(self, limits: Limits, *classes: str) -> bool:
         return (
@@ -85,91 +79,101 @@ class _Totals:
         )
 
 
-def _totals(changes: DataFrame, slice_: DataFrame, pk: str) -> _Totals:
-    """Row and byte counts per class, and the size of the active slice, in one small job. There is
-    at most one result row per class and side."""
+def _totals(changes: DataFrame, pk: str) -> _Totals:
+    """Row and byte counts per class in one small job. There is at most one result row per class
+    and side."""
     size = F.coalesce(F.sum(F.octet_length(F.col(pk).cast("string"))), F.lit(0)).cast("long")
-    n = F.count(F.lit(1)).alias("n")
-    per_class = changes.groupBy("cdc_class", "in_target").agg(n, size.alias("bytes"))
-    before = slice_.agg(n).select(
-        F.lit(None).cast("string").alias("cdc_class"), F.lit(True).alias("in_target"), "n", F.lit(0).cast("long").alias("bytes")
-    )
     rows: dict[str, int] = {}
     key_bytes: dict[str, int] = {}
-    blocked = active_before = 0
-    for r in per_class.unionByName(before).collect():
-        if r.cdc_class is None:
-            active_before = r.n
-            continue
+    blocked = 0
+    for r in changes.groupBy("cdc_class", "in_target").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).collect():
         rows[r.cdc_class] = rows.get(r.cdc_class, 0) + r.n
         key_bytes[r.cdc_class] = key_bytes.get(r.cdc_class, 0) + r.bytes
         if r.cdc_class == BLOCKED and r.in_target:
             blocked += r.n
-    return _Totals(rows, key_bytes, blocked, active_before)
+    return _Totals(rows, key_bytes, blocked)
+
+
+def _stamped(changes: DataFrame, pk: str, run_ts, update_stamps: DataFrame | None) -> DataFrame:
+    """``changes`` with ``_ts``: the run's time, or for an update the time of its own."""
+    base_ts = ts_literal(run_ts)
+    if update_stamps is None:
+        return changes.withColumn("_ts", base_ts)
+    return changes.join(update_stamps.select(pk, "update_ts"), pk, "left").withColumn("_ts", F.coalesce("update_ts", base_ts))
+
+
+def ended_keys(changes: DataFrame, cfg: EntityConfig, run_ts, update_stamps: DataFrame | None = None) -> DataFrame:
+    """What ends: (key, ``opened_version``, ``end_ts``, ``cdc_operation`` if it changes, ``is_kept``).
+
+    A version that is overwritten or physically deleted is not kept. ``changes`` holds the keys to
+    update and delete with the version that opened their active row; the target is not read.
+    """
+    pk = cfg.primary_key_column
+    is_delete = F.col("cdc_class") == DELETE
+    ended = _stamped(changes.where(F.col("cdc_class").isin(UPDATE, DELETE)), pk, run_ts, update_stamps)
+    return ended.select(
+        pk,
+        "opened_version",
+        F.when(is_delete, ts_literal(run_ts)).otherwise(F.col("_ts")).alias("end_ts"),
+        F.when(is_delete, F.lit("D")).alias("cdc_operation"),
+        F.when(is_delete, F.lit(cfg.delete_strategy == "SOFT")).otherwise(F.lit(cfg.update_strategy == "HISTORY")).alias("is_kept"),
+    )
 
 
-def changed_rows(
+def opened_rows(
     src: DataFrame,
-    slice_: DataFrame,
     changes: DataFrame,
+    target: T.StructType,
     cfg: EntityConfig,
     run_ts,
     update_stamps: DataFrame | None = None,
+    keys_fit: bool = False,
+    all_new: bool = False,
+    blocked_fit: bool = False,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
-    """All rows of the next version by a broadcast of the changed keys: two scans, no shuffle.
+    """The rows that a run opens, in the columns of the target; only these are hashed.
 
-    ``changes`` holds the keys to insert, update and delete with ``old_end_ts``; ``update_stamps``
-    (key, ``update_ts``) gives updates a time of their own.
+    ``changes`` holds the keys that are not unchanged. ``keys_fit`` says that those to insert or
+    update were measured and may be broadcast. ``all_new`` says that no valid key of the snapshot is
+    known yet; then every row opens but those of repeated keys, which ``blocked_fit`` lets broadcast.
+    ``kept``, if given, has the active rows whose other columns an overwrite keeps.
     """
     pk = cfg.primary_key_column
-    target = slice_.schema
-    business = business_columns(src, pk)
-    base_ts = ts_literal(run_ts)
-    stamped = changes.withColumn("_ts", base_ts)
-    if update_stamps is not None:
-        stamped = changes.join(update_stamps.select(pk, "update_ts"), pk, "left").withColumn(
-            "_ts", F.coalesce("update_ts", base_ts)
-        )
-    key_table = stamped.select(
-        F.col(pk).alias("_key"), F.col("cdc_class").alias("_class"), F.col("old_end_ts").alias("_old_end"), "_ts"
-    )
-    keys = F.broadcast(key_table)
-
-    def column(name: str):
-        return F.col(name)
-
-    # Old side: one scan. A row is kept, closed, or dropped by the class of its key.
-    cls = F.coalesce("_class", F.lit(UNCHANGED))
-    kept = F.struct(*[F.col(f.name).alias(f.name) for f in target])
-    rows = F.when(cls == UNCHANGED, kept)
-    if cfg.update_strategy == "HISTORY":
-        rows = rows.when(cls == UPDATE, F.struct(*closed_version(target, column, F.col("_ts"))))
-    if cfg.delete_strategy == "SOFT":
-        rows = rows.when(cls == DELETE, F.struct(*closed_version(target, column, base_ts, "D")))
-    old = (
-        slice_.join(keys, F.col(pk).eqNullSafe(F.col("_key")), "left")
-        .select(rows.alias("_row"))
-        .where(F.col("_row").isNotNull())
-        .select("_row.*")
-    )
-
-    # New side: one scan. Only matching rows are hashed.
-    incoming = F.broadcast(key_table.where(F.col("_class").isin(INSERT, UPDATE)))
-    fresh = with_row_hash(
-        src.join(incoming, F.col(pk) == F.col("_key")), cfg.hash_nulls, columns=src.columns
-    )
-    is_update = F.col("_class") == UPDATE
-    overwrite = cfg.update_strategy == "OVERWRITE"
+    business, columns = business_columns(src, pk), src.columns
+    if all_new:
+        blocked = changes.where(F.col("cdc_class") == BLOCKED).select(F.col(pk).alias("_key"))
+        side = F.broadcast(blocked) if blocked_fit else blocked
+        found = src.where(valid_key(pk)).join(side, F.col(pk) == F.col("_key"), "left_anti")
+        found = found.select("*", F.lit(INSERT).alias("_class"), F.lit(None).cast("timestamp_ntz").alias("_old_end"), ts_literal(run_ts).alias("_ts"))
+    else:
+        wanted = _stamped(changes.where(F.col("cdc_class").isin(INSERT, UPDATE)), pk, run_ts, update_stamps)
+        keys = wanted.select(F.col(pk).alias("_key"), F.col("cdc_class").alias("_class"), F.col("old_end_ts").alias("_old_end"), "_ts")
+        if keys_fit:
+            keys = F.broadcast(keys)
+        else:
+            # Rows of a repeated key are not wanted: a heavy one need not travel at all.
+            heavy = changes.where((F.col("cdc_class") == BLOCKED) & (F.col("n_rows") > ROWS_PER_TASK)).select(F.col(pk).alias("_heavy"))
+            src = src.join(F.broadcast(heavy), F.col(pk) == F.col("_heavy"), "left_anti")
+        found = src.join(keys, F.col(pk) == F.col("_key"))
+    fresh = with_row_hash(found, cfg.hash_nulls, columns=columns)
+    is_update, overwrite = F.col("_class") == UPDATE, cfg.update_strategy == "OVERWRITE"
+    old = None
+    if kept is not None:
+        others = [f.name for f in target if f.name not in (pk, *business, *CONTROL_COLUMNS)]
+        fresh = fresh.join(kept.select(F.col(pk).alias("_kept_key"), F.struct(*others).alias("_kept")), F.col(pk) == F.col("_kept_key"), "left")
+        old = lambda name: F.col("_kept").getField(name)
     version = new_version(
         target,
         [pk, *business],
-        column,
+        F.col,
         F.col("_ts"),
         F.when(is_update, "U").otherwise("I"),
         cfg.length_limits,
         end_ts=F.when(is_update, F.col("_old_end")) if overwrite else None,
+        kept=old,
     )
-    return old.unionByName(fresh.select(*version))
+    return fresh.select(*version)
 
 
 def run_entity(
@@ -181,18 +185,33 @@ def run_entity(
     clock: Clock = utc_now,
     limits: Limits = Limits(),
     schema: T.StructType | None = None,
+    snapshot_id: int | None = None,
 ) -> dict[str, int]:
     """Run one entity and commit it. Raises, and publishes nothing, if it fails.
 
-    ``src`` is the full snapshot; it is read more than once and must not change meanwhile.
+    ``src`` is the full snapshot; it is read more than once. If the rows that were published are not
+    as many as the keys that were found to change, it was exchanged meanwhile, and the run fails.
+    ``schema`` declares the target before its first commit; its ``varchar(n)`` columns set lengths.
     """
     cfg.validate()
     entity = cfg.entity_name
     start = clock()
-    base = store.committed_runs(entity)
+    location = store.location(cfg.target_table)
+    base = store.latest(entity) or Commit(entity, location)
     if not cfg.allow_empty_snapshot and src.isEmpty():
         raise EntityFailure(f"snapshot of {entity} is empty")
-    known = store.schema(entity) or schema
+    if schema is not None:
+        cfg = replace(cfg, length_limits={**declared_limits(schema), **cfg.length_limits})
+        schema = plain_schema(schema)
+    known = base.columns() or schema
+    if base.schema is not None:
+        if base.location != location:
+            raise EntityFailure(f"the target of {entity} is {base.location}, not {location}")
+        if (base.encoding_version, base.hash_nulls) != (ENCODING_VERSION, cfg.hash_nulls):
+            raise EntityFailure(
+                f"hashes of {entity} are of encoding {base.encoding_version} with NULL columns {base.hash_nulls}, "
+                f"not {ENCODING_VERSION} with {cfg.hash_nulls}: every row would count as changed"
+            )
     if known is not None:
         src = spelled_like(src, known.fieldNames())
     cfg = with_key_of(cfg, src.columns)
@@ -200,15 +219,14 @@ def run_entity(
     src = src.drop("row_hash")
     target = known or target_schema(src.schema, pk)
     absent = check_schema(src, target, pk)
-    if store.schema(entity) is None:
-        store.declare(entity, target)
-    slice_ = store.read_active(entity, target)
+    state = replace(base, schema=target.json(), primary_key=pk, location=location, hash_nulls=cfg.hash_nulls, encoding_version=ENCODING_VERSION)
+    slice_ = store.active_rows(state)
     hashed = with_row_hash(src, cfg.hash_nulls)
 
     changes = store.write_changes(
-        entity, run_id, classify(hashed, slice_, pk).where(F.col("cdc_class") != UNCHANGED)
+        entity, run_id, classify(hashed, slice_, pk, "opened_version").where(F.col("cdc_class") != UNCHANGED)
     )
-    totals = _totals(changes, slice_, pk)
+    totals = _totals(changes, pk)
     rows = totals.rows
 
     repeated = changes.where((F.col("cdc_class") == BLOCKED) & (F.col("n_rows") > 1))
@@ -229,38 +247,58 @@ def run_entity(
     if cfg.error_strategy == "STOP" and any(found):
         raise EntityFailure(f"entity {entity} stops on errors: {json.dumps(found.asDict())}")
 
-    moved = rows.get(INSERT, 0) + rows.get(UPDATE, 0) + rows.get(DELETE, 0)
-    if moved:
-        change = changes.where(F.col("cdc_class").isin(INSERT, UPDATE, DELETE))
-        stamps = None
-        if cfg.distinct_update_ts and rows.get(UPDATE):
-            stamps = update_ts(change.where(F.col("cdc_class") == UPDATE), pk, start, tie_break=True)
-        narrow = (
-            totals.few(limits, INSERT, UPDATE, DELETE)
-            and moved <= limits.share * totals.active_before
-            and not (absent and cfg.update_strategy == "OVERWRITE")
+    inserted, updated, deleted = (rows.get(c, 0) for c in (INSERT, UPDATE, DELETE))
+    stamps = None
+    if updated and cfg.distinct_update_ts and cfg.update_strategy == "HISTORY":
+        stamps = update_ts(changes.where(F.col("cdc_class") == UPDATE), pk, start, tie_break=True)
+    unchanged = base.active_rows - updated - deleted - totals.blocked_in_target
+    opened, ended = [], []
+    if inserted or updated:
+        version, written = store.write(
+            location,
+            "opened",
+            opened_rows(
+                src,
+                changes,
+                target,
+                cfg,
+                start,
+                stamps,
+                keys_fit=totals.few(limits, INSERT, UPDATE),
+                all_new=not updated and not unchanged,
+                blocked_fit=totals.few(limits, BLOCKED),
+                kept=slice_ if absent and updated and cfg.update_strategy == "OVERWRITE" else None,
+            ),
         )
-        if narrow:
-            version = changed_rows(src, slice_, change, cfg, start, stamps)
-        else:
-            version = next_rows(hashed, slice_, cfg, start, stamps)
-        store.publish(entity, run_id, version)
+        if written != inserted + updated:
+            raise EntityFailure(f"snapshot of {entity} changed during the run: {inserted + updated} rows to write, {written} found")
+        opened.append(version)
+    if updated or deleted:
+        version, written = store.write(location, "ended", ended_keys(changes, cfg, start, stamps))
+        if written != updated + deleted:
+            raise EntityFailure(f"{updated + deleted} versions of {entity} were to end, {written} were written")
+        ended.append(version)
 
     counters = {
-        "rows_inserted": rows.get(INSERT, 0),
-        "rows_updated": rows.get(UPDATE, 0),
-        "rows_deleted": rows.get(DELETE, 0),
-        "rows_unchanged": totals.active_before
-        - rows.get(UPDATE, 0)
-        - rows.get(DELETE, 0)
-        - totals.blocked_in_target,
+        "rows_inserted": inserted,
+        "rows_updated": updated,
+        "rows_deleted": deleted,
+        "rows_unchanged": unchanged,
         **found.asDict(),
     }
-    if store.committed_runs(entity) != base:
-        raise EntityFailure(f"another run of {entity} was committed meanwhile")
-    schema = ", ".join(f"{c} bigint" for c in COUNTERS)
-    metrics = one_row(spark, schema, tuple(counters[c] for c in COUNTERS))
-    store.commit(entity_log_row(metrics, run_id, entity, start, clock()), run_id, entity)
+    store.commit(
+        state.following(
+            kind=RUN,
+            opened=state.opened + opened,
+            ended=state.ended + ended,
+            active_rows=base.active_rows + inserted - deleted,
+            run_id=run_id,
+            snapshot_id=snapshot_id,
+            start_ts=str(start),
+            end_ts=str(clock()),
+            counters=counters,
+        )
+    )
     log.info("entity %s run %s: %s", entity, run_id, counters)
     return counters
 
@@ -283,6 +321,7 @@ def process(
     clock: Clock = utc_now,
     limits: Limits = Limits(),
     schemas: dict[str, T.StructType] | None = None,
+    snapshot_id: int | None = None,
 ) -> str | None:
     """Run the entity of one configuration id as part of a run.
 
@@ -294,7 +333,7 @@ def process(
         cfg = find_config(configs, config_id)
         name = cfg.entity_name
         src = source(spark, cfg.source_table)
-        run_entity(spark, store, cfg, src, run_id, clock, limits, (schemas or {}).get(name))
+        run_entity(spark, store, cfg, src, run_id, clock, limits, (schemas or {}).get(name), snapshot_id)
         return None
     except Exception as failure:  # any failure of an entity ends up in the log
         log.warning("entity %s failed: %s", name, failure)
@@ -316,6 +355,7 @@ def run(
     clock: Clock = utc_now,
     limits: Limits = Limits(),
     schemas: dict[str, T.StructType] | None = None,
+    snapshot_id: int | None = None,
 ) -> RunResult:
     """Run all active entities in order of their configuration id.
 
@@ -333,7 +373,7 @@ def run(
     store.append_event(run_id, 0, RUNNING, clock())
     failures: dict[str, str] = {}
     for cfg in chosen:
-        message = process(spark, store, chosen, cfg.config_id, run_id, source, clock, limits, schemas)
+        message = process(spark, store, chosen, cfg.config_id, run_id, source, clock, limits, schemas, snapshot_id)
         if message is not None:
             failures[cfg.entity_name] = message
             if on_entity_failure == "stop":

@@ -32,6 +32,38 @@ def create_new(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def rename_new(spark: SparkSession, path: str, target: str) -> bool:
+    """Give a file its final name; False, and nothing is changed, if that name is taken."""
+    jvm = spark._jvm
+    fs, source = _resolve(spark, path)
+    final = jvm.org.apache.hadoop.fs.Path(target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(final), none)
+        return True
+    except Exception:
+        if fs.exists(final):
+            return False
+        raise
+
+
+def ages(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names in a folder with the seconds since they were last changed."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return {}
+    now = spark._jvm.System.currentTimeMillis()
+    return {s.getPath().getName(): (now - s.getModificationTime()) / 1000 for s in fs.listStatus(target)}
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a folder."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, target = _resolve(spark, path)
     out = fs.create(target, True)

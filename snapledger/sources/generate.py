@@ -11,8 +11,10 @@ DEPARTMENTS = ["Tester", "Management", "Engineering", "Schoonmaak", "Sales"]
 
 
 def _draw(salt: str, seed: int, n: int) -> Column:
-    """A number in [0, n) that depends on the row and the seed only, not on partitions."""
-    return F.pmod(F.xxhash64("id", F.lit(f"{salt}{seed}")), F.lit(n))
+    """A number in [0, n) that depends on the row and the seed only, not on partitions: the first
+    eight hexadecimal digits of the MD5 of ``id|salt|seed``."""
+    digest = F.md5(F.concat(F.col("id").cast("string"), F.lit(f"|{salt}|{seed}")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % n
 
 
 def _pick(names: list[str], salt: str, seed: int) -> Column:
@@ -22,9 +24,13 @@ def _pick(names: list[str], salt: str, seed: int) -> Column:
 
 def generate_employees(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
     """``n`` employees with ids from R000001 and salaries in [2000, 10000)."""
-    digits = F.col("id").cast("string")
-    return spark.range(1, n + 1).select(
-        F.concat(F.lit("R"), F.lpad(digits, max(6, len(str(n))), "0")).alias("employee_id"),
+    return employees_for(spark.range(1, n + 1), seed, max(6, len(str(n))))
+
+
+def employees_for(ids: DataFrame, seed: int = 42, digits: int = 12) -> DataFrame:
+    """One employee for each row of ``ids``, whose only column is ``id``, a whole number."""
+    return ids.select(
+        F.concat(F.lit("R"), F.lpad(F.col("id").cast("string"), digits, "0")).alias("employee_id"),
         (_draw("salary", seed, 8000) + 2000).cast("decimal(18,2)").alias("salary"),
         _pick(MANAGERS, "manager", seed).alias("manager"),
         _pick(DEPARTMENTS, "department", seed).alias("department"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Schemas of the three sample entities.
@@ -13,17 +14,36 @@ ORDER = "order_id string, customer_id string, order_date date, total_amount deci
 # Most characters the customer target holds.
 CUSTOMER_LIMITS = {"customer_name": 50, "email": 50, "country": 2}
 
+# What an empty field without quotes is read as; no text of a file can be equal to it.
+MISSING = "\ue000missing\ue000"
+
 
 def load_snapshot_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType) -> DataFrame:
-    """A comma-separated snapshot with one header line. An empty field is NULL."""
-    return (
-        spark.read.schema(schema)
+    """A comma-separated snapshot with one header line. An empty field is NULL; a quoted empty field
+    is the empty text, or NULL in a column of another type."""
+    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    read = (
+        spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
+        .option("nullValue", MISSING)
         .csv(path)
     )
 
+    def column(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.StringType):
+            return F.col(f"`{f.name}`")
+        return F.nullif(F.trim(f"`{f.name}`"), F.lit("")).cast(f.dataType).alias(f.name)
+
+    return read.select(*[column(f) for f in schema])
+
+
+def empty_table(spark: SparkSession, path: str) -> None:
+    """Take all rows out of a parquet table; its columns stay."""
+    schema = spark.read.parquet(path).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
 
 def read_staging(spark: SparkSession, name: str) -> DataFrame:
     """The whole snapshot: a parquet path if the name has a slash, else a table of the catalog."""

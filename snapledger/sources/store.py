@@ -2,23 +2,29 @@
 
 Layout below the root::
 
-    targets/<entity>/run_id=N/is_active=true    active slice after run N
-    targets/<entity>/run_id=N/is_active=false   rows closed by run N only
-    targets/<entity>/schema.json
-    changes/<entity>/run_id=N                   keys that are not unchanged, with their class
-    logs/entity_log/N/<entity>                  commit record of entity and run
+    targets/<target table>/opened/version=V    rows that a run, a load or a compaction has opened
+    targets/<target table>/ended/version=V     (key, version that opened it, how it ended)
+    targets/<target table>/closed/version=V    closed rows, put together by a compaction
+    commits/<entity>/<number>.json             one record per commit, numbered without gaps
+    changes/<entity>/run_id=N                  keys that are not unchanged, with their class
     logs/error_log/N/<entity>
     logs/run_events/N-<seq>
-    runs/N                                      claim of a run id
+    runs/N                                     claim of a run id
 
-The entity-log row is written last and commits a run of an entity. Readers use committed runs only:
-the newest one for the active slice, all of them for the closed rows. Files of a run that failed
-are never read, so there is nothing to undo. Closed rows are never written again.
+A run writes the rows that it opens and the keys that it ends, nothing else, so it costs as much as
+has changed. The last commit record lists the versions that make up the target: its active rows are
+the opened ones that have not ended. :meth:`VersionStore.compact` puts them together again.
+
+A commit record gets its number by a rename that fails if the number is taken. A run numbers its
+record after the one that it started from, so of two runs that overlap one fails. Files that no
+record lists are never read; there is nothing to undo after a failure.
 """
 
 from __future__ import annotations
 
 import json
+import secrets
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 from urllib.parse import quote
 
@@ -26,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapledger.functions.hashing import ENCODING_VERSION
 from snapledger.operators.quality import ERROR_SCHEMA
 from snapledger.sources import fs
 from snapledger.sources.rows import no_rows, one_row
@@ -45,6 +52,44 @@ ENTITY_LOG_SCHEMA = (
 )
 RUN_EVENT_SCHEMA = "run_id bigint, seq int, status string, ts timestamp_ntz"
 
+# Kinds of commits. Only runs are shown in the entity log.
+RUN, ADOPT, COMPACT, RESET, CARRY = "run", "adopt", "compact", "reset", "carry"
+
+
+class CommitConflict(RuntimeError):
+    """Another commit of the entity came first."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """One commit of an entity and the state of its target after it."""
+
+    entity_name: str
+    location: str
+    number: int = 0
+    kind: str = RUN
+    schema: str | None = None
+    hash_nulls: str = "keep"
+    encoding_version: int = ENCODING_VERSION
+    primary_key: str | None = None
+    opened: list[int] = field(default_factory=list)
+    ended: list[int] = field(default_factory=list)
+    closed: list[int] = field(default_factory=list)
+    active_rows: int = 0
+    run_id: int | None = None
+    snapshot_id: int | None = None
+    start_ts: str | None = None
+    end_ts: str | None = None
+    counters: dict[str, int] = field(default_factory=dict)
+
+    def following(self, **changed) -> "Commit":
+        """The record after this one, with the same target unless told otherwise."""
+        own = {"run_id": None, "snapshot_id": None, "start_ts": None, "end_ts": None, "counters": {}}
+        return replace(self, **{**own, "number": self.number + 1, **changed})
+
+    def columns(self) -> T.StructType | None:
+        return T.StructType.fromJson(json.loads(self.schema)) if self.schema else None
+
 
 class VersionStore:
     """Targets and logs of all entities below one root path."""
@@ -55,17 +100,25 @@ class VersionStore:
 
     # paths
 
-    def _target(self, entity: str) -> str:
-        return f"{self.root}/targets/{quote(entity, safe='')}"
+    @staticmethod
+    def _name(name: str) -> str:
+        if name in ("", ".", ".."):
+            raise ValueError(f"{name!r} cannot name an entity or a target")
+        return quote(name, safe="")
 
-    def version_path(self, entity: str, run_id: int) -> str:
-        return f"{self._target(entity)}/run_id={run_id}"
+    def location(self, target_table: str) -> str:
+        """The place of a target below the root."""
+        return f"targets/{self._name(target_table)}"
 
-    def _slice(self, entity: str, run_id: int, active: bool) -> str:
-        return f"{self.version_path(entity, run_id)}/is_active={str(active).lower()}"
+    def _part(self, location: str, part: str, version: int | None = None) -> str:
+        path = f"{self.root}/{location}/{part}"
+        return path if version is None else f"{path}/version={version}"
 
-    def _changes(self, entity: str, run_id: int) -> str:
-        return f"{self.root}/changes/{quote(entity, safe='')}/run_id={run_id}"
+    def _commits(self, entity: str) -> str:
+        return f"{self.root}/commits/{self._name(entity)}"
+
+    def _changes(self, entity: str) -> str:
+        return f"{self.root}/changes/{self._name(entity)}"
 
     def _log(self, name: str) -> str:
         return f"{self.root}/logs/{name}"
@@ -76,10 +129,46 @@ class VersionStore:
             return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
+    # commits
+
+    def _numbers(self, entity: str) -> list[str]:
+        """Names of the commit records in order: one listing of one folder."""
+        return [n for n in fs.list_names(self.spark, self._commits(entity)) if n.endswith(".json") and n[0] != "."]
+
+    def latest(self, entity: str) -> Commit | None:
+        names = self._numbers(entity)
+        if not names:
+            return None
+        return Commit(**json.loads(fs.read_text(self.spark, f"{self._commits(entity)}/{names[-1]}")))
+
+    def commit(self, record: Commit) -> None:
+        """Publish a record. Raises :class:`CommitConflict` if its number is taken."""
+        folder = self._commits(record.entity_name)
+        draft = f"{folder}/.{secrets.token_hex(8)}"
+        fs.make_dirs(self.spark, folder)
+        fs.write_text(self.spark, draft, json.dumps(asdict(record)))
+        if not fs.rename_new(self.spark, draft, f"{folder}/{record.number:012d}.json"):
+            fs.remove(self.spark, draft)
+            raise CommitConflict(f"another run of {record.entity_name} was committed meanwhile")
+
+    def commits(self, entity: str | None = None) -> DataFrame:
+        """Records of committed runs, of one entity or of all."""
+        counters = ", ".join(f"{c}: bigint" for c in COUNTERS)
+        schema = (
+            "kind string, entity_name string, run_id bigint, snapshot_id bigint, start_ts string, end_ts string, "
+            f"counters struct<{counters}>"
+        )
+        path = f"{self.root}/commits" if entity is None else self._commits(entity)
+        if not fs.exists(self.spark, path):
+            return no_rows(self.spark, schema)
+        records = self.spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
+        return records.where(F.col("kind") == RUN)
+
     # logs
 
     def entity_log(self) -> DataFrame:
-        return self._read_log("entity_log", ENTITY_LOG_SCHEMA)
+        stamps = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_ts", "end_ts")]
+        return self.commits().select("run_id", *stamps, "entity_name", *[F.col(f"counters.{c}").alias(c) for c in COUNTERS])
 
     def error_log(self) -> DataFrame:
         return self._read_log("error_log", ERROR_SCHEMA)
@@ -91,6 +180,9 @@ class VersionStore:
         """False if another run took this id."""
         return fs.create_new(self.spark, f"{self.root}/runs/{run_id}")
 
+    def claimed_runs(self) -> list[int]:
+        return sorted(int(n) for n in fs.list_names(self.spark, f"{self.root}/runs"))
+
     def append_event(self, run_id: int, seq: int, status: str, ts: datetime) -> None:
         row = one_row(self.spark, RUN_EVENT_SCHEMA, (run_id, seq, status, ts))
         row.write.mode("overwrite").parquet(f"{self._log('run_events')}/{run_id}-{seq}")
@@ -98,83 +190,164 @@ class VersionStore:
     def append_errors(self, run_id: int, entity: str, errors: DataFrame, part: str = "rows") -> DataFrame:
         """Write the error rows of one run and entity and return them as stored. A retry replaces
         its own rows and no others."""
-        path = f"{self._log('error_log')}/{run_id}/{quote(entity, safe='')}/{part}"
+        path = f"{self._log('error_log')}/{run_id}/{self._name(entity)}/{part}"
         errors.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(ERROR_SCHEMA).parquet(path)
 
-    def commit(self, entity_log_row: DataFrame, run_id: int, entity: str) -> None:
-        path = f"{self._log('entity_log')}/{run_id}/{quote(entity, safe='')}"
-        entity_log_row.write.mode("overwrite").parquet(path)
-
-    def committed_runs(self, entity: str) -> list[int]:
-        """Run ids in ascending order; one per run of the entity. A commit record appears under its
-        final name only when its write is complete, so the file listing is enough."""
-        found = fs.match(self.spark, f"{self._log('entity_log')}/*/{quote(entity, safe='')}/part-*")
-        return sorted({int(path.split("/")[-3]) for path in found})
-
-    def claimed_runs(self) -> list[int]:
-        return sorted(int(n) for n in fs.list_names(self.spark, f"{self.root}/runs"))
-
     # targets
 
     def schema(self, entity: str) -> T.StructType | None:
-        path = f"{self._target(entity)}/schema.json"
-        if not fs.exists(self.spark, path):
-            return None
-        return T.StructType.fromJson(json.loads(fs.read_text(self.spark, path)))
-
-    def declare(self, entity: str, schema: T.StructType) -> None:
-        """Fix the columns of a target, as a table definition does."""
-        fs.write_text(self.spark, f"{self._target(entity)}/schema.json", schema.json())
+        record = self.latest(entity)
+        return None if record is None else record.columns()
 
-    def _read_slices(self, paths: list[str], active: bool, schema: T.StructType) -> DataFrame:
-        paths = [p for p in paths if fs.exists(self.spark, p)]
-        if not paths:
-            return no_rows(self.spark, schema)
-        stored = T.StructType([f for f in schema if f.name != "is_active"])
-        rows = self.spark.read.schema(stored).parquet(*paths)
-        return rows.withColumn("is_active", F.lit(active)).select(*schema.fieldNames())
-
-    def _versions(self, entity: str) -> list[int]:
-        """Committed runs that wrote files; a run without changes writes none."""
-        return [r for r in self.committed_runs(entity) if fs.exists(self.spark, self.version_path(entity, r))]
-
-    def read_active(self, entity: str, schema: T.StructType | None = None) -> DataFrame:
-        schema = schema or self._known_schema(entity)
-        newest = self._versions(entity)[-1:]
-        return self._read_slices([self._slice(entity, r, True) for r in newest], True, schema)
-
-    def read_closed(self, entity: str, schema: T.StructType | None = None) -> DataFrame:
-        schema = schema or self._known_schema(entity)
-        return self._read_slices([self._slice(entity, r, False) for r in self._versions(entity)], False, schema)
-
-    def read_target(self, entity: str) -> DataFrame:
-        return self.read_active(entity).unionByName(self.read_closed(entity))
-
-    def _known_schema(self, entity: str) -> T.StructType:
-        schema = self.schema(entity)
-        if schema is None:
+    def _known(self, entity: str) -> Commit:
+        record = self.latest(entity)
+        if record is None or record.schema is None:
             raise ValueError(f"entity {entity} has no target yet")
-        return schema
+        return record
+
+    def _read(self, location: str, part: str, versions: list[int], schema: T.StructType) -> DataFrame:
+        """Rows of some versions with the version that they are in."""
+        full = T.StructType([*schema, T.StructField("version", T.LongType())])
+        if not versions:
+            return no_rows(self.spark, full)
+        reader = self.spark.read.schema(full).option("basePath", self._part(location, part))
+        return reader.parquet(*[self._part(location, part, v) for v in versions])
+
+    def _ended_schema(self, columns: T.StructType, pk: str) -> T.StructType:
+        types = {"end_ts": "timestamp_ntz", "cdc_operation": "string", "is_kept": "boolean"}
+        ends = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in types.items()))
+        return T.StructType([columns[pk], T.StructField("opened_version", T.LongType()), *ends])
+
+    def active_rows(self, record: Commit) -> DataFrame:
+        """The active slice after a commit, each row with the ``opened_version`` that holds it.
+
+        An active key occurs once, so (key, version) names a row. The keys that ended since the last
+        compaction are short rows; they are broadcast if their files are small.
+        """
+        columns = record.columns()
+        rows = self._read(record.location, "opened", record.opened, columns).withColumnRenamed("version", "opened_version")
+        if not record.ended:
+            return rows
+        ended = self._read(record.location, "ended", record.ended, self._ended_schema(columns, record.primary_key))
+        on = [record.primary_key, "opened_version"]
+        return rows.join(ended.select(*on), on, "left_anti").select(*columns.fieldNames(), "opened_version")
+
+    def closed_rows(self, record: Commit) -> DataFrame:
+        columns = record.columns()
+        closed = self._read(record.location, "closed", record.closed, columns).drop("version")
+        if not record.ended:
+            return closed
+        pk, on = record.primary_key, [record.primary_key, "opened_version"]
+        ends = self._read(record.location, "ended", record.ended, self._ended_schema(columns, pk)).where("is_kept").select(
+            *on, F.col("end_ts").alias("_end_ts"), F.col("cdc_operation").alias("_operation")
+        )
+        rows = self._read(record.location, "opened", record.opened, columns).withColumnRenamed("version", "opened_version").join(ends, on)
+        changed = {
+            "end_ts": F.col("_end_ts"),
+            "is_active": F.lit(False),
+            "cdc_operation": F.coalesce("_operation", "cdc_operation"),
+        }
+        return closed.unionByName(rows.select(*[changed.get(f.name, F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in columns]))
+
+    def read_active(self, entity: str) -> DataFrame:
+        return self.active_rows(self._known(entity)).drop("opened_version")
+
+    def read_closed(self, entity: str) -> DataFrame:
+        return self.closed_rows(self._known(entity))
 
-    def publish(self, entity: str, run_id: int, rows: DataFrame) -> None:
-        """Write the rows of a new version. They count once the run is committed."""
-        rows.write.mode("overwrite").partitionBy("is_active").parquet(self.version_path(entity, run_id))
+    def read_target(self, entity: str) -> DataFrame:
+        record = self._known(entity)
+        return self.active_rows(record).drop("opened_version").unionByName(self.closed_rows(record))
+
+    def write(self, location: str, part: str, rows: DataFrame) -> tuple[int | None, int]:
+        """Write rows as a new version and return it with their number; no version for no rows."""
+        version = secrets.randbits(62)
+        path = self._part(location, part, version)
+        rows.write.parquet(path)
+        count = self.spark.read.schema(rows.schema).parquet(path).count()
+        return (version, count) if count else (None, 0)
+
+    def adopt(self, entity: str, target_table: str, pk: str, rows: DataFrame, hash_nulls: str = "keep") -> None:
+        """Make a versioned frame, history included, the target of an entity that has none yet."""
+        record = self.latest(entity)
+        if record is not None and record.schema is not None:
+            raise ValueError(f"entity {entity} has a target already")
+        location = self.location(target_table)
+        opened, count = self.write(location, "opened", rows.where("is_active"))
+        closed, _ = self.write(location, "closed", rows.where("not is_active"))
+        start = record or Commit(entity, location)
+        self.commit(
+            start.following(
+                location=location, kind=ADOPT, schema=rows.schema.json(), hash_nulls=hash_nulls, primary_key=pk, encoding_version=ENCODING_VERSION,
+                opened=[opened] if count else [], closed=[closed] if closed is not None else [], ended=[], active_rows=count,
+            )
+        )
+
+    def compact(self, entity: str) -> None:
+        """Put the active rows together in one version and the rows that ended since in another."""
+        record = self._known(entity)
+        opened, count = self.write(record.location, "opened", self.active_rows(record).drop("opened_version"))
+        since = replace(record, closed=[])
+        closed, _ = self.write(record.location, "closed", self.closed_rows(since))
+        self.commit(
+            record.following(
+                kind=COMPACT, opened=[opened] if count else [], ended=[],
+                closed=record.closed + ([closed] if closed is not None else []),
+            )
+        )
+
+    def vacuum(self, entity: str, older_than: float = 86_400.0) -> list[str]:
+        """Remove versions and key tables that the target no longer needs, if they have not been
+        changed for so many seconds: a run that is on its way must not lose what it reads or writes.
+        The key table of the last committed run stays. Returns the removed paths."""
+        record = self._known(entity)
+        gone = []
+        for part in ("opened", "ended", "closed"):
+            needed = {f"version={v}" for v in getattr(record, part)}
+            folder = self._part(record.location, part)
+            gone += [f"{folder}/{n}" for n, age in fs.ages(self.spark, folder).items() if n not in needed and age >= older_than]
+        runs = {n: age for n, age in fs.ages(self.spark, self._changes(entity)).items() if n.startswith("run_id=")}
+        last = max((int(n.partition("=")[2]) for n in runs), default=None)
+        gone += [f"{self._changes(entity)}/{n}" for n, age in runs.items() if n != f"run_id={last}" and age >= older_than]
+        for path in gone:
+            fs.remove(self.spark, path)
+        return gone
 
     def write_changes(self, entity: str, run_id: int, changes: DataFrame) -> DataFrame:
-        path = self._changes(entity, run_id)
+        path = f"{self._changes(entity)}/run_id={run_id}"
         changes.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(changes.schema).parquet(path)
 
     def read_changes(self, entity: str, run_id: int) -> DataFrame:
-        return self.spark.read.parquet(self._changes(entity, run_id))
+        return self.spark.read.parquet(f"{self._changes(entity)}/run_id={run_id}")
 
     def reset(self, *entities: str, logs: bool = True) -> None:
-        """Empty the named targets, and the logs of the store unless told otherwise."""
+        """Empty the named targets, and the logs of the store unless told otherwise.
+
+        Commit records carry the entity log. With the logs those of the named entities go, and those
+        of the others are replaced by one that has the state of the target alone.
+        """
         for entity in entities:
-            fs.remove(self.spark, self._target(entity))
-            fs.remove(self.spark, f"{self.root}/changes/{quote(entity, safe='')}")
-        if logs:
-            for name in ("entity_log", "error_log", "run_events"):
-                fs.remove(self.spark, self._log(name))
-            fs.remove(self.spark, f"{self.root}/runs")
+            record = self.latest(entity)
+            if record is None:
+                continue
+            if logs:
+                fs.remove(self.spark, self._commits(entity))
+            else:
+                self.commit(record.following(kind=RESET, schema=None, opened=[], ended=[], closed=[], active_rows=0))
+            fs.remove(self.spark, f"{self.root}/{record.location}")
+            fs.remove(self.spark, self._changes(entity))
+        if not logs:
+            return
+        for folder in fs.list_names(self.spark, f"{self.root}/commits"):
+            names = [n for n in fs.list_names(self.spark, f"{self.root}/commits/{folder}") if n.endswith(".json") and n[0] != "."]
+            if not names:
+                continue
+            last = Commit(**json.loads(fs.read_text(self.spark, f"{self.root}/commits/{folder}/{names[-1]}")))
+            self.commit(last.following(kind=CARRY))
+            for name in names:
+                fs.remove(self.spark, f"{self.root}/commits/{folder}/{name}")
+        for name in ("error_log", "run_events"):
+            fs.remove(self.spark, self._log(name))
+        fs.remove(self.spark, f"{self.root}/runs")

@@ -3,8 +3,8 @@
 A run needs one *whole* snapshot, so the stream carries manifest rows: one row per snapshot whose
 directory is complete. A streaming query moves new rows into a queue table exactly once; its
 checkpoint is the offset, so a second call without new snapshots finds nothing. The queued
-snapshots are then run one by one in order of their id. A snapshot that was run before a crash is
-skipped by its marker.
+snapshots are then run one by one in order of their id. The commit record of a run names its
+snapshot, so a snapshot counts as done exactly when its run is committed.
 """
 
 from __future__ import annotations
@@ -44,8 +44,9 @@ def consume(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpo
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
-def pending(spark: SparkSession, queue_dir: str, done_dir: str, cfg: EntityConfig) -> list[tuple[int, str]]:
-    """Queued snapshots of the entity that were not run yet, by id; one row per snapshot."""
+def pending(spark: SparkSession, queue_dir: str, store: VersionStore, cfg: EntityConfig) -> list[tuple[int, str]]:
+    """Queued snapshots of the entity that no committed run has read, by id; one row per snapshot.
+    Those that are done are left out by a join; only what is still to do reaches the driver."""
     if not fs.exists(spark, queue_dir):
         return []
     queued = (
@@ -54,11 +55,10 @@ def pending(spark: SparkSession, queue_dir: str, done_dir: str, cfg: EntityConfi
         .where(F.col("entity_name") == cfg.entity_name)
         .select("snapshot_id", "path")
         .distinct()
-        .orderBy("snapshot_id")
-        .collect()
     )
-    done = set(fs.list_names(spark, done_dir))
-    return [(r.snapshot_id, r.path) for r in queued if str(r.snapshot_id) not in done]
+    done = store.commits(cfg.entity_name).where("snapshot_id is not null").select("snapshot_id")
+    waiting = queued.join(done, "snapshot_id", "left_anti").orderBy("snapshot_id", "path")
+    return [(r.snapshot_id, r.path) for r in waiting.collect()]
 
 
 def stream_cdc(
@@ -73,16 +73,15 @@ def stream_cdc(
     """Run the entity once for every snapshot that was announced since the last call."""
     shared_dir(spark)
     queue_dir = f"{checkpoint}/queue"
-    done_dir = f"{checkpoint}/done/{cfg.entity_name}"
     consume(spark, manifest_dir, MANIFEST_SCHEMA, queue_dir, f"{checkpoint}/offsets")
     results = []
-    for snapshot_id, path in pending(spark, queue_dir, done_dir, cfg):
+    for snapshot_id, path in pending(spark, queue_dir, store, cfg):
         snapshot = spark.read.parquet(path)
-        result = run(spark, store, [cfg], source=lambda s, n, df=snapshot: df, clock=clock, limits=limits)
+        source = lambda s, n, df=snapshot: df
+        result = run(spark, store, [cfg], source, clock=clock, limits=limits, snapshot_id=snapshot_id)
         results.append(result)
         if result.status != COMPLETED:
             break
-        fs.create_new(spark, f"{done_dir}/{snapshot_id}")
     return results
 
 

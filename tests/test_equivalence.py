@@ -12,12 +12,13 @@ from snapledger.config import EntityConfig
 from snapledger.operators.changes import classify
 from snapledger.operators.keys import active
 from snapledger.plans.apply import next_rows
-from snapledger.plans.run import Limits, changed_rows, run_entity
+from snapledger.functions.hashing import with_row_hash
+from snapledger.plans.run import Limits, ended_keys, opened_rows, run_entity
 from snapledger.sources.store import VersionStore
 from datetime import datetime
 
 PAIRS = [(u, d) for u in ("HISTORY", "OVERWRITE") for d in ("SOFT", "HARD")]
-BROADCAST, JOINED = Limits(share=100.0), Limits(rows=0, key_bytes=0)
+BROADCAST, JOINED = Limits(), Limits(rows=0, key_bytes=0)
 EARLIER, NOW = "2026-01-01 00:00:00", "2026-01-02 00:00:00"
 
 
@@ -69,23 +70,37 @@ def test_one_plan_equals_the_statement_sequence(spark, seed):
         assert flags(rows) == expected, (update, delete)
 
 
+@pytest.mark.parametrize("fit", [True, False])
 @pytest.mark.parametrize("seed", range(6, 8))
-def test_broadcast_plan_equals_the_join_plan(spark, seed, monkeypatch):
+def test_opened_rows_and_ended_keys_make_up_the_next_rows(spark, seed, fit):
     target, staging = scenario(seed)
-    t, s, hashed = frames(spark, target, staging)
-    import snapledger.plans.run as run_module
-
-    monkeypatch.setattr(
-        run_module, "with_row_hash",
-        lambda df, nulls="keep", columns=None: df.withColumn(
-            "row_hash", F.concat(F.coalesce("pk", F.lit("None")), F.lit("/"), "v")
-        ),
-    )
+    t, s, _ = frames(spark, target, staging)
+    t = with_row_hash(t, columns=["pk", "v"]).select(*t.columns)
+    hashed, slice_ = with_row_hash(s), active(t).withColumn("opened_version", F.lit(7).cast("long"))
     for update, delete in PAIRS:
         cfg = EntityConfig(1, "E", "s", "t", "pk", delete_strategy=delete, update_strategy=update)
-        moved = classify(hashed, t, "pk").where(F.col("cdc_class").isin("I", "U", "D"))
-        few = changed_rows(s, active(t), moved, cfg, NOW)
-        assert flags(few) == flags(next_rows(hashed, active(t), cfg, NOW)), (update, delete)
+        changes = classify(hashed, slice_, "pk", "opened_version").where("cdc_class <> 'N'").cache()
+        opened = opened_rows(s, changes, t.schema, cfg, NOW, keys_fit=fit)
+        ended = ended_keys(changes, cfg, NOW)
+        kept = slice_.join(ended, ["pk", "opened_version"], "left_anti").select(*t.columns)
+        closed = active(t).join(ended.where("is_kept").select("pk", F.col("end_ts").alias("e"), F.col("cdc_operation").alias("o")), "pk").select(
+            "row_hash", "start_ts", F.col("e").alias("end_ts"), F.lit(False).alias("is_active"),
+            F.coalesce("o", "cdc_operation").alias("cdc_operation"), "pk", "v",
+        )
+        after = opened.unionByName(kept).unionByName(closed)
+        assert flags(after) == flags(next_rows(hashed, active(t), cfg, NOW)), (update, delete)
+
+
+@pytest.mark.parametrize("fit", [True, False])
+def test_a_first_load_opens_all_rows_that_occur_once(spark, fit):
+    _, staging = scenario(9)
+    t, s, _ = frames(spark, scenario(9)[0], staging)
+    none = active(t).where("false").withColumn("opened_version", F.lit(7).cast("long"))
+    hashed = with_row_hash(s)
+    changes = classify(hashed, none, "pk", "opened_version").where("cdc_class <> 'N'")
+    cfg = EntityConfig(1, "E", "s", "t", "pk")
+    opened = opened_rows(s, changes, t.schema, cfg, NOW, all_new=True, blocked_fit=fit)
+    assert flags(opened) == flags(next_rows(hashed, none.drop("opened_version"), cfg, NOW))
 
 
 @pytest.mark.parametrize("update,delete", [PAIRS[0], PAIRS[3]])

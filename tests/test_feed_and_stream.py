@@ -62,6 +62,28 @@ def test_each_snapshot_is_run_once_in_order(spark, store, tmp_path):
     assert sorted((r.id, r.v) for r in store.read_active("A").collect()) == [("1", "b"), ("3", "n")]
 
 
+def test_a_crash_after_the_commit_repeats_nothing(spark, store, tmp_path, monkeypatch):
+    cfg = EntityConfig(1, "A", "s", "t", "id")
+    root = str(tmp_path)
+    path = f"{root}/snap"
+    spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "b"), ("2", "c")], SCHEMA).write.parquet(path)
+    manifest.announce(spark, f"{root}/manifest", 1, "A", path)
+    real = manifest.run
+
+    def crash(*args, **options):
+        real(*args, **options)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(manifest, "run", crash)
+    try:
+        manifest.stream_cdc(spark, f"{root}/manifest", cfg, store, f"{root}/checkpoint")
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.setattr(manifest, "run", real)
+    assert manifest.stream_cdc(spark, f"{root}/manifest", cfg, store, f"{root}/checkpoint") == []
+    assert store.entity_log().count() == 1 and store.error_log().count() == 5
+
+
 def test_failed_snapshot_is_tried_again(spark, store, tmp_path):
     cfg = EntityConfig(1, "A", "s", "t", "id", length_limits={"v": 2})
     root = str(tmp_path)

@@ -81,6 +81,37 @@ def test_nested_and_binary_columns(spark):
     assert a == b and len({a, c, d}) == 3
 
 
+def test_nested_values_lose_nothing(spark):
+    def of(micros):
+        t = f"timestamp_micros({micros})"
+        n = f"cast({t} as timestamp_ntz)"
+        return spark.sql(f"select named_struct('a', {t}, 'b', {n}) as s, array({t}) as a, map('k', {t}) as m, map('k', named_struct('x', {n})) as d")
+
+    for name in ("s", "a", "m", "d"):
+        assert hashes(of(1700000000123456).select(name)) != hashes(of(1700000000123464).select(name)), name
+    zone, before = spark.conf.get("spark.sql.session.timeZone"), hashes(of(1700000000123456).select("s", "a", "m"))
+    text = "named_struct('m', map('a', 1, 'b', 2)) as s"
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        instants = spark.sql("select array(timestamp_micros(1700000000123456)) as a, map('k', timestamp_micros(1700000000123456)) as m")
+        mine = hashes(instants)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert mine == hashes(of(1700000000123456).select("a", "m")) and before
+    assert hashes(spark.sql(f"select {text}")) == hashes(spark.sql("select named_struct('m', map('b', 2, 'a', 1)) as s"))
+
+
+def test_neighbouring_nested_values_do_not_collide(spark):
+    df = spark.sql(
+        "select * from values (array('a;', 'b'), named_struct('x', 'N;', 'y', cast(null as string))),"
+        " (array('a', ';b'), named_struct('x', cast(null as string), 'y', 'N;')),"
+        " (array('a;b'), named_struct('x', 'N;y=N;', 'y', '')), (cast(array() as array<string>), cast(null as struct<x:string,y:string>)),"
+        " (cast(null as array<string>), named_struct('x', cast(null as string), 'y', cast(null as string))) as t(a, s)"
+    )
+    for name in ("a", "s"):
+        assert len(set(hashes(df.select(name)))) == 5, name
+
+
 def test_decimal_scale_is_part_of_the_text(spark):
     df = spark.createDataFrame([(Decimal("1.50"),), (Decimal("1.5"),)], "v decimal(18,2)")
     a, b = hashes(df)

@@ -12,7 +12,7 @@ from snapledger.operators import changes as ch
 from snapledger.operators import quality
 from snapledger.operators.keys import active, key_summary
 from snapledger.plans.apply import next_rows
-from snapledger.plans.run import changed_rows
+from snapledger.plans.run import ended_keys, opened_rows
 
 
 def plan(df):
@@ -52,10 +52,25 @@ def test_classify_reads_narrow_columns_of_the_target(pair):
 
 def test_few_changes_need_no_exchange(pair):
     src, tgt = pair
-    moved = ch.classify(with_row_hash(src), tgt, w.ORDERS_PK).where(F.col("cdc_class").isin("I", "U", "D"))
-    moved = moved.checkpoint()
-    text = plan(changed_rows(src, active(tgt), moved, w.orders_config(), w.RUN_TS))
-    assert exchanges(text) == 0 and text.count("BroadcastHashJoin") == 2
+    slice_ = active(tgt).withColumn("opened_version", F.lit(7).cast("long"))
+    moved = ch.classify(with_row_hash(src), slice_, w.ORDERS_PK, "opened_version").where("cdc_class <> 'N'").checkpoint()
+    text = plan(opened_rows(src, moved, tgt.schema, w.orders_config(), w.RUN_TS, keys_fit=True))
+    assert exchanges(text) == 0 and text.count("BroadcastHashJoin") == 1
+    assert exchanges(plan(ended_keys(moved, w.orders_config(), w.RUN_TS))) == 0
+
+
+def test_a_first_load_has_no_wide_exchange(pair):
+    src, tgt = pair
+    none = active(tgt).where("false").withColumn("opened_version", F.lit(7).cast("long"))
+    moved = ch.classify(with_row_hash(src), none, w.ORDERS_PK, "opened_version").checkpoint()
+    text = plan(opened_rows(src, moved, tgt.schema, w.orders_config(), w.RUN_TS, all_new=True, blocked_fit=True))
+    assert exchanges(text) == 0 and "Aggregate" not in text and "LeftAnti" in text
+
+
+def test_rows_are_told_apart_without_sorting_them(pair):
+    src, tgt = pair
+    text = plan(ch.classify(with_row_hash(src), tgt, w.ORDERS_PK))
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2
 
 
 def test_deletes_fold_the_keys_before_the_exchange(pair):
@@ -67,8 +82,8 @@ def test_deletes_fold_the_keys_before_the_exchange(pair):
 def test_errors_broadcast_only_the_bounded_heavy_keys(pair):
     src, _ = pair
     text = plan(quality.detect_errors(with_row_hash(src), w.ORDERS_PK, 1, "Order", w.RUN_TS))
-    assert "TakeOrderedAndProject(limit=1024" in text
-    assert text.count("BroadcastHashJoin") == 2 and "Cartesian" not in text and "NestedLoop" not in text
+    assert "TakeOrderedAndProject" not in text and "Cartesian" not in text and "NestedLoop" not in text
+    assert "SortAggregate" not in text and text.count("BroadcastHashJoin") <= 2
 
 
 def test_hot_key_is_folded_on_the_map_side(spark):
@@ -78,7 +93,7 @@ def test_hot_key_is_folded_on_the_map_side(spark):
     )
     summary = key_summary(with_row_hash(rows), "id")
     text = plan(summary)
-    assert text.count("SortAggregate") + text.count("HashAggregate") == 2
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2
     assert summary.where("n_rows > 1").collect()[0].n_rows == 100_000
     errors = quality.detect_errors(with_row_hash(rows), "id", 1, "E", "2026-01-01")
     assert quality.error_counts(errors).first().asDict() == {

@@ -109,12 +109,18 @@ def test_many_copies_are_written_out_in_runs(spark, monkeypatch):
     }
 
 
-@pytest.mark.parametrize("heavy", [1, 2, 100])
+@pytest.mark.parametrize("heavy", [10, 100, 1000])
 def test_heavy_and_light_keys_make_up_the_whole_join(spark, monkeypatch, heavy):
-    monkeypatch.setattr(skew, "HEAVY_KEYS", heavy)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", heavy)
     rows = spark.range(1000).selectExpr("case when id % 3 = 0 then 'hot' else concat('k', id % 7) end as id", "id as v")
     keys = rows.where("id <> 'k2'").groupBy("id").agg(F.count("*").alias("n"))
     joined = skew.match_keys(rows, keys, "id", "n")
     expected = rows.join(keys, "id")
     assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
     assert joined.count() == rows.where("id <> 'k2'").count()
+
+
+def test_counts_without_error_rows(src):
+    assert tuple(quality.count_errors(src, "id").first()) == (6, 6, 5)
+    assert tuple(quality.count_errors(src, "id", include_empty_key=False).first()) == (4, 3, 5)
+    assert tuple(quality.count_errors(src.where("id = 'k2'"), "id").first()) == (0, 0, 0)

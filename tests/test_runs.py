@@ -9,7 +9,7 @@ from snapledger.operators.reports import latest_run
 from snapledger.plans.run import Limits, claim_run_id, run, run_entity, stored_run_log
 
 SCHEMA = "id string, v string"
-BROADCAST, JOINED = Limits(share=100.0), Limits(rows=0, key_bytes=0)
+BROADCAST, JOINED = Limits(), Limits(rows=0, key_bytes=0)
 
 
 def cfg(config_id=1, name="A", **over):
@@ -37,11 +37,13 @@ def test_same_snapshot_twice_changes_nothing_and_writes_nothing(spark, store):
     source = snapshots(spark, A=[("1", "a"), ("2", "b")])
     run(spark, store, [cfg()], source)
     before = versions(store)
-    result = run(spark, store, [cfg()], source)
+    state = store.latest("A")
+    run(spark, store, [cfg()], source)
     last = latest_run(stored_run_log(store)).first()
     assert (last.rows_inserted, last.rows_updated, last.rows_deleted, last.rows_unchanged) == (0, 0, 0, 2)
     assert versions(store) == before
-    assert not (store.root and __import__("os").path.exists(store.version_path("A", result.run_id)))
+    after = store.latest("A")
+    assert (after.opened, after.ended, after.number) == (state.opened, state.ended, state.number + 1)
 
 
 def test_reactivation_is_an_insert_next_to_the_history(spark, store):
@@ -261,18 +263,147 @@ def test_unknown_key_column_fails(spark, store):
 
 
 def test_overlapping_runs_of_an_entity_do_not_lose_changes(spark, store, monkeypatch):
-    run(spark, store, [cfg()], snapshots(spark, A=[("1", "a")]))
-    real = store.publish
+    """The other run commits between the last look and the commit."""
+    run(spark, store, [cfg()], snapshots(spark, A=[("1", "a"), ("2", "a")]))
+    real = store.commit
 
-    def overtaken(entity, run_id, rows):
-        real(entity, run_id, rows)
-        monkeypatch.setattr(store, "publish", real)
-        run(spark, store, [cfg()], snapshots(spark, A=[("1", "b")]))
+    def overtaken(record):
+        monkeypatch.setattr(store, "commit", real)
+        run(spark, store, [cfg()], snapshots(spark, A=[("1", "b"), ("2", "a")]))
+        real(record)
 
-    monkeypatch.setattr(store, "publish", overtaken)
-    late = run(spark, store, [cfg()], snapshots(spark, A=[("1", "c")]))
+    monkeypatch.setattr(store, "commit", overtaken)
+    late = run(spark, store, [cfg()], snapshots(spark, A=[("1", "a"), ("2", "c")]))
     assert late.status == "FAILED" and "meanwhile" in late.failures["A"]
-    assert versions(store) == [("1", "a", False, "I"), ("1", "b", True, "U")]
+    assert versions(store) == [("1", "a", False, "I"), ("1", "b", True, "U"), ("2", "a", True, "I")]
+    assert run(spark, store, [cfg()], snapshots(spark, A=[("1", "b"), ("2", "c")])).status == "COMPLETED"
+
+
+def test_a_failed_first_run_leaves_no_schema_behind(spark, store):
+    limited = cfg(length_limits={"v": 2})
+    assert run(spark, store, [limited], snapshots(spark, A=[("1", "long")])).status == "FAILED"
+    assert store.schema("A") is None
+    wider = spark.createDataFrame([("1", "a", 5)], "id string, v string, extra int")
+    assert run(spark, store, [limited], lambda s, n: wider).status == "COMPLETED"
+    assert store.read_active("A").first().extra == 5
+
+
+def test_a_run_writes_in_proportion_to_what_changes(spark, store):
+    from snapledger.sources import fs
+
+    def snapshot(changed):
+        rows = spark.range(100_000).selectExpr("concat('k', id) as id", f"if(id < {changed}, 'new', sha2(string(id), 256)) as v")
+        return lambda s, n: rows
+
+    run(spark, store, [cfg()], snapshot(0))
+    full = fs.size(spark, f"{store.root}/targets") + fs.size(spark, f"{store.root}/changes")
+    run(spark, store, [cfg()], snapshot(100))
+    both = fs.size(spark, f"{store.root}/targets") + fs.size(spark, f"{store.root}/changes")
+    assert both - full < 0.05 * full
+    assert store.read_active("A").where("v = 'new'").count() == 100 and store.read_closed("A").count() == 100
+
+
+def test_compaction_and_vacuum_change_no_row(spark, store):
+    days = [[("1", "a"), ("2", "b"), ("3", "c")], [("1", "x"), ("2", "b")], [("1", "y"), ("3", "c")]]
+    for rows in days:
+        run(spark, store, [cfg()], snapshots(spark, A=rows))
+    before = versions(store)
+    store.compact("A")
+    state = store.latest("A")
+    assert versions(store) == before and len(state.opened) == 1 and state.ended == []
+    assert store.vacuum("A") == [] and len(store.vacuum("A", older_than=0)) >= 5
+    assert versions(store) == before
+    run(spark, store, [cfg()], snapshots(spark, A=[("1", "z"), ("3", "c")]))
+    store.compact("A")
+    assert ("1", "y", False, "U") in versions(store) and ("1", "z", True, "U") in versions(store)
+    assert [r.run_id for r in store.entity_log().orderBy("run_id").collect()] == [1, 2, 3, 4]
+
+
+def test_another_hash_fails_the_entity(spark, store):
+    source = snapshots(spark, A=[("1", None), ("2", "b")])
+    run(spark, store, [cfg()], source)
+    result = run(spark, store, [cfg(hash_nulls="drop")], source)
+    assert result.status == "FAILED" and "encoding" in result.failures["A"]
+
+
+def test_the_target_table_names_the_place_and_cannot_move(spark, store):
+    from snapledger.sources import fs
+
+    run(spark, store, [cfg()], snapshots(spark, A=[("1", "a")]))
+    assert fs.list_names(spark, f"{store.root}/targets") == ["T_A"]
+    moved = EntityConfig(1, "A", "S_A", "T_other", "id")
+    assert "T_other" in run(spark, store, [moved], snapshots(spark, A=[("1", "b")])).failures["A"]
+    for bad in ("", ".", ".."):
+        with pytest.raises(ConfigError):
+            EntityConfig(1, bad, "s", "t", "id").validate()
+        with pytest.raises(ValueError):
+            store.reset(bad)
+
+
+def test_a_versioned_frame_is_adopted_with_its_history(spark, store):
+    from snapledger.plans.apply import apply_cdc
+
+    first = apply_cdc(spark.createDataFrame([("1", "a"), ("2", "b")], SCHEMA), None, cfg(), "2026-01-01 00:00:00")
+    second = apply_cdc(spark.createDataFrame([("1", "x"), ("2", "b")], SCHEMA), first.target, cfg(), "2026-01-02 00:00:00")
+    store.adopt("A", "T_A", "id", second.target)
+    assert versions(store) == [("1", "a", False, "I"), ("1", "x", True, "U"), ("2", "b", True, "I")]
+    run(spark, store, [cfg()], snapshots(spark, A=[("1", "x"), ("2", "c")]))
+    assert versions(store) == [
+        ("1", "a", False, "I"), ("1", "x", True, "U"), ("2", "b", False, "I"), ("2", "c", True, "U"),
+    ]
+    assert {r.start_ts for r in store.read_active("A").where("id = '1'").collect()} == {datetime(2026, 1, 2)}
+    with pytest.raises(ValueError):
+        store.adopt("A", "T_A", "id", second.target)
+
+
+def test_lengths_come_from_the_declared_target(spark, store):
+    from pyspark.sql import types as T
+
+    declared = T.StructType(
+        [
+            T.StructField("row_hash", T.StringType()), T.StructField("start_ts", T.TimestampNTZType()),
+            T.StructField("end_ts", T.TimestampNTZType()), T.StructField("is_active", T.BooleanType()),
+            T.StructField("cdc_operation", T.StringType()), T.StructField("id", T.VarcharType(10)), T.StructField("v", T.VarcharType(2)),
+        ]
+    )
+    result = run(spark, store, [cfg()], snapshots(spark, A=[("1", "abc")]), schemas={"A": declared})
+    assert result.status == "FAILED" and "longer than 2" in result.failures["A"]
+    assert run(spark, store, [cfg()], snapshots(spark, A=[("1", "ab")]), schemas={"A": declared}).status == "COMPLETED"
+
+
+def test_all_settings_come_from_a_config_table(spark, store):
+    from snapledger.config import OPTIONAL_SCHEMA, T
+
+    schema = T.StructType([*CONFIG_SCHEMA, *OPTIONAL_SCHEMA])
+    rows = [
+        (1, "A", "S_A", "T_A", "id", None, None, None, True, "drop", False, {"v": 3}, False, True),
+        (2, "B", "S_B", "T_B", "id", None, None, None, True, None, None, None, None, None),
+    ]
+    a, b = load_configs(spark.createDataFrame(rows, schema))
+    assert (a.hash_nulls, a.dup_includes_empty_key, a.length_limits, a.allow_empty_snapshot, a.distinct_update_ts) == ("drop", False, {"v": 3}, False, True)
+    assert b == cfg(2, "B")
+
+
+def test_a_snapshot_that_changes_during_the_run_fails_it(spark, store, tmp_path):
+    path = str(tmp_path / "s")
+    spark.createDataFrame([("1", "a"), ("2", "b")], SCHEMA).write.parquet(path)
+    real = store.append_errors
+
+    def exchanged(*a, **k):
+        spark.createDataFrame([("1", "a")], SCHEMA).write.mode("overwrite").parquet(path)
+        return real(*a, **k)
+
+    store.append_errors = exchanged
+    with pytest.raises(Exception):
+        run_entity(spark, store, cfg(), spark.read.parquet(path), 1)
+    assert store.latest("A") is None
+
+
+def test_overwrite_has_one_time_for_all_updates(spark, store):
+    one = cfg(update_strategy="OVERWRITE", distinct_update_ts=True)
+    run_entity(spark, store, one, spark.createDataFrame([("1", "a"), ("2", "a")], SCHEMA), 1, lambda: datetime(2026, 1, 1))
+    run_entity(spark, store, one, spark.createDataFrame([("1", "b"), ("2", "b")], SCHEMA), 2, lambda: datetime(2026, 1, 2))
+    assert {r.start_ts for r in store.read_target("A").collect()} == {datetime(2026, 1, 2)}
 
 
 def test_lazy_result_with_distinct_update_times(spark):

@@ -20,6 +20,20 @@ def test_csv_with_missing_keys(spark, store, tmp_path):
     assert (counters["rows_inserted"], counters["key_errors"]) == (2, 1)
 
 
+def test_quoted_empty_fields_are_empty_texts(spark, tmp_path):
+    path = tmp_path / "quoted.csv"
+    path.write_text(HEADER + '"",2100,"",Sales\n,"",Bob,""\n"R1","4300","a b, c",\n')
+    rows = sorted((tuple(map(str, r)) for r in staging.load_snapshot_csv(spark, str(path), staging.EMPLOYEE).collect()))
+    assert rows == [("", "2100.00", "", "Sales"), ("None", "None", "Bob", ""), ("R1", "4300.00", 'a b, c', "None")]
+
+
+def test_a_table_is_emptied_and_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("1", 2)], "id string, v int").write.parquet(path)
+    staging.empty_table(spark, path)
+    assert spark.read.parquet(path).count() == 0 and spark.read.parquet(path).columns == ["id", "v"]
+
+
 def test_generated_employees_do_not_depend_on_partitions(spark):
     a = generate.generate_employees(spark, 500, seed=1)
     b = generate.generate_employees(spark, 500, seed=1).repartition(7)
@@ -58,8 +72,9 @@ def test_flags_with_heavy_and_missing_keys(spark, monkeypatch):
         "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', id % 10) end as id", "id as v"
     )
     listed = spark.createDataFrame([("hot",), ("k1",), ("k1",), (None,), ("none",)], "id string")
-    for heavy in (1, 3, 1024):
-        monkeypatch.setattr(skew, "HEAVY_KEYS", heavy)
+    for listed_keys, per_task in ((0, 7), (0, 1000), (100, 7)):
+        monkeypatch.setattr(skew, "LISTED_KEYS", listed_keys)
+        monkeypatch.setattr(skew, "ROWS_PER_TASK", per_task)
         out = skew.flag_keys(rows, listed, "id", "hit")
         assert out.count() == 600
         assert out.where("hit <> coalesce(id in ('hot', 'k1'), false)").isEmpty()

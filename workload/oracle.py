@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from snapledger.sources.generate import DEPARTMENTS, MANAGERS
 from workload.snapshots import (
     CLOSED_FROM_TS,
     CUT_OFF,
     LOADED_TS,
     OPEN_SINCE,
+    LATER_TS,
     RETAINED_FROM,
     RUN_TS,
 )
@@ -151,6 +153,11 @@ def with_orders(query: str) -> str:
     return f"WITH {ORDER_SETS} {query}"
 
 
+def of_all_orders(sql: str) -> str:
+    """The same statement on a delivery of the whole order book."""
+    return sql.replace(f"SELECT * FROM book WHERE o_orderdate >= timestamp '{RETAINED_FROM}'", "SELECT * FROM book")
+
+
 def next_target(update: str, delete: str) -> str:
     """The target after the statements of a run: insert, update, delete."""
     business = ", ".join(ORDER_COLUMNS)
@@ -191,7 +198,8 @@ def order_json(extra: str = "") -> str:
     """The order row as JSON text in the column order of the snapshot; only the key can be NULL."""
     return (
         "'{' || coalesce('\"order_key\":\"' || order_key || '\",', '') || '\"o_custkey\":' || o_custkey"
-        " || ',\"o_orderstatus\":\"' || o_orderstatus || '\",\"o_orderpriority\":\"' || o_orderpriority"
+        " || ',\"o_orderstatus\":\"' || o_orderstatus || '\",\"o_totalprice\":' || cast(o_totalprice as varchar)"
+        " || ',\"o_orderdate\":\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || '\",\"o_orderpriority\":\"' || o_orderpriority"
         f" || '\",\"row_hash\":\"' || row_hash || '\"'{extra} || '}}'"
     )
 
@@ -220,14 +228,29 @@ durations AS (
   SELECT 'users', *, date_diff('millisecond', start_ts, end_ts) / 1000.0 FROM user_runs)"""
 
 
+def draw(salt: str, n: int, seed: int = 42) -> str:
+    digits = f"substr(md5(cast(id as varchar) || '|{salt}|{seed}'), 1, 8)"
+    return f"(cast('0x' || {digits} as bigint) % {n})"
+
+
+def pick(names: list[str], salt: str) -> str:
+    return f"([{', '.join(repr(n) for n in names)}])[{draw(salt, len(names))} + 1]"
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     # sources and sinks
     sql["src01_load_snapshot_csv"] = (
-        f"WITH {CUSTOMERS} SELECT {shown(CUSTOMER_COLUMNS)} FROM "
-        "(SELECT * REPLACE (nullif(customer_key, '') AS customer_key) FROM c_delivered)"
+        f"WITH {CUSTOMERS} SELECT {shown(CUSTOMER_COLUMNS)} FROM c_delivered".replace(
+            "SELECT * FROM people WHERE c_mktsegment <> 'FURNITURE'", "SELECT * FROM people"
+        )
     )
+    sql["src05_generate_employees"] = f"""
+        WITH d AS (SELECT o_orderkey AS id FROM orders)
+        SELECT 'R' || lpad(cast(id as varchar), 12, '0') AS employee_id,
+          cast({draw('salary', 8000)} + 2000 as double) AS salary,
+          {pick(MANAGERS, 'manager')} AS manager, {pick(DEPARTMENTS, 'department')} AS department FROM d"""
     sql["src02_read_staging"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as varchar) AS o_orderdate, o_orderpriority FROM orders"
     sql["src03_active"] = with_orders(f"SELECT {TARGET_SHOWN} FROM current")
     # the stored target starts from the cut-off snapshot, so it has no older versions
@@ -239,7 +262,17 @@ def oracle_sql() -> dict[str, str]:
         f"WITH {ORDER_SETS}, {ALL_ERRORS} SELECT 2::bigint AS run_id, 'Order' AS entity_name, error_code, order_key, row_hash, count(*) AS n "
         "FROM errors GROUP BY ALL"
     )
-    sql["snk03_reset"] = f"WITH {ORDERS} SELECT (SELECT count(*) FROM before) AS rows_before, 0::bigint AS rows_after"
+    later = f"timestamp '{LATER_TS}'"
+    sql["snk01_compacted"] = (
+        f"WITH {ORDER_SETS}, {next_target('HISTORY', 'SOFT')}, stored AS (SELECT * FROM after_run WHERE end_ts IS NULL OR end_ts <> timestamp '{LOADED_TS}') "
+        f"SELECT {TARGET_SHOWN} FROM (SELECT * REPLACE (CASE WHEN is_active THEN {later} ELSE end_ts END AS end_ts, false AS is_active, "
+        "CASE WHEN is_active THEN 'D' ELSE cdc_operation END AS cdc_operation) FROM stored)"
+    )
+    sql["snk01_adopted"] = f"WITH {ORDER_SETS}, {next_target('HISTORY', 'SOFT')} SELECT {TARGET_SHOWN} FROM after_run"
+    sql["snk03_reset"] = (
+        f"WITH {ORDERS} SELECT (SELECT count(*) FROM book) AS rows_before, 0::bigint AS rows_after, 0::bigint AS log_rows, "
+        "0::bigint AS config_rows, 0::bigint AS staging_rows"
+    )
     sql["snk04_append_load"] = f"WITH {ORDERS} SELECT {B} FROM (SELECT * FROM before UNION ALL SELECT * FROM delivered)"
     in_debt = "o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
     sql["snk06_patch_snapshot"] = (
@@ -255,6 +288,17 @@ def oracle_sql() -> dict[str, str]:
     # row hash
     sql["h01_row_hash_keep"] = f"WITH {ORDERS} SELECT order_key, row_hash FROM staging"
     sql["h02_row_hash_drop"] = f"WITH {ORDERS} SELECT order_key, {row_hash(ORDER_COLUMNS, 'drop')} AS row_hash FROM delivered"
+    mark = lambda text: f"coalesce('V' || length({text}) || ':' || {text} || ';', 'N;')"
+    price, closed_price = "cast(o_totalprice as varchar)", "CASE WHEN o_orderstatus = 'F' THEN cast(o_totalprice as varchar) END"
+    entry = mark("o_orderstatus") + " || " + mark("cast(o_custkey as varchar)")
+    detail = (
+        f"'o_orderdate=' || {mark('cast(o_orderdate as varchar)')} || 'amounts=' || {mark('amounts')} || 'named=' || {mark('named')}"
+    )
+    sql["h01_row_hash_nested"] = f"""
+        WITH {ORDERS}, n AS (SELECT *, {mark(price)} || {mark(closed_price)} AS amounts,
+          list_aggregate(list_sort([{entry}, 'V1:A;N;']), 'string_agg', '') AS named FROM book),
+        d AS (SELECT *, {detail} AS detail FROM n)
+        SELECT order_key, {row_hash(['order_key', 'detail'])} AS row_hash FROM d"""
     sql["h01_row_hash_documents"] = (
         f"SELECT doc_id, {row_hash(['doc_id', 'text', 'lang', 'source', 'n_chars'])} AS row_hash FROM documents"
     )
@@ -291,6 +335,10 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT count(*) FROM key_err) AS key_errors"
     )
     sql["dq07_length_violations"] = "SELECT doc_id, lang, source, n_chars FROM documents WHERE length(text) > 2000 OR length(source) > 8"
+    sql["dq07_too_long_value"] = (
+        "SELECT 2::bigint AS run_id, 'FAILED' AS status, count(*) AS target_rows, 0::bigint AS entity_log_rows, 1::bigint AS runtime_errors "
+        "FROM documents"
+    )
     sql["dq09_error_strategy_stop"] = (
         f"WITH {ORDERS} SELECT 2::bigint AS run_id, 'FAILED' AS status, (SELECT count(*) FROM before) AS target_rows"
     )
@@ -378,6 +426,13 @@ def oracle_sql() -> dict[str, str]:
         ]
     ) + " FROM entity GROUP BY run_id"
 
+    # empty keys are left out of the duplicate checks, and no column of an order but its key is NULL
+    checked = counters().replace("FROM dup_ins", "FROM dup_ins WHERE order_key <> ''").replace("FROM dup_upd", "FROM dup_upd WHERE order_key <> ''")
+    sql["l07_configured_by_rows"] = f"""
+        WITH {ORDER_SETS}
+        SELECT 1::bigint AS run_id, 'Order' AS entity_name, {first_load('before')}
+        UNION ALL SELECT 2, 'Order', {checked}"""
+
     # reports
     sql["a01_run_durations"] = f"WITH {LOGS} SELECT variant, run_id, cast(start_ts as varchar) AS start_ts, cast(end_ts as varchar) AS end_ts, cast(duration as double) AS duration FROM durations"
     sql["a02_rows_per_run"] = f"WITH {LOGS} SELECT variant, run_id, cast(sum(rows_inserted) as bigint) AS total_rows_inserted FROM durations GROUP BY variant, run_id"
@@ -424,6 +479,12 @@ def oracle_sql() -> dict[str, str]:
         SELECT lang, md5(text) AS text_md5, CASE WHEN n > 0 THEN 'INSERT' ELSE 'DELETE' END AS action,
           (SELECT min(n) < 0 AND max(n) > 0 FROM net k WHERE k.lang = each.lang AND k.n <> 0) AS is_update, sha256(lang) AS row_id FROM each"""
     sql["s02_consume_feed"] = sql["s01_change_feed"]
+    for name in (
+        "h01_row_hash_keep", "h02_row_hash_drop", "dq01_duplicate_inserts", "dq01_duplicate_inserts_no_empty_key", "dq02_duplicate_updates",
+        "dq02_duplicate_updates_no_empty_key", "dq03_key_errors", "dq04_error_row", "dq05_detect_errors", "dq06_error_counts",
+        "c01_unique_rows", "c03_apply_inserts", "snk06_patch_snapshot", "snk06_drop_keys",
+    ):
+        sql[name] = of_all_orders(sql[name])
     sql["s02_stream_cdc"] = f"""
         WITH {ORDER_SETS}
         SELECT 1::bigint AS run_id, {first_load('before')} UNION ALL SELECT 2, {counters()}"""

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snapledger.config import EntityConfig
+from snapledger.config import CONFIG_SCHEMA, OPTIONAL_SCHEMA, EntityConfig
 from snapledger.functions.columns import CONTROL_COLUMNS, ts_literal
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators import changes as ch
@@ -19,6 +21,7 @@ from snapledger.plans import runlog
 from snapledger.plans.apply import apply_cdc
 from snapledger.session import new_dir
 from snapledger.sources import generate, staging
+from snapledger.sources.rows import no_rows
 from snapledger.sources.store import COUNTERS, VersionStore
 from snapledger.streaming import manifest
 from workload import snapshots as w
@@ -51,13 +54,18 @@ def orders_src(spark: SparkSession, sf: str) -> DataFrame:
     return with_row_hash(w.orders_staging(spark, sf))
 
 
+def whole_src(spark: SparkSession, sf: str) -> DataFrame:
+    return with_row_hash(w.orders_delivery(spark, sf))
+
+
 def documents_src(spark: SparkSession, sf: str) -> DataFrame:
     return with_row_hash(w.documents(spark, sf))
 
 
 def applied(spark: SparkSession, sf: str, update: str = "HISTORY", delete: str = "SOFT", first: bool = False):
-    target = None if first else w.orders_target(spark, sf)
-    return apply_cdc(w.orders_staging(spark, sf), target, w.orders_config(update, delete), w.RUN_TS)
+    if first:
+        return apply_cdc(w.orders_delivery(spark, sf), None, w.orders_config(update, delete), w.RUN_TS)
+    return apply_cdc(w.orders_staging(spark, sf), w.orders_target(spark, sf), w.orders_config(update, delete), w.RUN_TS)
 
 
 # Stored runs
@@ -114,24 +122,33 @@ def append_errors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def size(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]
-
-
-def with_counts(df: DataFrame, **counted: int):
-    return df.select("*", *[F.lit(n).cast("long").alias(name) for name, n in counted.items()])
+def counted(base: DataFrame, **frames: DataFrame) -> DataFrame:
+    """One row: the columns of ``base`` (one row, if any) and the number of rows of each frame."""
+    parts = [base] + [f.agg(F.count(F.lit(1)).alias(n)) for n, f in frames.items()]
+    one = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return one.agg(*[F.max(c).alias(c) for c in one.columns])
 
 
 def reset(spark: SparkSession, sf: str) -> DataFrame:
-    store = VersionStore(spark, new_dir(spark, "store"))
-    load = lambda s, name: w.orders_before(s, sf)
-    runs.run(spark, store, [w.orders_config()], load, clock=fixed(w.LOADED_TS))
-    before = size(store.read_target("Order"))
+    """Logs, target, configuration and snapshot before and after a reset."""
+    root = new_dir(spark, "store")
+    store = VersionStore(spark, root)
+    config = [(1, "Order", f"{root}/staging", "T_Order", PK, None, None, None, True)]
+    spark.createDataFrame(config, CONFIG_SCHEMA).write.parquet(f"{root}/config")
+    w.orders(spark, sf).write.parquet(f"{root}/staging")
+    runs.run(spark, store, spark.read.parquet(f"{root}/config"), clock=fixed(w.LOADED_TS))
+    before = store.read_target("Order").agg(F.count(F.lit(1)).alias("rows_before")).checkpoint()
     store.reset("Order")
-    known = store.schema("Order")
-    after = 0 if known is None else size(store.read_target("Order"))
-    left = store.entity_log().agg(F.count(F.lit(1)).alias("log_rows"))
-    return with_counts(left, rows_before=before, rows_after=after).where("log_rows = 0").drop("log_rows")
+    for path in (f"{root}/config", f"{root}/staging"):
+        staging.empty_table(spark, path)
+    empty = no_rows(spark, "x int")
+    return counted(
+        before,
+        rows_after=store.read_target("Order") if store.schema("Order") else empty,
+        log_rows=store.entity_log(),
+        config_rows=spark.read.parquet(f"{root}/config"),
+        staging_rows=spark.read.parquet(f"{root}/staging"),
+    )
 
 
 def last_run(store: VersionStore) -> DataFrame:
@@ -140,20 +157,66 @@ def last_run(store: VersionStore) -> DataFrame:
 
 def error_strategy_stop(spark: SparkSession, sf: str) -> DataFrame:
     store = two_runs(spark, sf, [w.orders_config()], [w.orders_config(error_strategy="STOP")])
-    return with_counts(last_run(store), target_rows=size(store.read_target("Order")))
+    return counted(last_run(store), target_rows=store.read_target("Order"))
 
 
-def failed_entity(spark: SparkSession, sf: str) -> DataFrame:
-    store = two_runs(spark, sf, [w.orders_config()], broken=True)
+def failure(store: VersionStore, entity: str) -> DataFrame:
     second = F.col("run_id") == 2
-    return with_counts(
+    return counted(
         last_run(store),
-        target_rows=size(store.read_target("Order")),
-        entity_log_rows=size(store.entity_log().where(second)),
-        runtime_errors=size(store.error_log().where(second & (F.col("error_code") == quality.RUNTIME_ERROR))),
+        target_rows=store.read_target(entity),
+        entity_log_rows=store.entity_log().where(second),
+        runtime_errors=store.error_log().where(second & (F.col("error_code") == quality.RUNTIME_ERROR)),
     )
 
 
+def failed_entity(spark: SparkSession, sf: str) -> DataFrame:
+    return failure(two_runs(spark, sf, [w.orders_config()], broken=True), "Order")
+
+
+def too_long_value(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole documents, declared narrower for a second delivery that is one mark longer."""
+    store = VersionStore(spark, new_dir(spark, "store"))
+    docs = w.table(spark, sf, "documents").select("doc_id", "text", "source")
+    cfg = EntityConfig(1, "Document", "STAGING.S_Document", "T_Document", "doc_id")
+    longest = docs.agg(F.max(F.char_length("text"))).first()[0]
+    limited = replace(cfg, length_limits={"text": longest})
+    longer = docs.withColumn("text", F.concat("text", F.lit("!")))
+    for snapshot, stamp in ((docs, w.LOADED_TS), (longer, w.RUN_TS)):
+        runs.run(spark, store, [limited], lambda s, n, df=snapshot: df, clock=fixed(stamp))
+    return failure(store, "Document")
+
+
+def compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The target after three runs and a compaction between them."""
+    store = two_runs(spark, sf, [w.orders_config()])
+    store.compact("Order")
+    runs.run(spark, store, [w.orders_config()], lambda s, n: w.orders_staging(s, sf).limit(0), clock=fixed(w.LATER_TS))
+    store.vacuum("Order", older_than=0)
+    return shown(store.read_target("Order"))
+
+
+def configured_by_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Entity log of two runs of an entity whose settings all come from a table."""
+    root = new_dir(spark, "store")
+    schema = T.StructType([*CONFIG_SCHEMA, *OPTIONAL_SCHEMA])
+    settings = [(1, "Order", f"{root}/staging", "T_Order", PK, "HARD", "CONTINUE", "OVERWRITE", True, "drop", False, None, True, None)]
+    spark.createDataFrame(settings, schema).write.parquet(f"{root}/config")
+    store = VersionStore(spark, root)
+    for snapshot, stamp in ((w.orders_before, w.LOADED_TS), (w.orders_staging, w.RUN_TS)):
+        snapshot(spark, sf).write.mode("overwrite").parquet(f"{root}/staging")
+        runs.run(spark, store, spark.read.parquet(f"{root}/config"), clock=fixed(stamp))
+    return store.entity_log().select("run_id", "entity_name", *COUNTERS)
+
+
+def adopted(spark: SparkSession, sf: str) -> DataFrame:
+    """A target with history from elsewhere, adopted and run once."""
+    store = VersionStore(spark, new_dir(spark, "store"))
+    store.adopt("Order", "TARGET.T_Order", PK, w.orders_target(spark, sf))
+    runs.run(spark, store, [w.orders_config()], lambda s, n: w.orders_staging(s, sf), clock=fixed(w.RUN_TS))
+    return shown(store.read_target("Order"))
+
+
 def run_two_entities(spark: SparkSession, sf: str) -> DataFrame:
     store = two_runs(spark, sf, [w.orders_config(), w.customers_config()])
     return store.entity_log().select("run_id", "entity_name", *COUNTERS)
@@ -179,14 +242,14 @@ def stream_cdc(spark: SparkSession, sf: str) -> DataFrame:
 
 def load_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = new_dir(spark, "csv")
-    snapshot = w.customers_staging(spark, sf)
+    snapshot = w.customers_delivery(spark, sf)
     snapshot.write.option("header", True).csv(path)
     return shown(staging.load_snapshot_csv(spark, path, snapshot.schema))
 
 
 def generate_employees(spark: SparkSession, sf: str) -> DataFrame:
-    """As many employees as there are orders."""
-    return shown(generate.generate_employees(spark, w.table(spark, sf, "orders").count()))
+    """An employee for each order."""
+    return shown(generate.employees_for(w.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))))
 
 
 # Queries on frames
@@ -200,11 +263,19 @@ def debtor_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def patch_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     raised = {"o_totalprice": (F.col("o_totalprice") + 400).cast("decimal(18,2)")}
-    return shown(corrections.patch_snapshot(w.orders_staging(spark, sf), PK, debtor_orders(spark, sf), raised))
+    return shown(corrections.patch_snapshot(w.orders_delivery(spark, sf), PK, debtor_orders(spark, sf), raised))
 
 
 def drop_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(corrections.drop_keys(w.orders_staging(spark, sf), PK, debtor_orders(spark, sf)))
+    return shown(corrections.drop_keys(w.orders_delivery(spark, sf), PK, debtor_orders(spark, sf)))
+
+
+def hash_nested(spark: SparkSession, sf: str) -> DataFrame:
+    book = w.orders(spark, sf)
+    amounts = F.array("o_totalprice", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")))
+    named = F.create_map(F.col("o_orderstatus"), F.col("o_custkey"), F.lit("A"), F.lit(None).cast("long"))
+    nested = book.select(PK, F.struct("o_orderdate", amounts.alias("amounts"), named.alias("named")).alias("detail"))
+    return with_row_hash(nested).select(PK, "row_hash")
 
 
 def hash_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,12 +285,12 @@ def hash_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = quality.key_errors(orders_src(spark, sf), PK).select(PK, "o_custkey", "o_orderstatus", "o_orderpriority", "row_hash")
+    rows = quality.key_errors(whole_src(spark, sf), PK)
     return rows.select(quality.error_row(rows).alias("error_row"))
 
 
 def detected_errors(spark: SparkSession, sf: str) -> DataFrame:
-    errors = quality.detect_errors(orders_src(spark, sf), PK, 1, "Order", w.RUN_TS)
+    errors = quality.detect_errors(whole_src(spark, sf), PK, 1, "Order", w.RUN_TS)
     row = F.from_json("error_row", f"{PK} string, row_hash string")
     return shown(
         errors.withColumn("row", row).select(
@@ -229,7 +300,7 @@ def detected_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.error_counts(quality.detect_errors(orders_src(spark, sf), PK, 1, "Order", w.RUN_TS))
+    return quality.count_errors(whole_src(spark, sf), PK)
 
 
 def length_violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,7 +313,7 @@ def on_orders(operator: Callable[[DataFrame, DataFrame, str], DataFrame]) -> Que
 
 
 def on_snapshot(operator: Callable[..., DataFrame], **options) -> Query:
-    return lambda s, d: shown(operator(orders_src(s, d), PK, **options))
+    return lambda s, d: shown(operator(whole_src(s, d), PK, **options))
 
 
 def reactivated(spark: SparkSession, sf: str) -> DataFrame:
@@ -357,13 +428,16 @@ QUERIES: dict[str, Query] = {
     "src03_active": lambda s, d: shown(keys.active(w.orders_target(s, d))),
     "src05_generate_employees": generate_employees,
     "snk01_publish_versions": publish_versions,
+    "snk01_compacted": compacted,
+    "snk01_adopted": adopted,
     "snk02_append_errors": append_errors,
     "snk03_reset": reset,
     "snk04_append_load": lambda s, d: shown(corrections.append_load([w.orders_before(s, d), w.orders_staging(s, d)], PK)),
     "snk06_patch_snapshot": patch_snapshot,
     "snk06_drop_keys": drop_keys,
-    "h01_row_hash_keep": lambda s, d: orders_src(s, d).select(PK, "row_hash"),
-    "h02_row_hash_drop": lambda s, d: with_row_hash(w.orders_staging(s, d), nulls="drop").select(PK, "row_hash"),
+    "h01_row_hash_keep": lambda s, d: whole_src(s, d).select(PK, "row_hash"),
+    "h02_row_hash_drop": lambda s, d: with_row_hash(w.orders_delivery(s, d), nulls="drop").select(PK, "row_hash"),
+    "h01_row_hash_nested": hash_nested,
     "h01_row_hash_documents": lambda s, d: with_row_hash(w.table(s, d, "documents")).select("doc_id", "row_hash"),
     "h02_row_hash_events": hash_events,
     "dq01_duplicate_inserts": on_snapshot(quality.duplicate_inserts),
@@ -378,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "dq05_detect_errors": detected_errors,
     "dq06_error_counts": error_totals,
     "dq07_length_violations": length_violations,
+    "dq07_too_long_value": too_long_value,
     "dq09_error_strategy_stop": error_strategy_stop,
     "c01_unique_rows": on_snapshot(keys.unique_rows),
     "c02_detect_inserts": on_orders(ch.detect_inserts),
@@ -407,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "l05_failed_entity": failed_entity,
     "l07_run_two_entities": run_two_entities,
     "l07_run_log": run_log,
+    "l07_configured_by_rows": configured_by_rows,
     "a01_run_durations": on_run_logs(reports.run_durations),
     "a02_rows_per_run": on_run_logs(reports.rows_per_run),
     "a03_compare_runs": compare_runs,

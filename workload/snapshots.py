@@ -17,6 +17,7 @@ from snapledger.functions.hashing import with_row_hash
 
 RUN_TS = "2026-01-01 00:00:00"
 LOADED_TS = "2025-01-01 00:00:00"
+LATER_TS = "2027-01-01 00:00:00"
 CLOSED_FROM_TS = "2024-01-01 00:00:00"
 
 RETAINED_FROM = "1995-07-01 00:00:00"
@@ -61,9 +62,18 @@ def _variants(df: DataFrame, pk: str, status: str, variants: list[tuple[Column,
 
 
 def orders_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Today's delivery: the orders since the retention date, with faults."""
+    return _delivered(spark, sf_dir, F.col("o_orderdate") >= ts_literal(RETAINED_FROM))
+
+
+def orders_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery of the whole order book, with the same faults."""
+    return _delivered(spark, sf_dir, F.lit(True))
+
+
+def _delivered(spark: SparkSession, sf_dir: str, here: Column) -> DataFrame:
     df = orders(spark, sf_dir)
     key, status, priority = F.col(ORDERS_PK), F.col("o_orderstatus"), F.col("o_orderpriority")
-    here = F.col("o_orderdate") >= ts_literal(RETAINED_FROM)
     partial = here & (status == "P")
     return _variants(
         df,
@@ -131,8 +141,17 @@ def customers_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All segments but the one that left; rich machinery customers come twice, rich households
     have lost their key."""
+    return _customers_delivered(spark, sf_dir, F.col("c_mktsegment") != "FURNITURE")
+
+
+def customers_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery of all customers, with the same faults."""
+    return _customers_delivered(spark, sf_dir, F.lit(True))
+
+
+def _customers_delivered(spark: SparkSession, sf_dir: str, here: Column) -> DataFrame:
     key, segment = F.col(CUSTOMER_PK), F.col("c_mktsegment")
-    here, rich = segment != "FURNITURE", F.col("c_acctbal") > 9000
+    rich = F.col("c_acctbal") > 9000
     return _variants(
         customers(spark, sf_dir),
         CUSTOMER_PK,
