@@ -35,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         new = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (new.n, new.h) == state or new.n == 0:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
         state = new.n, new.h
         edges = written(starred(edges), "stars")
 

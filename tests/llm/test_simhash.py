@@ -1,0 +1,66 @@
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import classes, frame, messy
+
+from snapledger.llm import simhash
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_components_are_those_of_all_pairs(spark):
+    rows, docs = messy(spark)
+    marks = {i: plain(t) for i, t in rows}
+    links = [(a, b) for a, b in combinations(marks, 2) if bin(marks[a] ^ marks[b]).count("1") <= 4]
+    got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    found = classes(marks, links)
+    assert got == {i: (marks[i], found[i]) for i in marks} and links
+    kept = simhash.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in found if found[i] == i)
+
+
+def clustered(rng, n):
+    """Fingerprints in chains and clusters, some of them far from all others."""
+    centres = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    marks = centres[rng.integers(0, 12, n)]
+    for _ in range(3):
+        marks = marks ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+    return np.unique(np.append(marks, rng.integers(0, 1 << 63, n, dtype=np.uint64)))
+
+
+@pytest.mark.parametrize("tree,chance", [(16_384, 512), (7, 512), (16_384, 0)])
+def test_links_join_what_all_pairs_join(spark, monkeypatch, tree, chance):
+    """With large groups cut to chunks, and with keys of several parts."""
+    monkeypatch.setattr(simhash, "TREE", tree)
+    monkeypatch.setattr(simhash, "CHANCE", chance)
+    marks = clustered(np.random.default_rng(2), 300)
+    pairs = [(a, b) for a in range(len(marks)) for b in np.flatnonzero(np.bitwise_count(marks ^ marks[a]) <= 4).tolist() if b > a]
+    table = spark.createDataFrame([(i, int(m.astype(np.int64))) for i, m in enumerate(marks)], "id long, fp long")
+    found = [(r.a, r.b) for r in simhash.near_links(table).collect()]
+    assert set(map(tuple, map(sorted, found))) and classes(range(len(marks)), found) == classes(range(len(marks)), pairs)
+
+
+def test_tree_search_is_complete():
+    marks = clustered(np.random.default_rng(5), 400)
+    forest = simhash.Forest(len(marks))
+    simhash.link_tree(marks, np.arange(len(marks)), np.arange(len(marks)), 4, forest)
+    pairs = [(a, b) for a in range(len(marks)) for b in np.flatnonzero(np.bitwise_count(marks ^ marks[a]) <= 4).tolist() if b > a]
+    assert classes(range(len(marks)), forest.pairs().T.tolist()) == classes(range(len(marks)), pairs)
+
+
+def test_repeated_and_missing_ids_and_an_empty_table(spark):
+    docs = frame(spark, [(4, "a b c d e"), (4, "a b c d e"), (None, "a b c d e"), (None, "quite another text of words"), (9, "a b c d e")])
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(docs).collect())
+    assert got == [("4", "4"), ("4", "4"), ("9", "4"), ("None", "4"), ("None", "None")]
+    assert simhash.near_duplicates(docs.filter("false")).collect() == []
