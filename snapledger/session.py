@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="snapledger-")
+            # The folder was made by this process and is used by no other.
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
