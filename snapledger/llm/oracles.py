@@ -14,6 +14,22 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), found AS (
+  SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = m.vec_id) AS n_links,
+         coalesce((SELECT min(b) FROM reached r WHERE r.a = m.vec_id), vec_id) AS component_id FROM embeddings m
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found
+"""
+
 OP10 = r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -23,4 +39,4 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
-SQL: dict[str, str] = {"op1_warc": OP1, "op10_exact_dedup": OP10}
+SQL: dict[str, str] = {"op1_warc": OP1, "op5_embedding_dedup": OP5, "op10_exact_dedup": OP10}
