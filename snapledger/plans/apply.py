@@ -201,7 +201,11 @@ class CdcResult:
 
     @cached_property
     def target(self) -> DataFrame:
-        """The next state of the whole target, closed history included."""
+        """The next state of the whole target, closed history included.
+
+        With update times of their own, asking for it numbers the updated keys in a job: their order
+        has to be fixed before any row can be made.
+        """
         cfg, stamps = self.cfg, None
         if cfg.distinct_update_ts and cfg.update_strategy == "HISTORY":
             updates = self.changes.where(F.col("cdc_class") == UPDATE)
