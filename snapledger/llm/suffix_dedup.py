@@ -163,6 +163,12 @@ class Block:
         return segments(self.data, self.starts, self.ends, common)
 
 
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, of which only one at a time is taken out: a row is a whole block."""
+    for at in range(batch.num_rows):
+        yield batch.slice(at, 1).to_pylist()[0]
+
+
 def one_row(table: pa.Table) -> dict:
     return table.select([n for n in table.column_names if n != "rest"]).to_pylist()[0]
 
@@ -236,7 +242,7 @@ def anchor_hashes(blocks: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 block = Block(row)
                 _, _, key, digest, _, _ = block.segments()
                 keys, times = np.unique(key[first_of_equal(digest, key)], return_counts=True)
@@ -290,7 +296,7 @@ def splitters(blocks: DataFrame, buckets: int) -> np.ndarray:
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 block = Block(row)
                 start, _, _, _, anchor, _ = block.segments()
                 places = (start + anchor)[:: max(1, len(start) // SAMPLE_ANCHORS)]
