@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 from helpers import frame, messy
 from tokenizers import Tokenizer
@@ -41,9 +42,14 @@ def test_pieces_cover_every_document_and_fill_every_sequence(spark):
 def test_word_by_word_is_text_by_text():
     tokenizer, own, rng = library(), packing.WordTokenizer(open(SPEC, encoding="utf-8").read()), random.Random(1)
     pool = ["a", "B", "é", "́", " ", " ", "\n", "\x0b", " ", "\x1c", "\x85", "1", "!", "'s", "<|endoftext|>", "ß", "İ", "Σ", "中", "😀", "\x00", "ﬁ", "가"]
-    for _ in range(5000):
-        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))
-        assert own.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
+    texts += ["word" * 40, "Don't stop.", "a.b", "x--", "--x", "1st,2nd", "it's'S", "...", None]
+    latin = [chr(c) for c in range(1, 0x260)]
+    texts += [t for c in latin for t in (c, f"a{c}b", f"{c}{c}.", f"x.{c}", f"{c.upper()}'S{c}")]
+    for at in (0, 3):
+        some = pa.array(texts).slice(at)
+        for text, ids in zip(texts[at:], own.ids(some)):
+            assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
 def test_like_documents_lie_near_each_other(spark):
