@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import written
 
 #: Words after which a block ends, which bounds what a task holds.
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 8_000_000
 #: Characters of the longest run between spaces that is remembered, and how many are.
-RUN_CHARS, RUNS = 40, 1_000_000
-LEVEL = 3
+RUN_CHARS, RUNS = 40, 300_000
+LEVEL = 9
+#: Numbers below it are written as one byte.
+SHORT = 255
 
 _encodings: dict[bytes, tuple[tiktoken.Encoding, list[bytes]]] = {}
 
@@ -112,6 +114,19 @@ def unpacked(data: bytes, sizes: list[int]) -> list[np.ndarray]:
     return out
 
 
+def packed_order(order: np.ndarray) -> bytes:
+    """Numbers of words, of which frequent ones are small: a byte each, and the rest of those above apart."""
+    planes = np.ascontiguousarray((order[order >= SHORT] - np.uint32(SHORT)).astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=LEVEL).compress(np.minimum(order, SHORT).astype(np.uint8).tobytes() + planes.tobytes())
+
+
+def unpacked_order(data: bytes, size: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    order = raw[:size].astype(np.uint32)
+    order[order == SHORT] += np.ascontiguousarray(raw[size:].reshape(4, -1).T).view("<u4").ravel()
+    return order
+
+
 def blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
     """Rows of two kinds: a block (documents, counts, words in order), or words that it sends to a bucket."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -129,7 +144,7 @@ def blocks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
             renumbered = np.empty(len(by_count), np.uint32)
             renumbered[by_count] = np.arange(len(by_count), dtype=np.uint32)
             this, counts = part << 32 | number, [len(o) for o in orders]
-            rows = [(this, None, len(order), packed(renumbered[order]), None, ids, counts)]
+            rows = [(this, None, len(order), packed_order(renumbered[order]), None, ids, counts)]
             names = np.array(list(words.numbers), object)[by_count] if len(by_count) else []
             data = [w.encode("utf-8", "replace") for w in names]
             where = np.array([xxhash.xxh64_intdigest(d) % buckets for d in data], np.int64)
@@ -222,7 +237,7 @@ def encode_corpus(
                     tokens_of[word] = some
         columns = [[] for _ in range(6)]
         for row in own.to_pylist():
-            order, at = unpacked(row["numbers"], [row["size"]])[0], 0
+            order, at = unpacked_order(row["numbers"], row["size"]), 0
             for doc, count in zip(row["ids"], row["counts"]):
                 some = order[at : at + count]
                 numbers, at = some.tolist(), at + count
