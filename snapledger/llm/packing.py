@@ -102,6 +102,7 @@ class WordTokenizer:
     def forget(self) -> None:
         """Give the memory back: a process outlives its tasks and may have nothing to do for long."""
         self.words, self.pieces = {}, {}
+        pa.default_memory_pool().release_unused()
 
     def others(self, words: list[str]) -> list[bytes]:
         """Ids of words that are not letters with marks after them."""
