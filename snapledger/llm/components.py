@@ -45,9 +45,10 @@ def paired_chunks(rows: DataFrame, keys: list[str], unit: str, limit: int, rows_
     """``rows`` dealt to tasks so that every two rows with equal keys meet, whatever the group's size.
 
     A group of up to ``limit`` rows meets in one place. A larger one is cut into chunks by the hash
-    of ``unit``, and each pair of chunks is a task of its own: ``low`` and ``high`` name the pair,
-    ``in_low`` and ``in_high`` say to which of them a row belongs. ``shard`` gathers small groups to
-    tasks of about ``rows_per_task`` rows. ``rows`` should be a written table.
+    of ``unit``, and each pair of chunks has a ``shard`` of its own, so at most about twice ``limit``
+    rows: ``low`` and ``high`` name the pair, ``in_low`` and ``in_high`` say to which of them a row
+    belongs. The rows of the other groups, which are not copied, are gathered to shards of about
+    ``rows_per_task`` rows. ``rows`` should be a written table.
     """
     large = written(rows.groupBy(*keys).count().filter(F.col("count") > limit), "large")
     # At most one group in ``limit`` rows is large, and a row of this table is short.
@@ -57,10 +58,11 @@ def paired_chunks(rows: DataFrame, keys: list[str], unit: str, limit: int, rows_
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)))
     dealt = dealt.withColumn("low", F.least("_own", "_other")).withColumn("high", F.greatest("_own", "_other"))
     shards = max(1, math.ceil(rows.count() / rows_per_task))
+    place = F.xxhash64(*keys, "low", "high")
     return (
         dealt.withColumn("in_low", F.col("_own") == F.col("low"))
         .withColumn("in_high", F.col("_own") == F.col("high"))
-        .withColumn("shard", F.pmod(F.xxhash64(*keys, "low", "high"), F.lit(shards)))
+        .withColumn("shard", F.when(F.col("_chunks") > 1, place).otherwise(F.pmod(place, F.lit(shards))))
         .drop("count", "_chunks", "_own", "_other")
     )
 
