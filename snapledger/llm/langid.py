@@ -127,13 +127,19 @@ class Profiles:
 
 
 def without_unknown(docs: DataFrame, profiles: DataFrame, text_col: str = "text", top: int = TOP) -> DataFrame:
-    """``docs``, all columns as they were, without the rows whose language is not known (``und``)."""
+    """``docs``, all columns as they were, without the rows whose language is not known (``und``).
+
+    Without any profile nothing tells languages apart, and only rows without a letter go.
+    """
     known = Profiles(written(profiles, "profiles").collect(), top)
     at = docs.columns.index(text_col)
 
+    def stays(text: str | None) -> bool:
+        return known.best(text)[0] != UNKNOWN if known.langs else len(grams(text)[0]) > 0
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([known.best(t.as_py())[0] != UNKNOWN for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([stays(t.as_py()) for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -57,3 +57,13 @@ def test_texts_without_letters_and_tables_without_rows(spark):
 def test_ties_go_to_the_first_language(spark):
     docs = frame(spark, [(1, "aa bb"), (2, "aa bb")]).selectExpr("doc_id", "text", "if(doc_id = 1, 'z', 'k') AS lang")
     assert {r.lang_pred for r in langid.identify(docs, langid.learn_profiles(docs)).collect()} == {"k"}
+
+
+def test_the_stage_keeps_texts_when_no_profile_is_learned(spark):
+    from snapledger.llm.pipeline import keep_known_languages
+
+    rows, docs = messy(spark)
+    docs = docs.selectExpr(*[c if c != "lang" else "cast(NULL AS string) AS lang" for c in docs.columns])
+    kept = keep_known_languages(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, t in rows if any(c.isalpha() for c in t or ""))
