@@ -10,8 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from snapledger.session import build_session, shared_dir  # noqa: E402
 from snapledger.sources.store import VersionStore  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

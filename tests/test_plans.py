@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import workload.snapshots as w
-from conftest import SMALL
+from compare import SMALL
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators import changes as ch
 from snapledger.operators import quality

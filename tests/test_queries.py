@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 import compare
-from conftest import SMALL
+from compare import SMALL
 from workload.oracle import oracle_sql
 from workload.queries import QUERIES
 
