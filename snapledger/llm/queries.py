@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, embeddings, exact_dedup, hilbert_shards, langid, packing, quality, simhash, suffix_dedup, warc
+from snapledger.llm import bpe, embeddings, exact_dedup, hilbert_shards, langid, packing, periodic, quality, simhash, suffix_dedup, warc
 from snapledger.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,34 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``planted`` text: that of every tenth id goes on from some word with a period of its own."""
+    tenth = docs.withColumn("h", F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    sized = tenth.withColumn("words", words).withColumn("n", F.nullif(F.size("words"), F.lit(0)))
+    sized = sized.withColumn("a", F.expr("cast(h div 10 % n as int)"))
+    sized = sized.withColumn("p", F.expr("cast(1 + (n - a) div (3 + h div 10 % 8) as int)"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.expr("cast(ceil((n - a) / p) as int)")))
+    new = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    return sized.withColumn("planted", F.when(F.col("n").isNull(), F.col("text")).otherwise(F.array_join(new, " ")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")), "planted")
+    order = F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.array_max(order)).select(
+        "rest.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -90,4 +118,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }

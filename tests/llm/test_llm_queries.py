@@ -16,7 +16,7 @@ def duck():
 
 
 def test_one_query_per_operator():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
     assert set(SQL) <= set(QUERIES) and set(SQL) <= set(driver.oracle_sql())
 
