@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, embeddings, exact_dedup, hilbert_shards, langid, packing, periodic, quality, simhash, suffix_dedup, warc
+from snapledger.llm import bpe, decontaminate, embeddings, exact_dedup, hilbert_shards, langid, packing, periodic, quality, simhash, suffix_dedup, warc
 from snapledger.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "rest.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -119,4 +131,5 @@ QUERIES: dict[str, Query] = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontaminate": op12_decontaminate,
 }

@@ -31,6 +31,8 @@ def text_blocks(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts with ``PAD`` more, and the places where each text begins and the last ends. NULL is empty."""
+    if not len(column):
+        return np.zeros(PAD, np.uint8), np.zeros(1, np.int64)
     column = pc.fill_null(column.cast(pa.large_string()), "")
     _, offsets, values = column.buffers()
     places = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
