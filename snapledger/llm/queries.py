@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, decontaminate, embeddings, exact_dedup, hilbert_shards, langid, packing, periodic, quality, simhash, suffix_dedup, warc
+from snapledger.llm import bpe, decontaminate, embeddings, exact_dedup, hard_negatives, hilbert_shards, langid, packing, periodic, quality, simhash, suffix_dedup, warc
 from snapledger.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,12 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -132,4 +138,5 @@ QUERIES: dict[str, Query] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_decontaminate": op12_decontaminate,
+    "op13_hard_negatives": op13_hard_negatives,
 }

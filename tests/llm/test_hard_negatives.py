@@ -1,0 +1,92 @@
+"""Hard negatives against exact scores of all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from snapledger.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, embedding array<double>, label int, row long, score long, id string, rank int, start long"
+
+
+def plain(rows, scale=256, n_pos=5, n_neg=3, low=50, high=95, per=100, divisor=50):
+    good = [(i, [int(np.floor(x * scale)) for x in v], lab) for i, v, lab in rows if lab is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    product = lambda a, b: sum(x * y for x, y in zip(a, b))
+    order = lambda s, i: (-s, i is None, i or 0)
+    out = []
+    for k, (i, v, lab) in enumerate(good):
+        if i is None or i % divisor:
+            continue
+        others = [(product(v, w), j, other) for m, (j, w, other) in enumerate(good) if m != k]
+        for ps, pid, _ in sorted((o for o in others if o[2] == lab), key=lambda o: order(*o[:2]))[:n_pos]:
+            found = sorted((o for o in others if o[2] != lab and low * ps <= per * o[0] <= high * ps), key=lambda o: order(*o[:2]))
+            out += [repr((i, pid, r, nid, ps, ns)) for r, (ns, nid, _) in enumerate(found[:n_neg], 1)]
+    return sorted(out)
+
+
+def table(spark, rows, partitions=3):
+    return spark.createDataFrame([(*r, 1, 2, "x", 3, 4) for r in rows], SCHEMA).repartition(partitions)
+
+
+def shown(df):
+    columns = "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    return sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
+
+
+def some_rows(seed, n=160, width=70, grid=None):
+    rng = random.Random(seed)
+    value = (lambda: rng.choice(grid)) if grid else (lambda: rng.gauss(0.1, 0.2))
+    rows = [(5 * k, [value() for _ in range(width)], rng.choice([0, 0, 0, 1, 2, -3])) for k in range(n)]
+    inf = float("inf")
+    rows += [(1, None, 1), (2, [1.0, None], 1), (50, [inf] * 3, 1), (100, [float("nan")], 0), (150, [0.1] * 3, None), (200, [], 1), (250, [0.5], 2)]
+    rows += [(None, rows[0][1], rows[0][2]), (None, rows[1][1], 7), (rows[10][0], rows[11][1], 0), rows[20], rows[20], (300, [0.0] * width, 1)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("grid", [None, [0.0, 0.25, 0.5]])
+@pytest.mark.parametrize("slab_cells", [hn.SLAB_CELLS, 70 * 4])
+def test_all_pairs(spark, monkeypatch, grid, slab_cells):
+    monkeypatch.setattr(hn, "ROWS", 16)
+    monkeypatch.setattr(hn, "ANCHORS", 3)
+    rows = some_rows(1, grid=grid)
+    found = hn.hard_negatives(table(spark, rows), F.col("vec_id") % 50 == 0, slab_cells=slab_cells)
+    assert shown(found) == plain(rows)
+
+
+def test_a_hot_vector(spark):
+    """A third of the rows is one vector, with the label of many anchors and with another one."""
+    rng = random.Random(2)
+    rows = [(k, [rng.gauss(0.2, 0.2) for _ in range(8)], rng.randrange(3)) for k in range(400)]
+    rows = [(k, rows[0][1] if k % 3 == 0 else v, lab) for k, v, lab in rows]
+    assert shown(hn.hard_negatives(table(spark, rows), F.col("vec_id") % 50 == 0)) == plain(rows)
+
+
+def test_nothing_to_mine(spark):
+    rows = some_rows(3, n=20, width=4)
+    for some in ([], [r for r in rows if r[0] is None or r[0] % 50], [r for r in rows if r[2] == 0]):
+        found = hn.hard_negatives(table(spark, some), F.col("vec_id") % 50 == 0)
+        assert shown(found) == plain(some)
+
+
+def test_scores_of_great_numbers_are_exact():
+    rng = np.random.default_rng(1)
+    for size, width in ((1, 3), (300, 64), (10**5, 65), (4 * 10**6, 200), (2 * 10**7, 37)):
+        a, b = (rng.integers(-size, size + 1, (n, width)) for n in (9, 17))
+        a[0], b[0], b[1] = size, size, -size
+        primes = hn.primes_for(size * size * width)
+        want = [[sum(int(x) * int(y) for x, y in zip(r, s)) for s in b] for r in a]
+        found = hn.scores([hn.residues(a, p) for p in primes], [hn.residues(b, p) for p in primes], primes)
+        assert found.tolist() == want
+
+
+def test_the_sums_of_a_chunk_are_exact_in_float32():
+    assert all(hn.CHUNK * (p // 2) ** 2 < 1 << 24 for p in hn.primes_for(hn.GREATEST))
+    assert np.prod([float(p) for p in hn.primes_for(hn.GREATEST)]) < 2**62
+
+
+def test_too_great_vectors_raise(spark):
+    with pytest.raises(ValueError, match="too long"):
+        hn.hard_negatives(table(spark, [(50, [1e30], 1), (51, [1e30], 1)]), F.col("vec_id") % 50 == 0)
