@@ -77,7 +77,7 @@ WITH v AS (
   SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
 )
-SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
