@@ -32,6 +32,7 @@ OPTIONAL_SCHEMA = T.StructType(
         T.StructField("length_limits", T.MapType(T.StringType(), T.IntegerType())),
         T.StructField("allow_empty_snapshot", T.BooleanType()),
         T.StructField("distinct_update_ts", T.BooleanType()),
+        T.StructField("before_images", T.BooleanType()),
     ]
 )
 
@@ -60,6 +61,8 @@ class EntityConfig:
     ``allow_empty_snapshot``    whether an empty snapshot may delete every active row.
     ``distinct_update_ts``      give every update of a run its own microsecond, in key order; only with
                          HISTORY, where versions follow one another.
+    ``before_images``    keep the rows that a run ends as they were, so that readers of the feed need not
+                         look them up in older versions; costs a scan of the active rows per run.
     ``target_table``     names the place of the target in the store.
     """
 
@@ -77,6 +80,7 @@ class EntityConfig:
     length_limits: dict[str, int] = field(default_factory=dict)
     allow_empty_snapshot: bool = True
     distinct_update_ts: bool = False
+    before_images: bool = False
 
     def __post_init__(self) -> None:
         for name in ("update_strategy", "delete_strategy", "error_strategy"):

@@ -69,9 +69,10 @@ def change_class(pk: str, n_rows: Column, in_target: Column, new_hash: Column, o
     )
 
 
-def classify(src: DataFrame, tgt: DataFrame, pk: str, *carried: str) -> DataFrame:
+def classify(src: DataFrame, tgt: DataFrame, pk: str, *carried: str, hashes: bool = False) -> DataFrame:
     """Every key of the snapshot or the active slice with its class; narrow columns only, and the
-    ``carried`` columns of the active slice.
+    ``carried`` columns of the active slice. ``hashes`` adds ``new_hash`` (NULL if the rows of the key
+    differ or the snapshot lacks it) and ``old_hash``.
 
     One exchange per side: the per-key aggregate is already partitioned as the join needs it, and
     the scan of the target reads the key, its hash and its end time, nothing else.
@@ -89,6 +90,7 @@ def classify(src: DataFrame, tgt: DataFrame, pk: str, *carried: str) -> DataFram
         in_target.alias("in_target"),
         "old_end_ts",
         *carried,
+        *([F.col("only_hash").alias("new_hash"), F.col("_old_hash").alias("old_hash")] if hashes else []),
     )
 
 

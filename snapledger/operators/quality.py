@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions.columns import key_text, ts_literal, valid_key
+from snapledger.functions.hashing import with_row_hash
 from snapledger.operators.keys import repeated_keys
 from snapledger.operators.skew import count_copies, expand_copies, match_keys
 
@@ -19,6 +20,8 @@ DUPLICATE_UPDATE = "DUPLICATE_UPDATE"
 PRIMARY_KEY_ERROR = "PRIMARY_KEY_ERROR"
 RUNTIME_ERROR = "RUNTIME_ERROR"
 
+ERROR_COUNTERS = ["duplicate_inserts", "duplicate_updates", "key_errors"]
+
 ERROR_SCHEMA = (
     "error_id string, run_id bigint, entity_name string, error_code string, "
     "error_row string, occured_at timestamp_ntz"
@@ -98,15 +101,22 @@ def detect_errors(
     include_empty_key: bool = True,
     keys: DataFrame | None = None,
     keys_fit: bool = False,
+    hash_nulls: str | None = None,
 ) -> DataFrame:
     """All error rows of a snapshot (``src`` carries ``row_hash``) in the form of the error log.
 
-    The JSON is built once per distinct row and only then written once per copy. ``error_id`` is a
+    With ``hash_nulls`` the snapshot comes without hashes and ``keys`` are known: then only rows that
+    are errors are hashed. The JSON is built once per distinct row and only then written once per copy. ``error_id`` is a
     hash of the run, the row and the number of the copy, so a retry yields the same ids.
     """
     repeated = repeated_rows(src, pk, include_empty_key, keys, keys_fit)
-    plain = error_row(src)
-    counted = F.to_json(F.struct(*src.columns, F.col("_copies").alias("cnt")))
+    lacking = count_copies(key_errors(src, pk))
+    columns = src.columns
+    if hash_nulls is not None:
+        repeated, lacking = (with_row_hash(rows, hash_nulls, columns) for rows in (repeated, lacking))
+        columns = [*columns, "row_hash"]
+    plain = F.to_json(F.struct(*columns))
+    counted = F.to_json(F.struct(*columns, F.col("_copies").alias("cnt")))
     logged = F.array_compact(
         F.array(
             F.when(
@@ -122,7 +132,7 @@ def detect_errors(
     duplicates = repeated.select("_copies", F.explode(logged).alias("_e")).select(
         F.col("_e.code").alias("error_code"), F.col("_e.row").alias("error_row"), "_copies"
     )
-    missing = count_copies(key_errors(src, pk)).select(
+    missing = lacking.select(
         F.lit(PRIMARY_KEY_ERROR).alias("error_code"), plain.alias("error_row"), "_copies"
     )
     rows = expand_copies(duplicates.unionByName(missing))

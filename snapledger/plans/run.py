@@ -2,15 +2,19 @@
 
 Work of one entity run:
 
-1. Classify all keys with narrow columns only and write the keys that are not unchanged. This table
+0. Compare digests of key buckets: one row per group of buckets and task leaves the scan. Keys of
+   buckets that agree are unchanged and occur once, so only the other buckets go on; without any,
+   the run ends here.
+1. Classify the keys with narrow columns only and write the keys that are not unchanged. This table
    gives the counters, names the repeated keys, and decides the rest.
-2. Log the errors. They stay even if the run fails later.
+2. Log the errors, if there can be any. They stay even if the run fails later.
 3. Write the rows that the run opens and the keys that it ends, and nothing if no key changed. The
    keys that end follow from the table of keys alone. The rows that open are those of the snapshot
    whose key is to be inserted or updated: few such keys (by rows and bytes, measured on the written
    table) are broadcast; on a first load the few repeated keys are broadcast and the other rows
    pass; otherwise both sides are joined by key.
-4. Commit under the number after the commit that the run started from.
+4. Add what has changed to the digests of the target, and commit under the number after the commit
+   that the run started from. Versions that are due are merged then.
 """
 
 from __future__ import annotations
@@ -21,21 +25,22 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.config import ConfigError, EntityConfig, declared_limits, find_config, load_configs, plain_schema, with_key_of
 from snapledger.functions.columns import CONTROL_COLUMNS, business_columns, spelled_like, target_schema, ts_literal, valid_key
 from snapledger.functions.hashing import ENCODING_VERSION, with_row_hash
+from snapledger.operators import digests
 from snapledger.operators.changes import BLOCKED, DELETE, INSERT, UNCHANGED, UPDATE, classify, update_ts
-from snapledger.operators.quality import ERROR_SCHEMA, RUNTIME_ERROR, detect_errors, error_counts
+from snapledger.operators.quality import ERROR_COUNTERS, ERROR_SCHEMA, RUNTIME_ERROR, detect_errors, error_counts
 from snapledger.operators.skew import ROWS_PER_TASK
 from snapledger.plans.apply import check_schema, new_version
 from snapledger.plans.runlog import COMPLETED, FAILED, RUNNING, run_log
 from snapledger.sources.rows import no_rows, one_row
 from snapledger.sources.staging import read_staging
-from snapledger.sources.store import RUN, Commit, VersionStore
+from snapledger.sources.store import PLACE, RUN, Commit, CommitConflict, VersionStore
 
 log = logging.getLogger(__name__)
 
@@ -55,6 +60,10 @@ class Limits:
     key_bytes: int = 64 * 1024 * 1024
 
 
+#: Rows of a target from which the digests of single buckets are compared even if all groups differ.
+FINE_FROM = 1 << 24
+
+
 @dataclass(frozen=True)
 class RunResult:
     run_id: int
@@ -71,6 +80,8 @@ class _Totals:
     rows: dict[str, int]
     key_bytes: dict[str, int]
     blocked_in_target: int
+    #: Rows that end, by the version that holds them.
+    ended: dict[int, int]
 
     def few(self, limits: Limits, *classes: str) -> bool:
         return (
@@ -80,18 +91,66 @@ class _Totals:
 
 
 def _totals(changes: DataFrame, pk: str) -> _Totals:
-    """Row and byte counts per class in one small job. There is at most one result row per class
-    and side."""
+    """Row and byte counts per class in one small job. There is at most one result row per class,
+    side and version of the target."""
     size = F.coalesce(F.sum(F.octet_length(F.col(pk).cast("string"))), F.lit(0)).cast("long")
     rows: dict[str, int] = {}
     key_bytes: dict[str, int] = {}
+    ended: dict[int, int] = {}
     blocked = 0
-    for r in changes.groupBy("cdc_class", "in_target").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).collect():
+    for r in changes.groupBy("cdc_class", "in_target", "opened_version").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).collect():
         rows[r.cdc_class] = rows.get(r.cdc_class, 0) + r.n
         key_bytes[r.cdc_class] = key_bytes.get(r.cdc_class, 0) + r.bytes
         if r.cdc_class == BLOCKED and r.in_target:
             blocked += r.n
-    return _Totals(rows, key_bytes, blocked)
+        if r.cdc_class in (UPDATE, DELETE):
+            ended[r.opened_version] = ended.get(r.opened_version, 0) + r.n
+    return _Totals(rows, key_bytes, blocked, ended)
+
+
+@dataclass(frozen=True)
+class Scope:
+    """The part of the snapshot and of the active slice that may differ."""
+
+    #: Predicates on rows of the snapshot and of the active slice; None for all rows.
+    source: Column | None = None
+    target: Column | None = None
+    #: Rows of the snapshot without a valid key; None if they were not counted.
+    missing_keys: int | None = None
+
+    def of(self, rows: DataFrame, where: Column | None) -> DataFrame:
+        return rows if where is None else rows.where(where)
+
+
+def find_scope(store: VersionStore, state: Commit, hashed: DataFrame, fine_from: int = FINE_FROM) -> Scope:
+    """Compare the digests of the snapshot with those of the target: first those of groups of buckets,
+    then, in the groups that differ, those of buckets. The second level costs another pass over the
+    keys of these groups; where all groups differ it is left out for a target of fewer than ``fine_from`` rows."""
+    pk = state.primary_key
+    key_type = state.columns()[pk].dataType
+    place = digests.bucket(pk, key_type)
+    valid = valid_key(pk)
+    group = F.when(valid, digests.group_of(place)).otherwise(F.lit(-1))
+    seen = digests.as_dict(digests.added_up(hashed.select(group.alias("bucket"), *digests.row_sums("row_hash")), F.col("bucket")))
+    missing = seen.pop("-1", [0])[0]
+    groups = digests.differing_groups(seen, state.digest_sums)
+    inside = F.lit(False)
+    if groups:
+        every = len(groups) == digests.GROUPS
+        inside = F.lit(True) if every else digests.group_of(place).isin(groups)
+        if not every or state.active_rows >= fine_from:
+            new = digests.digest(hashed.where(valid & inside), pk, key_type)
+            old = store.digests(state).where(digests.group_of(F.col("bucket")).isin(groups))
+            buckets = [r.bucket for r in digests.differing(new, old).collect()]
+            if len(buckets) < digests.BUCKETS // 2:
+                # A bit per bucket, 64 to a word.
+                words = [0] * (digests.BUCKETS // 64)
+                for b in buckets:
+                    words[b // 64] |= 1 << b % 64
+                signed = [w - (1 << 64) if w >> 63 else w for w in words]
+                word = F.get(F.lit(signed).cast("array<bigint>"), F.shiftright(place, 6))
+                inside = F.getbit(word, place.bitwiseAND(F.lit(63))) == 1
+    return Scope(inside | ~valid if missing else inside, inside, missing)
 
 
 def _stamped(changes: DataFrame, pk: str, run_ts, update_stamps: DataFrame | None) -> DataFrame:
@@ -103,17 +162,17 @@ def _stamped(changes: DataFrame, pk: str, run_ts, update_stamps: DataFrame | Non
 
 
 def ended_keys(changes: DataFrame, cfg: EntityConfig, run_ts, update_stamps: DataFrame | None = None) -> DataFrame:
-    """What ends: (key, ``opened_version``, ``end_ts``, ``cdc_operation`` if it changes, ``is_kept``).
+    """What ends: (key, its place, ``end_ts``, ``cdc_operation`` if it changes, ``is_kept``).
 
     A version that is overwritten or physically deleted is not kept. ``changes`` holds the keys to
-    update and delete with the version that opened their active row; the target is not read.
+    update and delete with the place of their active row; the target is not read.
     """
     pk = cfg.primary_key_column
     is_delete = F.col("cdc_class") == DELETE
     ended = _stamped(changes.where(F.col("cdc_class").isin(UPDATE, DELETE)), pk, run_ts, update_stamps)
     return ended.select(
         pk,
-        "opened_version",
+        *[c for c in PLACE if c in changes.columns],
         F.when(is_delete, ts_literal(run_ts)).otherwise(F.col("_ts")).alias("end_ts"),
         F.when(is_delete, F.lit("D")).alias("cdc_operation"),
         F.when(is_delete, F.lit(cfg.delete_strategy == "SOFT")).otherwise(F.lit(cfg.update_strategy == "HISTORY")).alias("is_kept"),
@@ -176,6 +235,13 @@ def opened_rows(
     return fresh.select(*version)
 
 
+def rows_before(slice_: DataFrame, changes: DataFrame, cfg: EntityConfig, columns: list[str], keys_fit: bool) -> DataFrame:
+    """The active rows that end, as they are, with ``is_deleted``: what a reader of the feed gets to see of them."""
+    pk = cfg.primary_key_column
+    keys = changes.where(F.col("cdc_class").isin(UPDATE, DELETE)).select(F.col(pk).alias("_key"), (F.col("cdc_class") == DELETE).alias("is_deleted"))
+    return slice_.join(F.broadcast(keys) if keys_fit else keys, F.col(pk) == F.col("_key")).select(*columns, "is_deleted")
+
+
 def run_entity(
     spark: SparkSession,
     store: VersionStore,
@@ -186,12 +252,14 @@ def run_entity(
     limits: Limits = Limits(),
     schema: T.StructType | None = None,
     snapshot_id: int | None = None,
+    maintain: bool = True,
 ) -> dict[str, int]:
     """Run one entity and commit it. Raises, and publishes nothing, if it fails.
 
     ``src`` is the full snapshot; it is read more than once. If the rows that were published are not
     as many as the keys that were found to change, it was exchanged meanwhile, and the run fails.
     ``schema`` declares the target before its first commit; its ``varchar(n)`` columns set lengths.
+    ``maintain`` says whether versions of like size are merged after the commit.
     """
     cfg.validate()
     entity = cfg.entity_name
@@ -221,38 +289,42 @@ def run_entity(
     absent = check_schema(src, target, pk)
     state = replace(base, schema=target.json(), primary_key=pk, location=location, hash_nulls=cfg.hash_nulls, encoding_version=ENCODING_VERSION)
     slice_ = store.active_rows(state)
-    hashed = with_row_hash(src, cfg.hash_nulls)
+    scope = Scope()
+    if base.schema is not None and base.digests is not None:
+        scope = find_scope(store, state, with_row_hash(src, cfg.hash_nulls))
+    hashed = with_row_hash(scope.of(src, scope.source), cfg.hash_nulls)
 
-    changes = store.write_changes(
-        entity, run_id, classify(hashed, slice_, pk, "opened_version").where(F.col("cdc_class") != UNCHANGED)
-    )
+    found_keys = classify(hashed, scope.of(slice_, scope.target), pk, *PLACE, hashes=True)
+    changes = store.write_changes(entity, run_id, found_keys.where(F.col("cdc_class") != UNCHANGED))
     totals = _totals(changes, pk)
     rows = totals.rows
 
-    repeated = changes.where((F.col("cdc_class") == BLOCKED) & (F.col("n_rows") > 1))
-    if not rows.get(BLOCKED):
-        repeated = no_rows(spark, changes.schema)
-    errors = detect_errors(
-        hashed,
-        pk,
-        run_id,
-        entity,
-        start,
-        cfg.dup_includes_empty_key,
-        keys=repeated.select(pk, "n_rows", "is_conflict"),
-        keys_fit=totals.few(limits, BLOCKED),
-    )
-    stored_errors = store.append_errors(run_id, entity, errors)
-    found = error_counts(stored_errors).first()
-    if cfg.error_strategy == "STOP" and any(found):
-        raise EntityFailure(f"entity {entity} stops on errors: {json.dumps(found.asDict())}")
+    found = dict.fromkeys(ERROR_COUNTERS, 0)
+    if rows.get(BLOCKED) or scope.missing_keys != 0:
+        repeated = changes.where((F.col("cdc_class") == BLOCKED) & (F.col("n_rows") > 1))
+        if not rows.get(BLOCKED):
+            repeated = no_rows(spark, changes.schema)
+        errors = detect_errors(
+            src,
+            pk,
+            run_id,
+            entity,
+            start,
+            cfg.dup_includes_empty_key,
+            keys=repeated.select(pk, "n_rows", "is_conflict"),
+            keys_fit=totals.few(limits, BLOCKED),
+            hash_nulls=cfg.hash_nulls,
+        )
+        found = error_counts(store.append_errors(run_id, entity, errors)).first().asDict()
+    if cfg.error_strategy == "STOP" and any(found.values()):
+        raise EntityFailure(f"entity {entity} stops on errors: {json.dumps(found)}")
 
     inserted, updated, deleted = (rows.get(c, 0) for c in (INSERT, UPDATE, DELETE))
     stamps = None
     if updated and cfg.distinct_update_ts and cfg.update_strategy == "HISTORY":
         stamps = update_ts(changes.where(F.col("cdc_class") == UPDATE), pk, start, tie_break=True)
     unchanged = base.active_rows - updated - deleted - totals.blocked_in_target
-    opened, ended = [], []
+    opened, ended, sizes, before = [], [], {}, None
     if inserted or updated:
         version, written = store.write(
             location,
@@ -273,33 +345,51 @@ def run_entity(
         if written != inserted + updated:
             raise EntityFailure(f"snapshot of {entity} changed during the run: {inserted + updated} rows to write, {written} found")
         opened.append(version)
+        sizes[version] = written
     if updated or deleted:
         version, written = store.write(location, "ended", ended_keys(changes, cfg, start, stamps))
         if written != updated + deleted:
             raise EntityFailure(f"{updated + deleted} versions of {entity} were to end, {written} were written")
         ended.append(version)
+        sizes[version] = written
+        if cfg.before_images:
+            old = rows_before(slice_, changes, cfg, target.fieldNames(), totals.few(limits, UPDATE, DELETE))
+            before, written = store.write(location, "before", old)
+            if written != updated + deleted:
+                raise EntityFailure(f"{updated + deleted} rows of {entity} were to end, {written} were found")
+    summed = {"digests": base.digests, "digest_sums": base.digest_sums}
+    if base.schema is None:
+        summed = {"digests": [], "digest_sums": {}}
+    if summed["digests"] is not None and (inserted or updated or deleted):
+        summed = store.add_digests(location, digests.changed_sums(changes, pk, target[pk].dataType), **summed)
 
     counters = {
         "rows_inserted": inserted,
         "rows_updated": updated,
         "rows_deleted": deleted,
         "rows_unchanged": unchanged,
-        **found.asDict(),
+        **found,
     }
-    store.commit(
-        state.following(
-            kind=RUN,
-            opened=state.opened + opened,
-            ended=state.ended + ended,
-            active_rows=base.active_rows + inserted - deleted,
-            run_id=run_id,
-            snapshot_id=snapshot_id,
-            start_ts=str(start),
-            end_ts=str(clock()),
-            counters=counters,
-        )
+    after = state.following(
+        kind=RUN,
+        opened=state.opened + opened,
+        ended=state.ended + ended,
+        active_rows=base.active_rows + inserted - deleted,
+        run_id=run_id,
+        snapshot_id=snapshot_id,
+        start_ts=str(start),
+        end_ts=str(clock()),
+        counters=counters,
+        before=before,
+        **summed,
     )
+    store.commit(after.counted(sizes, totals.ended))
     log.info("entity %s run %s: %s", entity, run_id, counters)
+    if maintain and (opened or ended):
+        try:
+            store.maintain(entity)
+        except CommitConflict as other:  # what was merged is not listed anywhere; the next run merges again
+            log.info("versions of %s were not merged: %s", entity, other)
     return counters
 
 

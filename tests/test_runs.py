@@ -376,11 +376,11 @@ def test_all_settings_come_from_a_config_table(spark, store):
 
     schema = T.StructType([*CONFIG_SCHEMA, *OPTIONAL_SCHEMA])
     rows = [
-        (1, "A", "S_A", "T_A", "id", None, None, None, True, "drop", False, {"v": 3}, False, True),
-        (2, "B", "S_B", "T_B", "id", None, None, None, True, None, None, None, None, None),
+        (1, "A", "S_A", "T_A", "id", None, None, None, True, "drop", False, {"v": 3}, False, True, True),
+        (2, "B", "S_B", "T_B", "id", None, None, None, True, None, None, None, None, None, None),
     ]
     a, b = load_configs(spark.createDataFrame(rows, schema))
-    assert (a.hash_nulls, a.dup_includes_empty_key, a.length_limits, a.allow_empty_snapshot, a.distinct_update_ts) == ("drop", False, {"v": 3}, False, True)
+    assert (a.hash_nulls, a.dup_includes_empty_key, a.length_limits, a.allow_empty_snapshot, a.distinct_update_ts, a.before_images) == ("drop", False, {"v": 3}, False, True, True)
     assert b == cfg(2, "B")
 
 

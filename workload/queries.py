@@ -200,7 +200,7 @@ def configured_by_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Entity log of two runs of an entity whose settings all come from a table."""
     root = new_dir(spark, "store")
     schema = T.StructType([*CONFIG_SCHEMA, *OPTIONAL_SCHEMA])
-    settings = [(1, "Order", f"{root}/staging", "T_Order", PK, "HARD", "CONTINUE", "OVERWRITE", True, "drop", False, None, True, None)]
+    settings = [(1, "Order", f"{root}/staging", "T_Order", PK, "HARD", "CONTINUE", "OVERWRITE", True, "drop", False, None, True, None, None)]
     spark.createDataFrame(settings, schema).write.parquet(f"{root}/config")
     store = VersionStore(spark, root)
     for snapshot, stamp in ((w.orders_before, w.LOADED_TS), (w.orders_staging, w.RUN_TS)):
