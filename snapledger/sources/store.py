@@ -73,7 +73,7 @@ PLACE = ["opened_version", "opened_file", "opened_row"]
 VECTOR_ROWS, VECTOR_WORDS = 1_000_000, 4_000_000
 
 # So many versions of like size are merged to one; a size class reaches to so many times its least.
-FANOUT = 4
+FANOUT = 8
 
 
 class CommitConflict(RuntimeError):
@@ -162,7 +162,7 @@ def due(record: Commit) -> dict[str, list[int]]:
                 chosen.update(versions)
         if chosen:
             out[part] = [v for v in getattr(record, part) if v in chosen]
-    if len(record.digests or []) >= FANOUT**2:
+    if len(record.digests or []) >= 2 * FANOUT:
         out["digests"] = list(record.digests)
     return out
 
@@ -499,7 +499,7 @@ class VersionStore:
 
     def add_digests(self, location: str, sums: DataFrame, digests: list[int], digest_sums: dict[str, list[int]]) -> dict:
         """Write what is to be added to the digests. Returns both fields of the next record."""
-        version, _ = self.write(location, "digests", sums.coalesce(1))
+        version, _ = self.write(location, "digests", sums)
         if version is None:
             return {"digests": digests, "digest_sums": digest_sums}
         added = self._read(location, "digests", [version], T.StructType.fromDDL(dg.DIGEST_SCHEMA))
