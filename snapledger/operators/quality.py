@@ -19,6 +19,7 @@ DUPLICATE_INSERT = "DUPLICATE_INSERT"
 DUPLICATE_UPDATE = "DUPLICATE_UPDATE"
 PRIMARY_KEY_ERROR = "PRIMARY_KEY_ERROR"
 RUNTIME_ERROR = "RUNTIME_ERROR"
+REJECTED_LINE = "REJECTED_LINE"
 
 ERROR_COUNTERS = ["duplicate_inserts", "duplicate_updates", "key_errors"]
 
@@ -154,6 +155,21 @@ def detect_errors(
     )
 
 
+def rejected_errors(rejected: DataFrame, run_id: int, entity_name: str, ts) -> DataFrame:
+    """Quarantined lines (``file``, ``line``, ``columns``) in the form of the error log. Equal lines of a file
+    are numbered, so that each has an id of its own and a retry yields the same ids."""
+    rows = expand_copies(count_copies(rejected.select("file", "line", "columns")))
+    identity = F.to_json(F.struct(F.lit(run_id), F.lit(entity_name), "file", "line", "_ordinal"))
+    return rows.select(
+        F.sha2(identity, 256).alias("error_id"),
+        F.lit(run_id).cast("long").alias("run_id"),
+        F.lit(entity_name).alias("entity_name"),
+        F.lit(REJECTED_LINE).alias("error_code"),
+        F.to_json(F.struct("file", "line", "columns")).alias("error_row"),
+        ts_literal(ts).alias("occured_at"),
+    )
+
+
 def count_errors(src: DataFrame, pk: str, include_empty_key: bool = True) -> DataFrame:
     """The three counters of a snapshot, added up from copies: no error row is written out."""
     repeated = repeated_rows(src.select(pk, "row_hash"), pk, include_empty_key)

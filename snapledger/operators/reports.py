@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapledger.functions.hashing import with_row_hash
+from snapledger.operators import digests
 from snapledger.operators.keys import active
 
 
@@ -73,33 +75,29 @@ def reconcile(src: DataFrame, tgt: DataFrame, columns: list[str], both_ways: boo
     """Row counts of snapshot and active target, and the number of distinct snapshot rows that the
     active target lacks. ``both_ways`` adds the count of the opposite difference.
 
-    One grouping by contents answers all of it. NULLs compare as equal there, as in a set difference,
-    and copies are folded before the shuffle.
+    Rows are compared by a hash of their contents, where NULLs are equal, as in a set difference. A
+    first job compares digests of groups of hashes, one row per group and task; where they agree, both
+    sides hold the same rows. Only rows of the other groups are exchanged, as hash and side.
     """
-    def side(df: DataFrame, new: int) -> DataFrame:
-        one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-        return df.select(*columns, (one if new else zero).alias("_new"), (zero if new else one).alias("_old"))
-
-    contents = (
-        side(src, 1)
-        .unionByName(side(active(tgt), 0))
-        .groupBy(*columns)
-        .agg(F.sum("_new").alias("_new"), F.sum("_old").alias("_old"))
-    )
-    new, old = F.col("_new"), F.col("_old")
-    counts = {
-        "STAGING": F.coalesce(F.sum(new), F.lit(0)),
-        "TARGET": F.coalesce(F.sum(old), F.lit(0)),
-        "DIFFERENCES": F.count_if((new > 0) & (old == 0)),
-    }
-    if both_ways:
-        counts["DIFFERENCES_REVERSE"] = F.count_if((old > 0) & (new == 0))
-    totals = contents.agg(*[c.cast("long").alias(name) for name, c in counts.items()])
-    return totals.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("source"), F.col(n).alias("row_count")) for n in counts])
-        ).alias("r")
-    ).select("r.*")
+    def side(df: DataFrame, new: bool) -> DataFrame:
+        return df.select(*columns, F.lit(new).alias("_new"))
+
+    both = with_row_hash(side(src, True).unionByName(side(active(tgt), False)), columns=columns)
+    group = digests.group_of(digests.bucket("row_hash"))
+    named = F.concat_ws(":", F.col("_new").cast("string"), group.cast("string"))
+    # At most one row per side and group.
+    sums = digests.as_dict(digests.added_up(both.select(named.alias("bucket"), *digests.row_sums("row_hash")), F.col("bucket")))
+    by_side = {new: {k.partition(":")[2]: v for k, v in sums.items() if k.startswith(str(new).lower())} for new in (True, False)}
+    known = {"STAGING": sum(v[0] for v in by_side[True].values()), "TARGET": sum(v[0] for v in by_side[False].values())}
+    groups = digests.differing_groups(by_side[True], by_side[False])
+    wanted = ["DIFFERENCES", "DIFFERENCES_REVERSE"] if both_ways else ["DIFFERENCES"]
+    rest = both.where(group.isin(groups) if groups else F.lit(False))
+    contents = rest.groupBy("row_hash").agg(F.max("_new").alias("_new"), F.max(~F.col("_new")).alias("_old"))
+    only = {"DIFFERENCES": F.col("_new") & ~F.col("_old"), "DIFFERENCES_REVERSE": F.col("_old") & ~F.col("_new")}
+    totals = contents.agg(*[F.count_if(only[n]).alias(n) for n in wanted])
+    counts = [F.struct(F.lit(n).alias("source"), F.lit(c).cast("long").alias("row_count")) for n, c in known.items()]
+    counts += [F.struct(F.lit(n).alias("source"), F.col(n).alias("row_count")) for n in wanted]
+    return totals.select(F.explode(F.array(*counts)).alias("r")).select("r.*")
 
 
 def check(name: str, df: DataFrame, value: Column, expected: Column | None = None, label: str = "value") -> DataFrame:

@@ -34,18 +34,18 @@ from snapledger.functions.columns import CONTROL_COLUMNS, business_columns, spel
 from snapledger.functions.hashing import ENCODING_VERSION, with_row_hash
 from snapledger.operators import digests
 from snapledger.operators.changes import BLOCKED, DELETE, INSERT, UNCHANGED, UPDATE, classify, update_ts
-from snapledger.operators.quality import ERROR_COUNTERS, ERROR_SCHEMA, RUNTIME_ERROR, detect_errors, error_counts
+from snapledger.operators.quality import ERROR_COUNTERS, ERROR_SCHEMA, RUNTIME_ERROR, detect_errors, error_counts, rejected_errors
 from snapledger.operators.skew import ROWS_PER_TASK
 from snapledger.plans.apply import check_schema, new_version
 from snapledger.plans.runlog import COMPLETED, FAILED, RUNNING, run_log
 from snapledger.sources.rows import no_rows, one_row
-from snapledger.sources.staging import read_staging
+from snapledger.sources.staging import Staged, read_staging
 from snapledger.sources.store import PLACE, RUN, Commit, CommitConflict, VersionStore
 
 log = logging.getLogger(__name__)
 
 Clock = Callable[[], datetime]
-Source = Callable[[SparkSession, str], DataFrame]
+Source = Callable[[SparkSession, str], DataFrame | Staged]
 
 
 class EntityFailure(RuntimeError):
@@ -253,13 +253,15 @@ def run_entity(
     schema: T.StructType | None = None,
     snapshot_id: int | None = None,
     maintain: bool = True,
+    rejected: DataFrame | None = None,
 ) -> dict[str, int]:
     """Run one entity and commit it. Raises, and publishes nothing, if it fails.
 
     ``src`` is the full snapshot; it is read more than once. If the rows that were published are not
     as many as the keys that were found to change, it was exchanged meanwhile, and the run fails.
     ``schema`` declares the target before its first commit; its ``varchar(n)`` columns set lengths.
-    ``maintain`` says whether versions of like size are merged after the commit.
+    ``maintain`` says whether versions of like size are merged after the commit. ``rejected`` are lines
+    that the snapshot has lost when it was loaded; they go to the error log, and count for ``STOP``.
     """
     cfg.validate()
     entity = cfg.entity_name
@@ -316,6 +318,10 @@ def run_entity(
             hash_nulls=cfg.hash_nulls,
         )
         found = error_counts(store.append_errors(run_id, entity, errors)).first().asDict()
+    if rejected is not None:
+        lines = store.append_errors(run_id, entity, rejected_errors(rejected, run_id, entity, start), part="rejected").count()
+        if cfg.error_strategy == "STOP" and lines:
+            raise EntityFailure(f"entity {entity} stops on {lines} rejected lines")
     if cfg.error_strategy == "STOP" and any(found.values()):
         raise EntityFailure(f"entity {entity} stops on errors: {json.dumps(found)}")
 
@@ -423,7 +429,8 @@ def process(
         cfg = find_config(configs, config_id)
         name = cfg.entity_name
         src = source(spark, cfg.source_table)
-        run_entity(spark, store, cfg, src, run_id, clock, limits, (schemas or {}).get(name), snapshot_id)
+        rows, rejected = (src.rows, src.rejected) if isinstance(src, Staged) else (src, None)
+        run_entity(spark, store, cfg, rows, run_id, clock, limits, (schemas or {}).get(name), snapshot_id, rejected=rejected)
         return None
     except Exception as failure:  # any failure of an entity ends up in the log
         log.warning("entity %s failed: %s", name, failure)

@@ -252,6 +252,12 @@ def oracle_sql() -> dict[str, str]:
           cast({draw('salary', 8000)} + 2000 as double) AS salary,
           {pick(MANAGERS, 'manager')} AS manager, {pick(DEPARTMENTS, 'department')} AS department FROM d"""
     sql["src02_read_staging"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as varchar) AS o_orderdate, o_orderpriority FROM orders"
+    bad_line = "CASE WHEN o_orderstatus = 'P' THEN 'rejected:o_totalprice' WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'rejected:' END"
+    sql["src01_rejected_lines"] = (
+        f"WITH {ORDERS}, lines AS (SELECT order_key, o_totalprice, {bad_line} AS problem FROM book) "
+        "SELECT order_key, CASE WHEN problem IS NULL THEN cast(o_totalprice as double) END AS o_totalprice, problem FROM lines"
+    )
+    sql["src03_stored_active"] = f"WITH {ORDER_SETS}, {next_target('HISTORY', 'SOFT')} SELECT {TARGET_SHOWN} FROM after_run WHERE is_active"
     sql["src03_active"] = with_orders(f"SELECT {TARGET_SHOWN} FROM current")
     # the stored target starts from the cut-off snapshot, so it has no older versions
     sql["snk01_publish_versions"] = (
@@ -451,6 +457,10 @@ def oracle_sql() -> dict[str, str]:
         f"UNION ALL SELECT 'DIFFERENCES', count(*) FROM {minus.format('staging', 'current')} "
         f"UNION ALL SELECT 'DIFFERENCES_REVERSE', count(*) FROM {minus.format('current', 'staging')}"
     )
+    sql["a04_reconcile_equal"] = (
+        f"WITH {ORDERS} SELECT 'STAGING' AS source, count(*) AS row_count FROM book UNION ALL SELECT 'TARGET', count(*) FROM book "
+        "UNION ALL SELECT 'DIFFERENCES', 0 UNION ALL SELECT 'DIFFERENCES_REVERSE', 0"
+    )
     sql["a05_checks"] = with_orders(
         "SELECT 'active rows' AS test_name, CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status, 'active=' || count(*) AS details FROM current "
         "UNION ALL SELECT 'no missing keys', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, 'key_errors=' || count(*) FROM key_err "
@@ -479,6 +489,18 @@ def oracle_sql() -> dict[str, str]:
         SELECT lang, md5(text) AS text_md5, CASE WHEN n > 0 THEN 'INSERT' ELSE 'DELETE' END AS action,
           (SELECT min(n) < 0 AND max(n) > 0 FROM net k WHERE k.lang = each.lang AND k.n <> 0) AS is_update, sha256(lang) AS row_id FROM each"""
     sql["s02_consume_feed"] = sql["s01_change_feed"]
+
+    def event(rows: str, action: str, is_update: str, where: str = "true") -> str:
+        return f"SELECT {B}, '{action}' AS action, {is_update} AS is_update, sha256(order_key) AS row_id FROM {rows} WHERE {where}"
+
+    updated = "order_key IN (SELECT order_key FROM upd)"
+    second = [
+        event("current", "DELETE", "true", updated), event("del", "DELETE", "false"), event("ins", "INSERT", "false"), event("upd", "INSERT", "true"),
+    ]
+    sql["s01_commit_feed"] = with_orders(" UNION ALL ".join(second))
+    sql["s01_commit_feed_looked_up"] = sql["s01_commit_feed"]
+    sql["s01_commit_feed_netted"] = f"WITH {ORDER_SETS}, {next_target('HISTORY', 'SOFT')} " + event("after_run", "INSERT", "false", "is_active")
+    sql["s02_consume_commits"] = with_orders(" UNION ALL ".join([event("before", "INSERT", "false"), *second]))
     for name in (
         "h01_row_hash_keep", "h02_row_hash_drop", "dq01_duplicate_inserts", "dq01_duplicate_inserts_no_empty_key", "dq02_duplicate_updates",
         "dq02_duplicate_updates_no_empty_key", "dq03_key_errors", "dq04_error_row", "dq05_detect_errors", "dq06_error_counts",

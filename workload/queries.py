@@ -16,6 +16,7 @@ from snapledger.functions.columns import CONTROL_COLUMNS, ts_literal
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators import changes as ch
 from snapledger.operators import corrections, feed, keys, quality, reports, skew
+from snapledger.plans import commit_feed as commits
 from snapledger.plans import run as runs
 from snapledger.plans import runlog
 from snapledger.plans.apply import apply_cdc
@@ -196,6 +197,50 @@ def compacted(spark: SparkSession, sf: str) -> DataFrame:
     return shown(store.read_target("Order"))
 
 
+def stored_active(spark: SparkSession, sf: str) -> DataFrame:
+    """The active rows after two runs, read with deletion vectors."""
+    return shown(two_runs(spark, sf, [w.orders_config()]).read_active("Order"))
+
+
+def commit_feed_query(spark: SparkSession, sf: str, images: bool = True, after: int | None = None) -> DataFrame:
+    """The feed of the second of two runs, or of both, from the commit records."""
+    store = two_runs(spark, sf, [w.orders_config(before_images=images)])
+    first = store.records("Order", 0)[0].number
+    return shown(commits.commit_feed(store, "Order", first if after is None else after))
+
+
+def consume_commits(spark: SparkSession, sf: str) -> DataFrame:
+    """All that a consumer gets that reads after each run of two, and once more."""
+    root = new_dir(spark, "commits")
+    store = VersionStore(spark, f"{root}/store")
+    for snapshot, stamp in ((w.orders_before, w.LOADED_TS), (w.orders_staging, w.RUN_TS)):
+        runs.run(spark, store, [w.orders_config()], lambda s, n, f=snapshot: f(s, sf), clock=fixed(stamp))
+        commits.consume_commits(store, "Order", "reader", f"{root}/sink")
+    return shown(commits.consume_commits(store, "Order", "reader", f"{root}/sink"))
+
+
+def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A run on a text of all orders: partly delivered ones have no price, urgent closed ones lack values."""
+    root = new_dir(spark, "rejects")
+    book = w.orders(spark, sf)
+    short = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    whole = F.concat_ws(",", PK, "o_custkey", "o_orderstatus", price, F.col("o_orderdate").cast("string"), "o_orderpriority")
+    book.select(F.when(short, F.concat_ws(",", PK, "o_custkey")).otherwise(whole).alias("value")).write.text(f"{root}/text")
+    store = VersionStore(spark, f"{root}/store")
+    source = lambda s, n: staging.stage_csv(s, f"{root}/text", book.schema, f"{root}/staged", header=False)
+    runs.run(spark, store, [w.orders_config()], source, clock=fixed(w.RUN_TS))
+    row = F.from_json("error_row", "line string, columns array<string>")
+    lines = store.error_log().where(F.col("error_code") == quality.REJECTED_LINE).withColumn("row", row)
+    rejected = lines.select(
+        F.split("row.line", ",")[0].alias(PK),
+        F.lit(None).cast("double").alias("o_totalprice"),
+        F.concat(F.lit("rejected:"), F.array_join("row.columns", ",")).alias("problem"),
+    )
+    stored = store.read_active("Order").select(PK, F.col("o_totalprice").cast("double").alias("o_totalprice"), F.lit(None).cast("string").alias("problem"))
+    return stored.unionByName(rejected)
+
+
 def configured_by_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Entity log of two runs of an entity whose settings all come from a table."""
     root = new_dir(spark, "store")
@@ -365,6 +410,13 @@ def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     return reports.reconcile(snapshot, w.orders_target(spark, sf), snapshot.columns, both_ways=True)
 
 
+def reconcile_equal(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole order book against a target that holds it."""
+    book = w.orders(spark, sf)
+    target = apply_cdc(book, None, w.orders_config(), w.RUN_TS).target
+    return reports.reconcile(book, target, book.columns, both_ways=True)
+
+
 def checks(spark: SparkSession, sf: str) -> DataFrame:
     src, active = orders_src(spark, sf), keys.active(w.orders_target(spark, sf))
     rows = F.count(F.lit(1))
@@ -422,10 +474,12 @@ def operation(name: str):
 
 QUERIES: dict[str, Query] = {
     "src01_load_snapshot_csv": load_csv,
+    "src01_rejected_lines": rejected_lines,
     "src02_read_staging": lambda s, d: staging.read_staging(s, f"{d}/orders.parquet").withColumn(
         "o_orderdate", F.col("o_orderdate").cast("string")
     ),
     "src03_active": lambda s, d: shown(keys.active(w.orders_target(s, d))),
+    "src03_stored_active": stored_active,
     "src05_generate_employees": generate_employees,
     "snk01_publish_versions": publish_versions,
     "snk01_compacted": compacted,
@@ -487,12 +541,17 @@ QUERIES: dict[str, Query] = {
     "a02_rows_per_run": on_run_logs(reports.rows_per_run),
     "a03_compare_runs": compare_runs,
     "a04_reconcile": reconcile,
+    "a04_reconcile_equal": reconcile_equal,
     "a05_checks": checks,
     "a06_latest_run": lambda s, d: shown(reports.latest_run(w.order_runs(s, d))),
     "a07_count_where": counts,
     "a08_history": lambda s, d: shown(reports.history(w.orders_target(s, d), PK)),
     "s01_change_feed": change_feed,
     "s01_change_feed_repeated_rows": change_feed_repeated_rows,
+    "s01_commit_feed": commit_feed_query,
+    "s01_commit_feed_looked_up": lambda s, d: commit_feed_query(s, d, images=False),
+    "s01_commit_feed_netted": lambda s, d: commit_feed_query(s, d, after=0),
+    "s02_consume_commits": consume_commits,
     "s02_stream_cdc": stream_cdc,
     "s02_consume_feed": consume_feed,
 }
