@@ -16,34 +16,47 @@ from snapledger.llm.common import as_text, running_total, written
 
 BITS = 5
 SHARDS = 24
-#: Leading bytes by which texts are put in order before they are quantised.
-TEXT_BYTES = 6
 #: Bytes counted per row besides its text.
 ROW_BYTES = 8
 
 
 def ordinal(name: str, kind: T.DataType) -> Column:
-    """A number in the order of the values; NULL stays NULL."""
+    """A value that is quantised by its order: a text as a whole, anything else as a number. NULL stays NULL."""
     col = F.col(name)
     if isinstance(kind, T.StringType):
-        lead = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, TEXT_BYTES)), 2 * TEXT_BYTES, "0")
-        return F.conv(lead, 16, 10).cast("double")
+        return col
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(col.cast("timestamp")).cast("double")
     return F.when(~F.isnan(col.cast("double")), col.cast("double"))
 
 
-def cuts(rows: DataFrame, names: list[str], bits: int) -> list[list[float]]:
+def text_cuts(rows: DataFrame, name: str, bits: int) -> list[str]:
+    """The at most 2^bits - 1 texts at which a new step begins. Different texts are counted and put in
+    order as a whole; a text belongs to the step that the rows before it have reached."""
+    counted = rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_total(written(counted, "values"), ["value"], "n")
+    total = F.lit(ranked.agg(F.sum("n")).first()[0] or 1)
+    stepped = ranked.groupBy(F.floor(F.col("start") * (1 << bits) / total).alias("step")).agg(F.min("value").alias("value"))
+    return sorted((r.value for r in stepped.filter("step > 0").collect()), key=lambda v: v.encode())
+
+
+def cuts(rows: DataFrame, names: list[str], bits: int) -> list[list]:
     """Per dimension the at most 2^bits - 1 values at which a new step begins."""
     steps = 1 << bits
     parts = ", ".join(repr(i / steps) + "D" for i in range(1, steps))
-    found = rows.agg(*[F.expr(f"percentile_approx(`{n}`, array({parts}), 10000)").alias(n) for n in names]).first()
-    return [sorted(set(found[n] or [])) for n in names]
+    texts = {f.name for f in rows.schema if isinstance(f.dataType, T.StringType)}
+    numbers = [n for n in names if n not in texts]
+    found = {}
+    if numbers:
+        found = rows.agg(*[F.expr(f"percentile_approx(`{n}`, array({parts}), 10000)").alias(n) for n in numbers]).first().asDict()
+    return [text_cuts(rows, n, bits) if n in texts else sorted(set(found[n] or [])) for n in names]
 
 
-def step(name: str, bounds: list[float]) -> Column:
+def step(name: str, bounds: list) -> Column:
     """How many bounds a value reaches; NULL is in the lowest step."""
-    edges = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+    if not bounds:
+        return F.lit(0).cast("long")
+    edges = F.array(*[F.lit(b) for b in bounds])
     return F.coalesce(F.size(F.filter(edges, lambda b: b <= F.col(name))), F.lit(0)).cast("long")
 
 
@@ -110,8 +123,9 @@ def hilbert_shards(
     The dimensions are ``dims`` and the size (bytes of the text plus eight). Shards are runs of the
     curve whose row counts differ by one at most; ``slot`` numbers the rows of a shard from zero in
     the order of the curve. Rows in one cell follow in the order of id, size and checksum, NULL ids
-    first; rows equal in all of these are interchangeable and get one slot each. NULL text: no
-    bytes. A dimension that is NULL counts as lowest. With fewer rows than shards some shards stay
+    first; rows equal in all of these are interchangeable and get one slot each. Equal texts are a
+    group, but row counts are the law that holds: they lie near one another as far as their
+    dimensions agree, and a shard may end between them. NULL text: no bytes. A dimension that is NULL counts as lowest. With fewer rows than shards some shards stay
     empty. Columns that ``docs`` has besides are not read.
     """
     text = as_text(text_col)

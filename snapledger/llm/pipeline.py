@@ -23,10 +23,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the kind and length of white space, the row with the smallest id stays."""
     return exact_dedup.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that fingerprints link, directly or by way of others, the one with the smallest id stays."""
     return simhash.without_near_copies(docs)
 
 
@@ -42,6 +44,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens; one row per piece of a document, with its ids."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -66,3 +66,29 @@ def test_no_python_in_the_plan(spark):
     _, docs = messy(spark)
     plan = hilbert_shards.hilbert_shards(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_are_quantised_as_a_whole(spark):
+    """Against a plain version: the step of a text is that of the rows with smaller texts."""
+    rng = __import__("random").Random(4)
+    sources = [f"https://a-very-long-common-prefix.example.org/site{k:03d}" for k in range(200)]
+    values = [rng.choice(sources) for _ in range(900)] + [sources[7]] * 500 + [None] * 50 + ["", "ä", "zz"]
+    docs = spark.createDataFrame([(k, "x", v) for k, v in enumerate(values)], "doc_id long, text string, source string").repartition(5)
+    cuts = hilbert_shards.cuts(docs.select("source"), ["source"], 5)[0]
+    known = sorted((v for v in values if v is not None), key=lambda v: v.encode())
+    smaller = {}
+    for k, v in enumerate(known):
+        smaller.setdefault(v, k)
+    steps = {v: k * 32 // len(known) for v, k in smaller.items()}
+    first = {}
+    for v in sorted(smaller, key=lambda v: v.encode()):
+        first.setdefault(steps[v], v)
+    assert cuts == [v for s, v in sorted(first.items()) if s > 0]
+    placed = hilbert_shards.hilbert_shards(docs, dims=("source",)).collect()
+    assert len({r.curve for r in placed}) == len(cuts) + 1
+
+
+def test_equal_texts_may_be_parted_but_row_counts_hold(spark):
+    docs = spark.createDataFrame([(k, "same") for k in range(100)], "doc_id long, text string")
+    sizes = Counter(r.shard for r in hilbert_shards.hilbert_shards(docs, dims=()).collect())
+    assert set(sizes.values()) == {4, 5} and len(sizes) == 24

@@ -64,3 +64,23 @@ def test_repeated_and_missing_ids_and_an_empty_table(spark):
     got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(docs).collect())
     assert got == [("4", "4"), ("4", "4"), ("9", "4"), ("None", "4"), ("None", "None")]
     assert simhash.near_duplicates(docs.filter("false")).collect() == []
+
+
+def test_repeated_and_missing_ids_lose_no_unlike_text(spark):
+    import random
+
+    from helpers import sentence
+
+    rng = random.Random(8)
+    a, b, c, d = (sentence(rng, 120) for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, c + " the"), (None, d), (None, d), (9, d), (None, b), (11, None), (11, "")]
+    kept = simhash.without_near_copies(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    marks = {t: plain(t) for _, t in rows}
+    near = bin(marks[c] ^ marks[c + " the"]).count("1") <= 4
+    assert {(3, a), (5, b), (9, d)} <= set(found) and {t for _, t in found} & {c, c + " the"}
+    assert len([f for f in found if f[0] == 7]) == (1 if near else 2)
+    assert len([f for f in found if f[0] == 11]) == 1 and len([f for f in found if f[0] is None]) == 0
+    only_null = simhash.without_near_copies(frame(spark, [(None, d), (None, d), (None, a)]))
+    assert sorted(r.text for r in only_null.collect()) == sorted([d, a])
