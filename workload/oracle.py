@@ -368,6 +368,21 @@ def oracle_sql() -> dict[str, str]:
     run_ts = f"timestamp '{RUN_TS}'"
     sql["c06_history_close"] = after("HISTORY", "SOFT", f"end_ts = {run_ts} AND cdc_operation <> 'D'")
     sql["c07_history_open"] = after("HISTORY", "SOFT", f"start_ts = {run_ts} AND cdc_operation = 'U'")
+    sql["c06_as_of"] = (
+        f"WITH {ORDERS} SELECT order_key, o_orderstatus, '{LOADED_TS}' AS start_ts FROM before"
+    )
+    sql["c07_interval_errors"] = """
+        WITH v AS (SELECT cast(o_custkey as varchar) AS customer, o_orderdate AS s, max(o_totalprice) AS level FROM orders GROUP BY ALL),
+        i AS (SELECT *, CASE WHEN level < 250000 THEN (SELECT min(n.s) FROM v n WHERE n.customer = v.customer AND n.s > v.s) END AS e FROM v)
+        SELECT b.customer, cast(b.s as varchar) AS start_ts, cast(NULL as varchar) AS previous_end, 'OVERLAP' AS error
+        FROM i a JOIN i b ON a.customer = b.customer AND b.s = (SELECT min(n.s) FROM v n WHERE n.customer = a.customer AND n.s > a.s)
+        WHERE a.e IS NULL"""
+    sql["c07_as_of_join"] = """
+        WITH v AS (SELECT o_custkey, o_orderdate AS s, max(o_totalprice) AS level FROM orders GROUP BY ALL),
+        i AS (SELECT o_custkey, level, s, least(lead(s) OVER (PARTITION BY o_custkey ORDER BY s), s + interval 400 day) AS e FROM v),
+        f AS (SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+        SELECT l_orderkey, l_linenumber, l_partkey, f.o_custkey, level
+        FROM f LEFT JOIN i ON i.o_custkey = f.o_custkey AND s <= l_shipdate AND (e IS NULL OR e > l_shipdate)"""
     sql["c08_overwrite"] = after("OVERWRITE", "SOFT", f"start_ts = {run_ts} AND cdc_operation = 'U'")
     sql["c09_detect_deletes"] = with_orders(f"SELECT {TARGET_SHOWN} FROM del")
     sql["c10_soft_delete"] = after("HISTORY", "SOFT", "cdc_operation = 'D'")

@@ -7,7 +7,7 @@ from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from snapledger.config import CONFIG_SCHEMA, OPTIONAL_SCHEMA, EntityConfig
 from snapledger.functions.columns import CONTROL_COLUMNS, ts_literal
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators import changes as ch
-from snapledger.operators import corrections, feed, keys, quality, reports, skew
+from snapledger.operators import corrections, feed, intervals, keys, quality, reports, skew
 from snapledger.plans import commit_feed as commits
 from snapledger.plans import run as runs
 from snapledger.plans import runlog
@@ -434,6 +434,41 @@ def counts(spark: SparkSession, sf: str) -> DataFrame:
     return stack(*[reports.count_where(target, p).select(F.lit(n).alias("what"), "total_rows") for n, p in wanted.items()])
 
 
+BETWEEN_TS = "2025-06-01 00:00:00"
+
+
+def stored_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The order book as it held between two runs, after the second."""
+    return shown(intervals.as_of(two_runs(spark, sf, [w.orders_config()]).read_target("Order"), BETWEEN_TS), PK, "o_orderstatus", "start_ts")
+
+
+def customer_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A version of each customer per order that is larger than all before, as a level that holds until the next."""
+    book = w.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("customer"), "o_orderdate", "o_totalprice")
+    days = book.groupBy("customer", "o_orderdate").agg(F.max("o_totalprice").alias("level"))
+    order = Window.partitionBy("customer").orderBy("o_orderdate")
+    ends = F.when(F.col("level") < 250000, F.lead("o_orderdate").over(order))  # a high level is not followed: it overlaps
+    return days.select(
+        "customer", "level", F.col("o_orderdate").cast("timestamp_ntz").alias("start_ts"), ends.cast("timestamp_ntz").alias("end_ts"), F.lit("U").alias("cdc_operation")
+    )
+
+
+def interval_errors(spark: SparkSession, sf: str) -> DataFrame:
+    return shown(intervals.interval_errors(customer_versions(spark, sf), "customer"))
+
+
+def lines_with_level(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order line with the status that its order's customer had, by a shorter history, when it was shipped."""
+    book = w.table(spark, sf, "orders")
+    days = book.groupBy("o_custkey", "o_orderdate").agg(F.max("o_totalprice").alias("level"))
+    order = Window.partitionBy("o_custkey").orderBy("o_orderdate")
+    ends = F.least(F.lead("o_orderdate").over(order), F.col("o_orderdate") + F.expr("interval 400 days"))
+    versions = days.select("o_custkey", "level", F.col("o_orderdate").cast("timestamp_ntz").alias("start_ts"), ends.cast("timestamp_ntz").alias("end_ts"))
+    lines = w.table(spark, sf, "lineitem").join(book.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    facts = lines.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", F.col("l_shipdate").alias("shipped"))
+    return intervals.as_of_join(facts, versions, "o_custkey", "shipped", "o_custkey", ["level"]).drop("shipped")
+
+
 def today(spark: SparkSession, sf: str) -> DataFrame:
     return w.orders(spark, sf).where(F.col("o_orderdate") >= ts_literal(w.RETAINED_FROM))
 
@@ -515,6 +550,9 @@ QUERIES: dict[str, Query] = {
     "c05_detect_updates": on_orders(ch.detect_updates),
     "c06_history_close": target_where(lambda: ended() & ~operation("D")),
     "c07_history_open": target_where(lambda: started() & operation("U")),
+    "c06_as_of": stored_as_of,
+    "c07_interval_errors": interval_errors,
+    "c07_as_of_join": lines_with_level,
     "c08_overwrite": target_where(lambda: started() & operation("U"), update="OVERWRITE"),
     "c09_detect_deletes": on_orders(ch.detect_deletes),
     "c10_soft_delete": target_where(lambda: operation("D")),
