@@ -100,6 +100,19 @@ def reconcile(src: DataFrame, tgt: DataFrame, columns: list[str], both_ways: boo
     return totals.select(F.explode(F.array(*counts)).alias("r")).select("r.*")
 
 
+def error_fields(objects: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Error rows (``error_object``) with some fields of the faulty row as columns: name -> type. A field
+    that the row lacks, or that does not fit the type, is NULL. Fields are read by path; no text is parsed."""
+    def path(name: str) -> str:
+        quote = "'" if '"' in name else '"'
+        if quote in name:
+            raise ValueError(f"no path can name the field {name!r}")
+        return f"$[{quote}{name}{quote}]"
+
+    values = [F.try_variant_get("error_object", path(n), t).alias(n) for n, t in fields.items()]
+    return objects.select(*[c for c in objects.columns if c != "error_object"], *values)
+
+
 def check(name: str, df: DataFrame, value: Column, expected: Column | None = None, label: str = "value") -> DataFrame:
     """One check row: name, PASS or FAIL, details. ``value`` is an aggregate over ``df``; the check
     passes if ``expected`` (a predicate on the column ``value``) holds."""

@@ -59,6 +59,8 @@ ENTITY_LOG_SCHEMA = (
     "run_id bigint, start_ts timestamp_ntz, end_ts timestamp_ntz, entity_name string, "
     + ", ".join(f"{c} bigint" for c in COUNTERS)
 )
+# A stored error row is an object whose fields are read by path; one that is no object stays text, as in older logs.
+STORED_ERROR_SCHEMA = f"{ERROR_SCHEMA}, error_object variant"
 RUN_EVENT_SCHEMA = "run_id bigint, seq int, status string, ts timestamp_ntz"
 
 log = logging.getLogger(__name__)
@@ -252,8 +254,20 @@ class VersionStore:
         stamps = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_ts", "end_ts")]
         return self.commits().select("run_id", *stamps, "entity_name", *[F.col(f"counters.{c}").alias(c) for c in COUNTERS])
 
+    def error_objects(self) -> DataFrame:
+        """The error log with each row as an object, ``error_object``, for :func:`variant_get`. Only rows that
+        were stored as text (in older logs, or because they are too large for an object) are parsed."""
+        rows = self._read_log("error_log", STORED_ERROR_SCHEMA)
+        return rows.withColumn("error_object", F.coalesce("error_object", F.try_parse_json("error_row"))).drop("error_row")
+
     def error_log(self) -> DataFrame:
-        return self._read_log("error_log", ERROR_SCHEMA)
+        """The error log with each row as JSON text."""
+        return self._as_text(self._read_log("error_log", STORED_ERROR_SCHEMA))
+
+    @staticmethod
+    def _as_text(rows: DataFrame) -> DataFrame:
+        text = F.coalesce("error_row", F.to_json("error_object"))
+        return rows.withColumn("error_row", text).drop("error_object")
 
     def run_events(self) -> DataFrame:
         return self._read_log("run_events", RUN_EVENT_SCHEMA)
@@ -273,8 +287,10 @@ class VersionStore:
         """Write the error rows of one run and entity and return them as stored. A retry replaces
         its own rows and no others."""
         path = f"{self._log('error_log')}/{run_id}/{self._name(entity)}/{part}"
-        errors.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(ERROR_SCHEMA).parquet(path)
+        whole = errors.withColumn("error_object", F.try_parse_json("error_row"))
+        whole = whole.withColumn("error_row", F.when(F.col("error_object").isNull(), F.col("error_row")))
+        whole.write.mode("overwrite").parquet(path)
+        return self._as_text(self.spark.read.schema(STORED_ERROR_SCHEMA).parquet(path))
 
     # targets
 

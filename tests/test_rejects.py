@@ -73,3 +73,26 @@ def test_equal_sides_are_told_by_digests_alone(spark):
     assert {r.source: r.row_count for r in reconcile(more, tgt.where("id <> '9'"), ["id", "v"], both_ways=True).collect()} == {
         "STAGING": 500 + src.where("id < 3").count() + 1, "TARGET": 499, "DIFFERENCES": 2, "DIFFERENCES_REVERSE": 0,
     }
+
+
+def test_error_rows_are_objects_and_older_text_is_still_read(spark, store):
+    from datetime import datetime
+
+    from snapledger.operators.quality import ERROR_SCHEMA
+    from snapledger.operators.reports import error_fields
+
+    at = datetime(2026, 1, 1)
+    new = [("e1", 1, "A", "X", '{"id":"1","amount":12.50,"a \\"b\\"":"q","deep":{"x":[1,2]}}', at), ("e2", 1, "A", "X", "no object", at)]
+    store.append_errors(1, "A", spark.createDataFrame(new, ERROR_SCHEMA))
+    old = [("e0", 0, "A", "X", '{"id":"0","amount":1}', at)]
+    spark.createDataFrame(old, ERROR_SCHEMA).write.parquet(f"{store.root}/logs/error_log/0/A/rows")
+    stored = spark.read.parquet(f"{store.root}/logs/error_log/1/A/rows")
+    assert dict(stored.dtypes)["error_object"] == "variant" and stored.where("error_row is not null").count() == 1
+    fields = error_fields(store.error_objects(), {"id": "string", "amount": "decimal(8,2)", 'a "b"': "string", "deep": "struct<x:array<int>>", "none": "int"})
+    rows = {r.error_id: r for r in fields.collect()}
+    assert [str(rows["e1"][c]) for c in ("id", "amount", 'a "b"', "none")] == ["1", "12.50", "q", "None"] and rows["e1"].deep.x == [1, 2]
+    assert (rows["e0"].id, str(rows["e0"].amount), rows["e2"].id) == ("0", "1.00", None)
+    texts = {r.error_id: r.error_row for r in store.error_log().collect()}
+    assert texts["e2"] == "no object" and json.loads(texts["e0"]) == {"id": "0", "amount": 1} and json.loads(texts["e1"])["deep"] == {"x": [1, 2]}
+    plan = fields.select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan.lower()

@@ -336,6 +336,11 @@ def oracle_sql() -> dict[str, str]:
         f"WITH {ORDER_SETS}, {ALL_ERRORS} SELECT 1::bigint AS run_id, 'Order' AS entity_name, error_code, "
         f"'{RUN_TS}' AS occured_at, order_key, row_hash FROM errors"
     )
+    faulty = "2::bigint AS run_id, 'Order' AS entity_name, '{}' AS error_code, order_key, o_custkey, cast(o_totalprice as double) AS o_totalprice, {} AS cnt"
+    sql["dq05_error_fields"] = with_orders(
+        f"SELECT {faulty.format('DUPLICATE_INSERT', 'cnt')} FROM dup_ins UNION ALL SELECT {faulty.format('DUPLICATE_UPDATE', 'NULL')} FROM dup_upd "
+        f"UNION ALL SELECT {faulty.format('PRIMARY_KEY_ERROR', 'NULL')} FROM key_err"
+    )
     sql["dq06_error_counts"] = with_orders(
         "SELECT (SELECT count(*) FROM dup_ins) AS duplicate_inserts, (SELECT count(*) FROM dup_upd) AS duplicate_updates, "
         "(SELECT count(*) FROM key_err) AS key_errors"

@@ -123,6 +123,13 @@ def append_errors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def error_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of the faulty rows of a second run, by path out of the stored objects."""
+    objects = two_runs(spark, sf, [w.orders_config()]).error_objects()
+    fields = reports.error_fields(objects, {PK: "string", "o_custkey": "bigint", "o_totalprice": "decimal(18,2)", "cnt": "bigint"})
+    return shown(fields.drop("error_id", "occured_at"))
+
+
 def counted(base: DataFrame, **frames: DataFrame) -> DataFrame:
     """One row: the columns of ``base`` (one row, if any) and the number of rows of each frame."""
     parts = [base] + [f.agg(F.count(F.lit(1)).alias(n)) for n, f in frames.items()]
@@ -539,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "dq03_key_errors": on_snapshot(quality.key_errors),
     "dq04_error_row": error_rows,
     "dq05_detect_errors": detected_errors,
+    "dq05_error_fields": error_fields,
     "dq06_error_counts": error_totals,
     "dq07_length_violations": length_violations,
     "dq07_too_long_value": too_long_value,
