@@ -21,10 +21,13 @@ from __future__ import annotations
 
 import json
 import logging
+import threading
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from concurrent.futures import ThreadPoolExecutor, wait
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +55,20 @@ class EntityFailure(RuntimeError):
     """An entity run that must not publish."""
 
 
+@dataclass
+class Gate:
+    """What the entities of one run share: no entity commits once the run was stopped."""
+
+    lock: threading.Lock = field(default_factory=threading.Lock)
+    stopped: bool = False
+    #: The tag of the Spark jobs that end when the run is stopped.
+    tag: str | None = None
+
+
+class RunStopped(EntityFailure):
+    """The run was stopped before this entity could commit."""
+
+
 @dataclass(frozen=True)
 class Limits:
     """Most rows and key bytes of a key table that may be broadcast."""
@@ -254,6 +271,7 @@ def run_entity(
     snapshot_id: int | None = None,
     maintain: bool = True,
     rejected: DataFrame | None = None,
+    gate: Gate | None = None,
 ) -> dict[str, int]:
     """Run one entity and commit it. Raises, and publishes nothing, if it fails.
 
@@ -389,7 +407,11 @@ def run_entity(
         before=before,
         **summed,
     )
-    store.commit(after.counted(sizes, totals.ended))
+    gate = gate or Gate()
+    with gate.lock:
+        if gate.stopped:
+            raise RunStopped(f"the run of {entity} was stopped")
+        store.commit(after.counted(sizes, totals.ended))
     log.info("entity %s run %s: %s", entity, run_id, counters)
     if maintain and (opened or ended):
         try:
@@ -418,27 +440,39 @@ def process(
     limits: Limits = Limits(),
     schemas: dict[str, T.StructType] | None = None,
     snapshot_id: int | None = None,
+    gate: Gate | None = None,
+    stop: bool = False,
 ) -> str | None:
     """Run the entity of one configuration id as part of a run.
 
     Returns None, or a message if it failed. Then the run is FAILED, the failure is in the error log,
-    and errors that were found in the data stay logged.
+    and errors that were found in the data stay logged. ``stop`` says that a failure stops the other
+    entities behind the same ``gate``; an entity that was stopped leaves no failure of its own.
     """
+    gate = gate or Gate()
     name = f"config {config_id}"
     try:
         cfg = find_config(configs, config_id)
         name = cfg.entity_name
         src = source(spark, cfg.source_table)
         rows, rejected = (src.rows, src.rejected) if isinstance(src, Staged) else (src, None)
-        run_entity(spark, store, cfg, rows, run_id, clock, limits, (schemas or {}).get(name), snapshot_id, rejected=rejected)
+        run_entity(spark, store, cfg, rows, run_id, clock, limits, (schemas or {}).get(name), snapshot_id, rejected=rejected, gate=gate)
         return None
     except Exception as failure:  # any failure of an entity ends up in the log
+        with gate.lock:
+            if gate.stopped:
+                log.info("entity %s was stopped", name)
+                return None
+            gate.stopped = stop
+        if gate.tag:  # what follows belongs to the log
+            spark.sparkContext.removeJobTag(gate.tag)
         log.warning("entity %s failed: %s", name, failure)
         message = json.dumps({"message": str(failure), "config_id": config_id})
         error_id = f"{run_id}-{config_id}-{RUNTIME_ERROR}"
         row = one_row(spark, ERROR_SCHEMA, (error_id, run_id, name, RUNTIME_ERROR, message, clock()))
         store.append_errors(run_id, name, row, part="runtime")
-        store.append_event(run_id, 1, FAILED, clock())
+        with gate.lock:
+            store.append_event(run_id, 1, FAILED, clock())
         return str(failure)
 
 
@@ -453,11 +487,15 @@ def run(
     limits: Limits = Limits(),
     schemas: dict[str, T.StructType] | None = None,
     snapshot_id: int | None = None,
+    at_once: int = 1,
 ) -> RunResult:
-    """Run all active entities in order of their configuration id.
+    """Run all active entities in order of their configuration id, up to ``at_once`` at the same time.
 
     ``on_entity_failure="stop"`` ends the run at the first failure, ``"continue"`` tries the other
-    entities; the run is FAILED either way. Entities that were committed before stay committed.
+    entities; the run is FAILED either way. Entities that were committed before stay committed. Of
+    entities that run at the same time, a failure that stops the run cancels the Spark jobs of the
+    others, by the tag of the run, and none of them commits any more. Each entity has a scheduler pool of its
+    own name; pools share executors evenly if the session's scheduler mode is FAIR.
     """
     if on_entity_failure not in ("stop", "continue"):
         raise ValueError("on_entity_failure must be 'stop' or 'continue'")
@@ -468,13 +506,34 @@ def run(
     chosen = sorted((c for c in configs if c.is_active), key=lambda c: c.config_id)
     run_id = claim_run_id(store)
     store.append_event(run_id, 0, RUNNING, clock())
-    failures: dict[str, str] = {}
-    for cfg in chosen:
-        message = process(spark, store, chosen, cfg.config_id, run_id, source, clock, limits, schemas, snapshot_id)
-        if message is not None:
-            failures[cfg.entity_name] = message
-            if on_entity_failure == "stop":
-                break
+    stop, context, tag = on_entity_failure == "stop", spark.sparkContext, f"cdc-run-{run_id}"
+    several = at_once > 1 and len(chosen) > 1
+    gate = Gate(tag=tag if several else None)
+
+    def one(cfg: EntityConfig) -> str | None:
+        if gate.stopped:
+            return None
+        return process(spark, store, chosen, cfg.config_id, run_id, source, clock, limits, schemas, snapshot_id, gate, stop)
+
+    def tagged(cfg: EntityConfig) -> str | None:
+        context.addJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", cfg.entity_name)
+        try:
+            return one(cfg)
+        finally:
+            context.removeJobTag(tag)
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    if several:
+        with ThreadPoolExecutor(min(at_once, len(chosen))) as pool:
+            running = [pool.submit(inheritable_thread_target(spark)(tagged), cfg) for cfg in chosen]
+            while wait(running, timeout=0.5).not_done:
+                if gate.stopped:  # also the jobs that an entity started after the run was stopped
+                    context.cancelJobsWithTag(tag)
+            messages = [r.result() for r in running]
+    else:
+        messages = [one(cfg) for cfg in chosen]
+    failures = {cfg.entity_name: message for cfg, message in zip(chosen, messages) if message is not None}
     failed = bool(failures) or (not chosen and on_no_config == "failed")
     status = FAILED if failed else COMPLETED
     store.append_event(run_id, 2, status, clock())

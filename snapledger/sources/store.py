@@ -337,7 +337,8 @@ class VersionStore:
         if size is None or size > VECTOR_ROWS:
             return None
         key = (record.location, tuple(record.opened), tuple(record.ended))
-        if key not in self._known_vectors:
+        table = self._known_vectors.get(key)
+        if table is None:
             ended = self._ended(record).select(*PLACE).toArrow()
             version, file, row = (ended.column(c) for c in PLACE)
             if file.null_count or row.null_count:
@@ -357,10 +358,10 @@ class VersionStore:
                 files = vectors[int(index[a])]
                 files.extend([] for _ in range(int(file[a]) - len(files)))
                 files.append(words.view(np.int64).tolist())
-            if len(self._known_vectors) >= 8:
-                self._known_vectors.pop(next(iter(self._known_vectors)))
-            self._known_vectors[key] = pa.table({"vectors": pa.array([vectors], pa.list_(pa.list_(pa.list_(pa.int64()))))})
-        return self.spark.createDataFrame(self._known_vectors[key])
+            table = pa.table({"vectors": pa.array([vectors], pa.list_(pa.list_(pa.list_(pa.int64()))))})
+            # Replaced as a whole: entities that run at the same time read it.
+            self._known_vectors = {**dict(list(self._known_vectors.items())[-7:]), key: table}
+        return self.spark.createDataFrame(table)
 
     def active_rows(self, record: Commit) -> DataFrame:
         """The active slice after a commit, each row with its ``PLACE``.
