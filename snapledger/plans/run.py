@@ -298,7 +298,8 @@ def run_entity(
         if (base.encoding_version, base.hash_nulls) != (ENCODING_VERSION, cfg.hash_nulls):
             raise EntityFailure(
                 f"hashes of {entity} are of encoding {base.encoding_version} with NULL columns {base.hash_nulls}, "
-                f"not {ENCODING_VERSION} with {cfg.hash_nulls}: every row would count as changed"
+                f"not {ENCODING_VERSION} with {cfg.hash_nulls}: every row would count as changed; "
+                "VersionStore.rehash changes the hashes and nothing else"
             )
     if known is not None:
         src = spelled_like(src, known.fieldNames())
@@ -307,7 +308,7 @@ def run_entity(
     src = src.drop("row_hash")
     target = known or target_schema(src.schema, pk)
     absent = check_schema(src, target, pk)
-    state = replace(base, schema=target.json(), primary_key=pk, location=location, hash_nulls=cfg.hash_nulls, encoding_version=ENCODING_VERSION)
+    state = replace(base, schema=target.json(), primary_key=pk, location=location, hash_nulls=cfg.hash_nulls, encoding_version=ENCODING_VERSION, hashed_columns=src.columns)
     slice_ = store.active_rows(state)
     scope = Scope()
     if base.schema is not None and base.digests is not None:

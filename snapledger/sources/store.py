@@ -40,7 +40,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.functions.hashing import ENCODING_VERSION
+from snapledger.functions.columns import CONTROL_COLUMNS
+from snapledger.functions.hashing import ENCODING_VERSION, canonical_row
 from snapledger.operators import digests as dg
 from snapledger.operators.quality import ERROR_SCHEMA
 from snapledger.sources import fs
@@ -109,6 +110,8 @@ class Commit:
     #: Versions of bucket digests, to be added up, and the sums of groups of buckets. None if not known.
     digests: list[int] | None = None
     digest_sums: dict[str, list[int]] = field(default_factory=dict)
+    #: Columns that the hashes are of; older records do not know them.
+    hashed_columns: list[str] | None = None
     #: The rows before they ended, if this commit has kept them.
     before: int | None = None
 
@@ -439,13 +442,32 @@ class VersionStore:
 
     def compact(self, entity: str) -> None:
         """Put the active rows together in one version and the rows that ended since in another."""
+        self._put_together(self._known(entity), COMPACT)
+
+    def rehash(self, entity: str, hash_nulls: str, columns: list[str] | None = None) -> None:
+        """Compute the hashes of the active rows anew, by this library's encoding and ``hash_nulls``.
+
+        No version opens or ends: rows keep their times, and a run that hashes alike finds nothing changed. It is the way
+        from one encoding, or treatment of NULL, to another. ``columns`` are those that snapshots have, if the
+        target has more and no run has noted them. Values are hashed as the target holds them, so a snapshot column of another
+        type must have the same text.
+        """
         record = self._known(entity)
-        opened, count = self.write(record.location, "opened", self.active_rows(record).drop(*PLACE))
+        hashed = columns or record.hashed_columns or [f.name for f in record.columns() if f.name not in CONTROL_COLUMNS]
+
+        def anew(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("row_hash", F.sha2(canonical_row(rows, hashed, hash_nulls), 256)).select(*rows.columns)
+
+        self._put_together(record, REHASH, anew, hash_nulls=hash_nulls, encoding_version=ENCODING_VERSION, hashed_columns=hashed)
+
+    def _put_together(self, record: Commit, kind: str, change=None, **fields) -> None:
+        rows = self.active_rows(record).drop(*PLACE)
+        opened, count = self.write(record.location, "opened", change(rows) if change else rows)
         since = replace(record, closed=[])
         closed, ended = self.write(record.location, "closed", self.closed_rows(since))
         state = record.following(
-            kind=COMPACT, opened=[opened] if count else [], ended=[],
-            closed=record.closed + ([closed] if closed is not None else []),
+            kind=kind, opened=[opened] if count else [], ended=[],
+            closed=record.closed + ([closed] if closed is not None else []), **fields,
         )
         self.commit(replace(state, **self._digest_anew(state)).counted({opened: count, closed: ended}))
 

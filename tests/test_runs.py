@@ -326,6 +326,23 @@ def test_another_hash_fails_the_entity(spark, store):
     assert result.status == "FAILED" and "encoding" in result.failures["A"]
 
 
+def test_hashes_can_change_without_a_change_of_rows(spark, store):
+    days = [[("1", None), ("2", "b"), ("3", "c")], [("1", None), ("2", "x")]]
+    for rows in days:
+        run(spark, store, [cfg()], snapshots(spark, A=rows))
+    before = versions(store)
+    hashes = {(r.id, r.row_hash) for r in store.read_active("A").collect()}
+    for nulls in ("drop", "keep"):
+        store.rehash("A", nulls)
+        assert versions(store) == before
+        assert ({(r.id, r.row_hash) for r in store.read_active("A").collect()} == hashes) == (nulls == "keep")
+        assert run(spark, store, [cfg(hash_nulls=nulls)], snapshots(spark, A=days[1])).status == "COMPLETED"
+        last = latest_run(stored_run_log(store)).first()
+        assert (last.rows_inserted, last.rows_updated, last.rows_deleted, last.rows_unchanged) == (0, 0, 0, 2)
+    run(spark, store, [cfg()], snapshots(spark, A=[("1", "n"), ("2", "x")]))
+    assert ("1", "n", True, "U") in versions(store)
+
+
 def test_the_target_table_names_the_place_and_cannot_move(spark, store):
     from snapledger.sources import fs
 

@@ -294,6 +294,10 @@ def oracle_sql() -> dict[str, str]:
     # row hash
     sql["h01_row_hash_keep"] = f"WITH {ORDERS} SELECT order_key, row_hash FROM staging"
     sql["h02_row_hash_drop"] = f"WITH {ORDERS} SELECT order_key, {row_hash(ORDER_COLUMNS, 'drop')} AS row_hash FROM delivered"
+    sql["h02_rehash"] = (
+        f"WITH {ORDER_SETS}, {next_target('HISTORY', 'SOFT')} SELECT order_key, {row_hash(ORDER_COLUMNS, 'drop')} AS row_hash, "
+        "cast(start_ts as varchar) AS start_ts FROM (SELECT * EXCLUDE (row_hash) FROM after_run) WHERE is_active"
+    )
     mark = lambda text: f"coalesce('V' || length({text}) || ':' || {text} || ';', 'N;')"
     price, closed_price = "cast(o_totalprice as varchar)", "CASE WHEN o_orderstatus = 'F' THEN cast(o_totalprice as varchar) END"
     entry = mark("o_orderstatus") + " || " + mark("cast(o_custkey as varchar)")

@@ -195,6 +195,14 @@ def too_long_value(spark: SparkSession, sf: str) -> DataFrame:
     return failure(store, "Document")
 
 
+def rehashed(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashes of the active rows after two runs and a change of the treatment of NULL, and a run that finds nothing to do."""
+    store = two_runs(spark, sf, [w.orders_config()])
+    store.rehash("Order", "drop")
+    runs.run(spark, store, [w.orders_config(hash_nulls="drop")], lambda s, n: store.read_active("Order").select(*w.orders(s, sf).columns), clock=fixed(w.LATER_TS))
+    return shown(store.read_active("Order"), PK, "row_hash", "start_ts")
+
+
 def compacted(spark: SparkSession, sf: str) -> DataFrame:
     """The target after three runs and a compaction between them."""
     store = two_runs(spark, sf, [w.orders_config()])
@@ -533,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "snk06_drop_keys": drop_keys,
     "h01_row_hash_keep": lambda s, d: whole_src(s, d).select(PK, "row_hash"),
     "h02_row_hash_drop": lambda s, d: with_row_hash(w.orders_delivery(s, d), nulls="drop").select(PK, "row_hash"),
+    "h02_rehash": rehashed,
     "h01_row_hash_nested": hash_nested,
     "h01_row_hash_documents": lambda s, d: with_row_hash(w.table(s, d, "documents")).select("doc_id", "row_hash"),
     "h02_row_hash_events": hash_events,
