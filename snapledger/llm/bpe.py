@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import written
+from snapledger.llm.common import bucket_count, written
 
 #: Words after which a block ends, which bounds what a task holds.
 BLOCK_WORDS = 8_000_000
@@ -213,8 +213,9 @@ def encode_corpus(
     """
     with open(ranks_path, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # The words of a bucket go into one call: their number must follow the data, not the session alone.
+    buckets = bucket_count(docs.sparkSession, docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
     rows = written(blocks(docs.select(F.col(id_col).alias("doc_id"), text.alias("text")), pattern, buckets), "words")
     kind = rows.schema["ids"].dataType.elementType.simpleString()
     sent = rows.filter("bucket is not null").select("block", "bucket", "size", "numbers", "words")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapledger.session import new_dir
@@ -13,6 +13,9 @@ POSITION_BITS = 33
 #: A table of at most so many short rows may be broadcast; beyond it the same join shuffles.
 BROADCAST_ROWS = 1_000_000
 
+#: Bytes of text behind a bucket that goes into one call of a function as a whole.
+BUCKET_BYTES = 64 << 20
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a parquet table in the shared folder: lineage ends here, and a lost executor loses nothing."""
@@ -26,6 +29,11 @@ def small_side(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= bound else df
 
 
+def bucket_count(spark: SparkSession, total_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for so many bytes: as many as the session shuffles to, more if one would get over ``bucket_bytes``."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes // bucket_bytes))
+
+
 def as_text(column: str) -> Column:
     """A text column with NULL as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import written
+from snapledger.llm.common import bucket_count, written
 
 LENGTH = 100
 GRAM = 32
@@ -465,8 +465,9 @@ def remove_repeats(
     their names. NULL text is empty. A NULL id counts as larger than any other; rows that repeat an
     id count one after the other. Without ``with_kept`` spans and both kept are NULL.
     """
-    buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = gather_blocks(docs, id_col, text_col, list(carried))
+    sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, size: total + size)
+    buckets = bucket_count(docs.sparkSession, blocks.agg(F.sum(sizes)).first()[0] or 0)
     rest_kind = blocks.schema["rest"].dataType.elementType.simpleString()
     cuts = splitters(blocks, buckets)
     shared = shared_hashes(anchor_hashes(blocks, buckets))

@@ -46,3 +46,9 @@ def test_repeated_and_missing_ids_and_an_empty_table(spark):
     assert sorted((str(r.doc_id), r.n_tokens) for r in got) == [("1", len(library().encode_ordinary("same text")))] * 2 + [("None", 0)]
     assert all(r.ids is None and r.decoded is None for r in got)
     assert bpe.encode_corpus(docs.filter("false"), RANKS, P.PATTERN).collect() == []
+
+
+def test_buckets_follow_the_data(spark):
+    from snapledger.llm.common import bucket_count
+
+    assert bucket_count(spark, 0) == 2 and bucket_count(spark, 10 << 30) == 160 and bucket_count(spark, 1, 1) == 2
