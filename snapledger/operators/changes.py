@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapledger.functions.columns import key_text, ts_literal
 from snapledger.operators.keys import active, key_summary
+from snapledger.operators.skew import flag_keys
 from snapledger.session import shared_dir
 
 # The classes a key can fall into.
@@ -15,9 +16,10 @@ INSERT, UPDATE, UNCHANGED, DELETE, BLOCKED = "I", "U", "N", "D", "BLOCKED"
 
 def rows_of_class(src: DataFrame, tgt: DataFrame, pk: str, cdc_class: str) -> DataFrame:
     """Rows of the snapshot whose key is in a class. The keys are told apart with narrow columns
-    first; only then are the rows of the wanted ones fetched."""
+    first and written; only then are the rows of the wanted ones fetched, without an exchange if the
+    keys are few."""
     keys = classify(src, tgt, pk).where(F.col("cdc_class") == cdc_class).select(pk)
-    return src.join(keys, pk, "left_semi").select(*src.columns)
+    return flag_keys(src, keys, pk, "_wanted").where("_wanted").select(*src.columns)
 
 
 def detect_inserts(src: DataFrame, tgt: DataFrame, pk: str) -> DataFrame:

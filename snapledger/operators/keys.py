@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions.columns import valid_key
+from snapledger.operators.skew import flag_keys
 
 # Begin and length of the five parts of a hexadecimal SHA-256 that fit whole numbers.
 HASH_PARTS = [(1, 15), (16, 15), (31, 15), (46, 15), (61, 4)]
@@ -44,8 +45,9 @@ def repeated_keys(src: DataFrame, pk: str) -> DataFrame:
 def unique_rows(src: DataFrame, pk: str) -> DataFrame:
     """Rows whose key is valid and occurs exactly once. All rows of a repeated key are left out.
 
-    The repeated keys are counted in a narrow pass that folds each key on the map side; they are
-    few, so their rows go by an anti join.
+    The repeated keys are counted in a narrow pass that folds each key on the map side, and written.
+    Few of them are broadcast; more meet the rows by a shuffle that deals heavy keys to several tasks.
     """
-    repeated = src.where(valid_key(pk)).groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return src.where(valid_key(pk)).join(repeated.select(pk), pk, "left_anti").select(*src.columns)
+    valid = src.where(valid_key(pk))
+    repeated = valid.groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return flag_keys(valid, repeated.select(pk), pk, "_repeated").where("not _repeated").select(*src.columns)
