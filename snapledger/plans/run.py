@@ -41,6 +41,7 @@ from snapledger.operators.quality import ERROR_COUNTERS, ERROR_SCHEMA, RUNTIME_E
 from snapledger.operators.skew import ROWS_PER_TASK
 from snapledger.plans.apply import check_schema, new_version
 from snapledger.plans.runlog import COMPLETED, FAILED, RUNNING, run_log
+from snapledger.sources.leases import LEASE_SECONDS, Lease, take_over
 from snapledger.sources.rows import no_rows, one_row
 from snapledger.sources.staging import Staged, read_staging
 from snapledger.sources.store import PLACE, RUN, Commit, CommitConflict, VersionStore
@@ -272,6 +273,7 @@ def run_entity(
     maintain: bool = True,
     rejected: DataFrame | None = None,
     gate: Gate | None = None,
+    lease: Lease | None = None,
 ) -> dict[str, int]:
     """Run one entity and commit it. Raises, and publishes nothing, if it fails.
 
@@ -280,12 +282,15 @@ def run_entity(
     ``schema`` declares the target before its first commit; its ``varchar(n)`` columns set lengths.
     ``maintain`` says whether versions of like size are merged after the commit. ``rejected`` are lines
     that the snapshot has lost when it was loaded; they go to the error log, and count for ``STOP``.
+    ``lease`` is that of the run: it keeps what this entity reads, and without it nothing is committed.
     """
     cfg.validate()
     entity = cfg.entity_name
     start = clock()
     location = store.location(cfg.target_table)
     base = store.latest(entity) or Commit(entity, location)
+    if lease:
+        lease.note(entity, base.number)
     if not cfg.allow_empty_snapshot and src.isEmpty():
         raise EntityFailure(f"snapshot of {entity} is empty")
     if schema is not None:
@@ -412,6 +417,8 @@ def run_entity(
     with gate.lock:
         if gate.stopped:
             raise RunStopped(f"the run of {entity} was stopped")
+        if lease:
+            lease.check()
         store.commit(after.counted(sizes, totals.ended))
     log.info("entity %s run %s: %s", entity, run_id, counters)
     if maintain and (opened or ended):
@@ -443,6 +450,7 @@ def process(
     snapshot_id: int | None = None,
     gate: Gate | None = None,
     stop: bool = False,
+    lease: Lease | None = None,
 ) -> str | None:
     """Run the entity of one configuration id as part of a run.
 
@@ -457,7 +465,7 @@ def process(
         name = cfg.entity_name
         src = source(spark, cfg.source_table)
         rows, rejected = (src.rows, src.rejected) if isinstance(src, Staged) else (src, None)
-        run_entity(spark, store, cfg, rows, run_id, clock, limits, (schemas or {}).get(name), snapshot_id, rejected=rejected, gate=gate)
+        run_entity(spark, store, cfg, rows, run_id, clock, limits, (schemas or {}).get(name), snapshot_id, rejected=rejected, gate=gate, lease=lease)
         return None
     except Exception as failure:  # any failure of an entity ends up in the log
         with gate.lock:
@@ -489,6 +497,7 @@ def run(
     schemas: dict[str, T.StructType] | None = None,
     snapshot_id: int | None = None,
     at_once: int = 1,
+    lease_seconds: float = LEASE_SECONDS,
 ) -> RunResult:
     """Run all active entities in order of their configuration id, up to ``at_once`` at the same time.
 
@@ -497,6 +506,9 @@ def run(
     entities that run at the same time, a failure that stops the run cancels the Spark jobs of the
     others, by the tag of the run, and none of them commits any more. Each entity has a scheduler pool of its
     own name; pools share executors evenly if the session's scheduler mode is FAIR.
+
+    The run holds a lease. Runs whose driver has not touched theirs for ``lease_seconds`` (as they were
+    given to it) are FAILED first; see :func:`recover`.
     """
     if on_entity_failure not in ("stop", "continue"):
         raise ValueError("on_entity_failure must be 'stop' or 'continue'")
@@ -505,7 +517,33 @@ def run(
     if isinstance(configs, DataFrame):
         configs = load_configs(configs)
     chosen = sorted((c for c in configs if c.is_active), key=lambda c: c.config_id)
+    recover(store, clock)
     run_id = claim_run_id(store)
+    with Lease(spark, store.leases_path(), run_id, lease_seconds) as lease:
+        return _run_all(spark, store, chosen, run_id, source, on_entity_failure, on_no_config, clock, limits, schemas, snapshot_id, at_once, lease)
+
+
+def recover(store: VersionStore, clock: Clock = utc_now) -> list[int]:
+    """End the runs whose driver is gone: they are FAILED and can commit nothing more. What they have
+    committed stays, what they have left is removed by the next ``vacuum``. Returns their ids."""
+    return take_over(store.spark, store.leases_path(), lambda run_id: store.append_event(run_id, 1, FAILED, clock()))
+
+
+def _run_all(
+    spark: SparkSession,
+    store: VersionStore,
+    chosen: list[EntityConfig],
+    run_id: int,
+    source: Source,
+    on_entity_failure: str,
+    on_no_config: str,
+    clock: Clock,
+    limits: Limits,
+    schemas: dict[str, T.StructType] | None,
+    snapshot_id: int | None,
+    at_once: int,
+    lease: Lease,
+) -> RunResult:
     store.append_event(run_id, 0, RUNNING, clock())
     stop, context, tag = on_entity_failure == "stop", spark.sparkContext, f"cdc-run-{run_id}"
     several = at_once > 1 and len(chosen) > 1
@@ -514,7 +552,7 @@ def run(
     def one(cfg: EntityConfig) -> str | None:
         if gate.stopped:
             return None
-        return process(spark, store, chosen, cfg.config_id, run_id, source, clock, limits, schemas, snapshot_id, gate, stop)
+        return process(spark, store, chosen, cfg.config_id, run_id, source, clock, limits, schemas, snapshot_id, gate, stop, lease)
 
     def tagged(cfg: EntityConfig) -> str | None:
         context.addJobTag(tag)
@@ -545,4 +583,4 @@ def stored_run_log(store: VersionStore) -> DataFrame:
     return run_log(store.run_events(), store.entity_log())
 
 
-__all__ = ["ConfigError", "EntityFailure", "Limits", "RunResult", "process", "run", "run_entity", "stored_run_log"]
+__all__ = ["ConfigError", "EntityFailure", "Limits", "RunResult", "process", "recover", "run", "run_entity", "stored_run_log"]

@@ -58,6 +58,12 @@ def ages(spark: SparkSession, path: str) -> dict[str, float]:
     return {s.getPath().getName(): (now - s.getModificationTime()) / 1000 for s in fs.listStatus(target)}
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Change the time of a file to now; fails if there is none."""
+    fs, target = _resolve(spark, path)
+    fs.setTimes(target, spark._jvm.System.currentTimeMillis(), -1)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of a folder."""
     fs, target = _resolve(spark, path)

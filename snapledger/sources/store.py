@@ -12,6 +12,7 @@ Layout below the root::
     logs/error_log/N/<entity>
     logs/run_events/N-<seq>
     runs/N                                     claim of a run id
+    leases/N-<milliseconds>.live               lease of a run that is at work
 
 A run writes the rows that it opens and the keys that it ends, nothing else, so it costs as much as
 has changed. The last commit record lists the versions that make up the target: its active rows are
@@ -44,7 +45,7 @@ from snapledger.functions.columns import CONTROL_COLUMNS
 from snapledger.functions.hashing import ENCODING_VERSION, canonical_row
 from snapledger.operators import digests as dg
 from snapledger.operators.quality import ERROR_SCHEMA
-from snapledger.sources import fs
+from snapledger.sources import fs, leases
 from snapledger.sources.rows import no_rows, one_row
 
 COUNTERS = [
@@ -67,7 +68,7 @@ RUN_EVENT_SCHEMA = "run_id bigint, seq int, status string, ts timestamp_ntz"
 log = logging.getLogger(__name__)
 
 # Kinds of commits. Only runs are shown in the entity log.
-RUN, ADOPT, COMPACT, RESET, CARRY, REHASH = "run", "adopt", "compact", "reset", "carry", "rehash"
+RUN, ADOPT, COMPACT, RESET, CARRY, REHASH, FENCE = "run", "adopt", "compact", "reset", "carry", "rehash", "fence"
 
 # Where an active row lies: its version, the number of its file there, and its place in the file.
 PLACE = ["opened_version", "opened_file", "opened_row"]
@@ -202,6 +203,9 @@ class VersionStore:
     def _changes(self, entity: str) -> str:
         return f"{self.root}/changes/{self._name(entity)}"
 
+    def leases_path(self) -> str:
+        return f"{self.root}/leases"
+
     def _log(self, name: str) -> str:
         return f"{self.root}/logs/{name}"
 
@@ -510,11 +514,22 @@ class VersionStore:
         return merge
 
     def vacuum(self, entity: str, older_than: float = 86_400.0) -> list[str]:
-        """Remove versions and key tables that neither the target nor a consumer of its feed needs, if
-        they have not been changed for so many seconds: a run that is on its way must not lose what it
-        reads or writes. The key table of the last committed run stays. Returns the removed paths."""
+        """Remove versions and key tables that neither the target, nor a consumer of its feed, nor a run
+        with a lease needs, if they have not been changed for so many seconds. Returns the removed paths.
+
+        A leased run keeps what the commit lists that it goes out from, and whatever was written since,
+        however long it takes. Ages protect only runs of a single entity without a lease
+        (``run_entity``); where there are none, ``older_than=0`` is safe. What a run has left that was
+        taken over goes too; it can no longer commit then. The key table of the last committed run stays."""
         record = self._known(entity)
-        read_from = min(self.offsets(entity).values(), default=record.number)
+        at_work, lost = [], []
+        for note in leases.notes(self.spark, self.leases_path(), entity):
+            (at_work if note.live else lost).append(note)
+        if any(n.number >= record.number for n in lost):
+            record = record.following(kind=FENCE)
+            self.commit(record)
+        read_from = min([*self.offsets(entity).values(), *[n.number for n in at_work]], default=record.number)
+        older_than = max([older_than, *[n.age for n in at_work]])
         waiting = self.records(entity, read_from - 1, record.number)
         gone = []
         for part in ("opened", "ended", "closed", "before", "digests"):
@@ -523,10 +538,14 @@ class VersionStore:
             folder = self._part(record.location, part)
             gone += [f"{folder}/{n}" for n, age in fs.ages(self.spark, folder).items() if n not in needed and age >= older_than]
         runs = {n: age for n, age in fs.ages(self.spark, self._changes(entity)).items() if n.startswith("run_id=")}
-        last = max((int(n.partition("=")[2]) for n in runs), default=None)
-        gone += [f"{self._changes(entity)}/{n}" for n, age in runs.items() if n != f"run_id={last}" and age >= older_than]
+        unsettled = {f"run_id={n.run_id}" for n in lost}
+        last = max((int(n.partition("=")[2]) for n in runs if n not in unsettled), default=None)
+        kept = {f"run_id={last}", *[f"run_id={n.run_id}" for n in at_work]}
+        gone += [f"{self._changes(entity)}/{n}" for n, age in runs.items() if n not in kept and age >= older_than]
         for path in gone:
             fs.remove(self.spark, path)
+        for note in lost:
+            leases.forget(self.spark, self.leases_path(), entity, note)
         return gone
 
     # digests
@@ -624,3 +643,4 @@ class VersionStore:
         for name in ("error_log", "run_events"):
             fs.remove(self.spark, self._log(name))
         fs.remove(self.spark, f"{self.root}/runs")
+        fs.remove(self.spark, self.leases_path())
