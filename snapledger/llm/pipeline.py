@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import exact_dedup, langid, packing, simhash, suffix_dedup
+from snapledger.llm import exact_dedup, langid, near_copies, packing, simhash, suffix_dedup
 
 
 def in_training(parts: int = 5):
@@ -28,8 +28,10 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that fingerprints link, directly or by way of others, the one with the smallest id stays."""
-    return simhash.without_near_copies(docs)
+    """Of documents that are linked, directly or by way of others, the one with the smallest id stays. Linked are
+    those whose fingerprints differ in 4 bits at most, and those whose sets of five-word shingles have a Jaccard
+    similarity of 0.8 or more. Rows count one by one where ids are NULL or repeated."""
+    return simhash.without_near_copies(docs, find=near_copies.near_copy_groups)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

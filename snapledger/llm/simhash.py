@@ -150,16 +150,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(by_mark, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id; all columns as they were.
+    ``find`` gives the components, as :func:`near_duplicates` does.
 
     A NULL id counts as larger than any other. Where ids are repeated or NULL, rows count one by one:
     each is numbered in a written copy of the table, and of rows that share the smallest id of their
     component one stays. Unlike texts that share an id both stay.
     """
     if not _names_rows(docs, id_col):
-        return _one_row_of_each(docs, id_col, text_col)
-    groups = near_duplicates(docs, id_col, text_col)
+        return _one_row_of_each(docs, id_col, text_col, find)
+    groups = find(docs, id_col, text_col)
     gone = written(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near")
     return docs.join(small_side(gone, gone.count()), F.col(id_col) == F.col("_gone"), "left_anti")
 
@@ -170,12 +171,12 @@ def _names_rows(docs: DataFrame, id_col: str) -> bool:
     return counted.filter("n > 1 or id is null").isEmpty()
 
 
-def _one_row_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _one_row_of_each(docs: DataFrame, id_col: str, text_col: str, find) -> DataFrame:
     row = "_row"
     while row in docs.columns:
         row += "_"
     table = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    groups = near_duplicates(table, row, text_col).select(F.col("doc_id").alias(row), "component_id")
+    groups = find(table, row, text_col).select(F.col("doc_id").alias(row), "component_id")
     ids = table.select(row, F.col(id_col).alias("_id"))
     first = ids.join(groups, row).groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", row)).alias("m"))
     kept = written(first.select(F.col(f"m.{row}").alias("_kept")), "near")

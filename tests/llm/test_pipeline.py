@@ -5,6 +5,7 @@ from itertools import combinations
 
 import public_tokenizers as P
 from helpers import classes, frame, texts
+from test_near_copies import similar
 from test_simhash import plain
 from tokenizers import Tokenizer
 
@@ -22,7 +23,8 @@ def expected(rows):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", docs[i]), i)
     docs = {i: docs[i] for i in first.values()}
     marks = {i: plain(t) for i, t in docs.items()}
-    found = classes(docs, [(a, b) for a, b in combinations(docs, 2) if bin(marks[a] ^ marks[b]).count("1") <= 4])
+    near = [(a, b) for a, b in combinations(docs, 2) if bin(marks[a] ^ marks[b]).count("1") <= 4]
+    found = classes(docs, near + similar(docs))
     docs = {i: t for i, t in docs.items() if found[i] == i}
     seen, out = set(), {}
     for i in sorted(docs):
