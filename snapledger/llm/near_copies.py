@@ -45,6 +45,11 @@ FACTORS = _RANDOM.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def give_back() -> None:
+    """Return unused memory: a worker outlives its task, and the next stage needs what it holds."""
+    pa.default_memory_pool().release_unused()
+
+
 def shingles(text: str | None) -> np.ndarray:
     """The hashes of the different shingles of a text, in order. A text of fewer words has one, the whole of
     its words; all texts without a word, NULL among them, have the same one."""
@@ -88,6 +93,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 keys.append(band_keys(found))
             lists = pa.ListArray.from_arrays(np.arange(0, BANDS * len(keys) + 1, BANDS, np.int32), np.concatenate(keys) if keys else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(marks, pa.int64()), lists], ["id", "digest", "fp", "keys"])
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(mark, "id long, digest binary, fp long, keys array<long>")
@@ -105,6 +111,7 @@ def loose_links(marks: DataFrame) -> DataFrame:
             if len(group) > 1:
                 simhash.link_tree(fps, group[col["in_low"][group]], group[col["in_high"][group]], RADIUS, forest)
         a, b = forest.pairs()
+        give_back()
         return pa.table({"a": col["id"][a], "b": col["id"][b]})
 
     found = dealt.select("shard", "id", "fp", "which", "key", "low", "high", "in_low", "in_high")
@@ -152,6 +159,7 @@ def checked_links(sets: DataFrame) -> DataFrame:
             if len(group) > 1:
                 simhash.link_tree(col["fp"].view(np.uint64), group[col["in_low"][group]], group[col["in_high"][group]], RADIUS, forest)
         a, b = forest.pairs()
+        give_back()
         return pa.table({"a": col["id"][a], "b": col["id"][b]})
 
     found = dealt.select("shard", "id", "fp", "loose", "shingles", "low", "high", "in_low", "in_high")
@@ -176,6 +184,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             found = pa.array([shingles(t.as_py()).astype("<u8").tobytes() for t in batch.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], ["id", "loose", "fp", "shingles"])
+        give_back()
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(small_side(chosen, chosen.count()), "id").select("id", "loose", "fp", "text")
