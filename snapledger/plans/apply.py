@@ -1,7 +1,9 @@
-"""Composed apply: the next state of a target in one plan.
+"""Composed apply: the next state of a target, as frames.
 
-Each snapshot key is folded to one row, joined once with the active slice, classified, and turned
-into the zero to two target rows its class asks for. There is one exchange per side.
+Keys are told apart with narrow columns first, and those that change are written and measured. Few of
+them are broadcast: then neither the snapshot nor the active slice is exchanged as whole rows. With
+more of them each snapshot key is folded to one row, joined once with the active slice and turned into
+the zero to two target rows its class asks for, with one exchange per side.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from snapledger.functions.columns import (
     ts_literal,
 )
 from snapledger.functions.hashing import with_row_hash
+from snapledger.operators import skew
 from snapledger.operators.changes import (
     BLOCKED,
     DELETE,
@@ -32,10 +35,14 @@ from snapledger.operators.changes import (
     classify,
     update_ts,
 )
-from snapledger.operators.keys import active
+from snapledger.operators.keys import active, unique_rows
 from snapledger.operators.quality import count_errors, detect_errors
+from snapledger.session import new_dir
 from snapledger.sources.rows import no_rows
 
+# Key bytes of changed keys that may be broadcast once they are counted.
+CHANGED_KEY_BYTES = 64 * 1024 * 1024
+
 
 class SchemaMismatch(ValueError):
     """The snapshot has a column the target lacks."""
@@ -176,6 +183,79 @@ def next_rows(
     return joined.select(F.explode(rows).alias("_row")).select("_row.*")
 
 
+def changed_keys(src: DataFrame, slice_: DataFrame, pk: str) -> DataFrame:
+    """Keys to insert, update or delete: ``_key``, ``_class`` and the hash of the active row, ``_hash``."""
+    moved = classify(src, slice_, pk, hashes=True).where(F.col("cdc_class").isin(INSERT, UPDATE, DELETE))
+    return moved.select(F.col(pk).alias("_key"), F.col("cdc_class").alias("_class"), F.col("old_hash").alias("_hash"))
+
+
+def may_broadcast(changed: DataFrame) -> bool:
+    """Whether the written keys of :func:`changed_keys` are few, by rows and bytes, and each occurs once."""
+    size = F.coalesce(F.sum(F.octet_length(F.col("_key").cast("string")) + 64), F.lit(0))
+    total = changed.agg(F.count(F.lit(1)).alias("n"), size.alias("size")).first()
+    if total.n > skew.LISTED_KEYS or total.size > CHANGED_KEY_BYTES:
+        return False
+    return changed.select("_key").distinct().count() == total.n
+
+
+def next_rows_of_few(
+    src: DataFrame,
+    slice_: DataFrame,
+    changed: DataFrame,
+    cfg: EntityConfig,
+    run_ts,
+    update_stamps: DataFrame | None = None,
+) -> DataFrame:
+    """The rows of :func:`next_rows`, with the keys of ``changed`` broadcast; see :func:`may_broadcast`.
+
+    Rows of the snapshot and of the slice stay where they are. Only where updates overwrite, the old
+    and new rows of updated keys meet by a join of these rows alone.
+    """
+    pk, target, ts = cfg.primary_key_column, slice_.schema, ts_literal(run_ts)
+    check_schema(src, target, pk)
+    sources = [pk, *business_columns(src, pk)]
+    if update_stamps is None:
+        changed = changed.withColumn("_ts", ts)
+    else:
+        stamps = update_stamps.select(F.col(pk).alias("_of"), F.col("update_ts").alias("_ts"))
+        changed = changed.join(stamps, F.col("_of") == F.col("_key"), "left").drop("_of")
+
+    def from_new(name: str) -> Column:
+        return F.col(f"_s.{name}")
+
+    def from_old(name: str) -> Column:
+        return F.col(f"_t.{name}")
+
+    def opened(operation: str | Column, start_ts: Column, **over) -> Column:
+        return F.struct(*new_version(target, sources, from_new, start_ts, operation, cfg.length_limits, **over)).alias("_row")
+
+    keeps_history = cfg.update_strategy == "HISTORY"
+    fresh = [INSERT, UPDATE] if keeps_history else [INSERT]
+    arrived = src.select(F.struct("row_hash", *sources).alias("_s"))
+    came = F.broadcast(changed.where(F.col("_class").isin(fresh)))
+    starts = F.when(F.col("_class") == UPDATE, F.col("_ts")).otherwise(ts)
+    rows = arrived.join(came, F.col(f"_s.{pk}") == F.col("_key")).select(opened(F.col("_class"), starts))
+
+    held = slice_.select(F.struct(*slice_.columns).alias("_t"))
+    left = F.broadcast(changed.where(F.col("_class").isin(UPDATE, DELETE)))
+    # The hash names the row: a NULL key, or another active row of the key, is met by its own class only.
+    same = F.col(f"_t.{pk}").eqNullSafe(F.col("_key")) & F.col("_t.row_hash").eqNullSafe(F.col("_hash"))
+    old = F.when(F.col("_class").isNull(), F.struct(*[from_old(f.name).cast(f.dataType).alias(f.name) for f in target]))
+    if keeps_history:
+        old = old.when(F.col("_class") == UPDATE, F.struct(*closed_version(target, from_old, F.col("_ts"))))
+    if cfg.delete_strategy == "SOFT":
+        old = old.when(F.col("_class") == DELETE, F.struct(*closed_version(target, from_old, ts, "D")))
+    rows = rows.unionByName(held.join(left, same, "left").select(old.alias("_row")).where(F.col("_row").isNotNull()))
+
+    if not keeps_history:
+        updated = F.broadcast(changed.where(F.col("_class") == UPDATE))
+        before = held.join(updated, same).select("_key", "_t", "_ts")
+        after = arrived.join(updated.select(F.col("_key").alias("_of")), F.col(f"_s.{pk}") == F.col("_of"))
+        over = opened("U", F.col("_ts"), end_ts=F.col("_t.end_ts"), kept=from_old)
+        rows = rows.unionByName(after.join(before, F.col("_of") == F.col("_key")).select(over))
+    return rows.select("_row.*")
+
+
 def run_metrics(changes: DataFrame, errors: DataFrame) -> DataFrame:
     """One row with the seven counters of an entity run; ``errors`` has its three error counters."""
     classes = {
@@ -198,19 +278,36 @@ class CdcResult:
     cfg: EntityConfig
     run_ts: object
     run_id: int
+    #: There was no target before.
+    is_first: bool = False
 
     @cached_property
     def target(self) -> DataFrame:
         """The next state of the whole target, closed history included.
 
-        With update times of their own, asking for it numbers the updated keys in a job: their order
-        has to be fixed before any row can be made.
+        Asking for it runs jobs over narrow columns: the keys that change (on a first load, those that
+        are repeated) are written and counted, and update times of their own are numbered.
         """
-        cfg, stamps = self.cfg, None
+        cfg, pk, stamps = self.cfg, self.cfg.primary_key_column, None
+        if self.is_first:
+            def value(name: str) -> Column:
+                return F.col(f"`{name}`")
+
+            sources = [pk, *business_columns(self.hashed, pk)]
+            opened = new_version(self.previous.schema, sources, value, ts_literal(self.run_ts), "I", cfg.length_limits)
+            return unique_rows(self.hashed, pk).select(*opened)
+        slice_ = active(self.previous)
+        path = new_dir(self.hashed.sparkSession, "changed")
+        found = changed_keys(self.hashed, slice_, pk)
+        found.write.parquet(path)
+        changed = self.hashed.sparkSession.read.schema(found.schema).parquet(path)
         if cfg.distinct_update_ts and cfg.update_strategy == "HISTORY":
-            updates = self.changes.where(F.col("cdc_class") == UPDATE)
-            stamps = update_ts(updates, cfg.primary_key_column, self.run_ts, tie_break=True)
-        rows = next_rows(self.hashed, active(self.previous), cfg, self.run_ts, stamps)
+            updates = changed.where(F.col("_class") == UPDATE).select(F.col("_key").alias(pk))
+            stamps = update_ts(updates, pk, self.run_ts, tie_break=True)
+        if may_broadcast(changed):
+            rows = next_rows_of_few(self.hashed, slice_, changed, cfg, self.run_ts, stamps)
+        else:
+            rows = next_rows(self.hashed, slice_, cfg, self.run_ts, stamps)
         return rows.unionByName(self.previous.where(~F.col("is_active")))
 
     @cached_property
@@ -248,14 +345,16 @@ def apply_cdc(
 ) -> CdcResult:
     """Compare a snapshot with a target and describe the next target, lazily.
 
-    ``tgt`` is None for a first load. Nothing is computed or written here.
+    ``tgt`` is None for a first load. Nothing is computed or written here, but the frame ``target``
+    needs a job over narrow columns when it is asked for.
     """
     cfg = with_key_of(cfg.validate(), src.columns if tgt is None else tgt.columns)
     pk = cfg.primary_key_column
     if tgt is not None:
         src = spelled_like(src, tgt.columns)
     hashed = with_row_hash(src, cfg.hash_nulls)
-    if tgt is None:
+    is_first = tgt is None
+    if is_first:
         tgt = no_rows(src.sparkSession, target_schema(src.schema, pk))
     check_schema(hashed, tgt.schema, pk)
-    return CdcResult(hashed, tgt, cfg, run_ts, run_id)
+    return CdcResult(hashed, tgt, cfg, run_ts, run_id, is_first)

@@ -11,7 +11,8 @@ from literal import literal_run
 from snapledger.config import EntityConfig
 from snapledger.operators.changes import classify
 from snapledger.operators.keys import active
-from snapledger.plans.apply import next_rows
+from snapledger.plans import apply
+from snapledger.plans.apply import apply_cdc, changed_keys, may_broadcast, next_rows, next_rows_of_few
 from snapledger.functions.hashing import with_row_hash
 from snapledger.plans.run import Limits, ended_keys, opened_rows, run_entity
 from snapledger.sources.store import VersionStore
@@ -138,3 +139,39 @@ def test_invariants_over_many_runs(spark, store):
         lost = ended.join(rows.alias("n"), (F.col("n.pk") == F.col("o.pk")) & (F.col("n.start_ts") == F.col("o.end_ts")), "left_anti")
         assert lost.isEmpty(), opened.count()
         rows.unpersist()
+
+
+@pytest.mark.parametrize("seed", range(10, 13))
+def test_few_changed_keys_make_the_same_rows(spark, seed):
+    target, staging = scenario(seed)
+    # An active row without a key, and a second active row of a key that changes.
+    target += [("None/x", 1, None, True, "I", None, "x"), ("twin/a", 1, None, True, "I", "twin", "a"), ("twin/b", 1, None, True, "I", "twin", "b")]
+    staging += [("twin", "a")]
+    t, s, _ = frames(spark, target, staging)
+    t, hashed = with_row_hash(t, columns=["pk", "v"]).select(*t.columns), with_row_hash(s)
+    changed = changed_keys(hashed, active(t), "pk").cache()
+    assert may_broadcast(changed)
+    for update, delete in PAIRS:
+        cfg = EntityConfig(1, "E", "s", "t", "pk", delete_strategy=delete, update_strategy=update)
+        assert flags(next_rows_of_few(hashed, active(t), changed, cfg, NOW)) == flags(next_rows(hashed, active(t), cfg, NOW)), (update, delete)
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_a_target_is_the_same_with_few_and_many_changed_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr(apply.skew, "LISTED_KEYS", limit)
+    target, staging = scenario(14)
+    t, s, _ = frames(spark, target, staging)
+    t = with_row_hash(t, columns=["pk", "v"]).select(*t.columns)
+    for update, delete in PAIRS:
+        cfg = EntityConfig(1, "E", "s", "t", "pk", delete_strategy=delete, update_strategy=update)
+        expected = next_rows(with_row_hash(s), active(t), cfg, NOW).unionByName(t.where(~F.col("is_active")))
+        assert flags(apply_cdc(s, t, cfg, NOW).target) == flags(expected), (update, delete)
+    none = t.where(F.lit(False))
+    cfg = EntityConfig(1, "E", "s", "t", "pk")
+    assert flags(apply_cdc(s, None, cfg, NOW).target) == flags(next_rows(with_row_hash(s), none, cfg, NOW))
+
+
+def test_keys_that_occur_twice_are_not_broadcast(spark):
+    rows = [("1", "U", "h"), ("1", "D", "h"), (None, "D", "g")]
+    changed = spark.createDataFrame(rows, "_key string, _class string, _hash string")
+    assert not may_broadcast(changed) and may_broadcast(changed.where("_class = 'D'"))

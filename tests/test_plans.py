@@ -11,7 +11,7 @@ from snapledger.functions.hashing import with_row_hash
 from snapledger.operators import changes as ch
 from snapledger.operators import quality
 from snapledger.operators.keys import active, key_summary
-from snapledger.plans.apply import next_rows
+from snapledger.plans.apply import apply_cdc, next_rows
 from snapledger.plans.run import ended_keys, opened_rows
 
 
@@ -39,6 +39,15 @@ def test_apply_has_one_exchange_per_side(pair):
     assert exchanges(text) == 2 and "Python" not in text and "Nested" not in text
 
 
+@pytest.mark.parametrize("update, joined", [("HISTORY", 0), ("OVERWRITE", 2)])
+def test_a_target_with_few_changes_has_no_exchange_of_whole_rows(pair, update, joined):
+    """Where updates overwrite, the old and new rows of updated keys alone are exchanged."""
+    src, tgt = pair
+    text = plan(apply_cdc(src, tgt, w.orders_config(update), w.RUN_TS).target)
+    assert exchanges(text) == joined and "Nested" not in text
+    assert exchanges(plan(apply_cdc(src, None, w.orders_config(update), w.RUN_TS).target)) == 0
+
+
 def test_classify_reads_narrow_columns_of_the_target(pair):
     src, tgt = pair
     text = plan(ch.classify(with_row_hash(src), tgt, w.ORDERS_PK))
