@@ -153,9 +153,21 @@ def with_orders(query: str) -> str:
     return f"WITH {ORDER_SETS} {query}"
 
 
+def replaced(sql: str, old: str, new: str) -> str:
+    """``sql`` with ``new`` for ``old``, which it must hold."""
+    if old not in sql:
+        raise ValueError(f"not in the statement: {old}")
+    return sql.replace(old, new)
+
+
 def of_all_orders(sql: str) -> str:
     """The same statement on a delivery of the whole order book."""
-    return sql.replace(f"SELECT * FROM book WHERE o_orderdate >= timestamp '{RETAINED_FROM}'", "SELECT * FROM book")
+    return replaced(sql, f"SELECT * FROM book WHERE o_orderdate >= timestamp '{RETAINED_FROM}'", "SELECT * FROM book")
+
+
+def of_whole_book(sql: str) -> str:
+    """The same statement on a delivery of the whole order book and a target that holds all its orders."""
+    return replaced(of_all_orders(sql), f"FROM book WHERE o_orderdate < timestamp '{CUT_OFF}'", "FROM book")
 
 
 def next_target(update: str, delete: str) -> str:
@@ -242,9 +254,7 @@ def oracle_sql() -> dict[str, str]:
 
     # sources and sinks
     sql["src01_load_snapshot_csv"] = (
-        f"WITH {CUSTOMERS} SELECT {shown(CUSTOMER_COLUMNS)} FROM c_delivered".replace(
-            "SELECT * FROM people WHERE c_mktsegment <> 'FURNITURE'", "SELECT * FROM people"
-        )
+        replaced(f"WITH {CUSTOMERS} SELECT {shown(CUSTOMER_COLUMNS)} FROM c_delivered", "SELECT * FROM people WHERE c_mktsegment <> 'FURNITURE'", "SELECT * FROM people")
     )
     sql["src05_generate_employees"] = f"""
         WITH d AS (SELECT o_orderkey AS id FROM orders)
@@ -457,7 +467,8 @@ def oracle_sql() -> dict[str, str]:
     ) + " FROM entity GROUP BY run_id"
 
     # empty keys are left out of the duplicate checks, and no column of an order but its key is NULL
-    checked = counters().replace("FROM dup_ins", "FROM dup_ins WHERE order_key <> ''").replace("FROM dup_upd", "FROM dup_upd WHERE order_key <> ''")
+    checked = replaced(counters(), "FROM dup_ins", "FROM dup_ins WHERE order_key <> ''")
+    checked = replaced(checked, "FROM dup_upd", "FROM dup_upd WHERE order_key <> ''")
     sql["l07_configured_by_rows"] = f"""
         WITH {ORDER_SETS}
         SELECT 1::bigint AS run_id, 'Order' AS entity_name, {first_load('before')}
@@ -531,6 +542,8 @@ def oracle_sql() -> dict[str, str]:
         "c01_unique_rows", "c03_apply_inserts", "snk06_patch_snapshot", "snk06_drop_keys",
     ):
         sql[name] = of_all_orders(sql[name])
+    for name in ("c05_detect_updates", "c11_update_ts", "c12_frozen", "c13_detect_unchanged", "a05_checks", "a07_count_where", "snk04_append_load"):
+        sql[name] = of_whole_book(sql[name])
     sql["s02_stream_cdc"] = f"""
         WITH {ORDER_SETS}
         SELECT 1::bigint AS run_id, {first_load('before')} UNION ALL SELECT 2, {counters()}"""

@@ -372,6 +372,10 @@ def on_orders(operator: Callable[[DataFrame, DataFrame, str], DataFrame]) -> Que
     return lambda s, d: shown(operator(orders_src(s, d), w.orders_target(s, d), PK))
 
 
+def on_whole_book(operator: Callable[[DataFrame, DataFrame, str], DataFrame]) -> Query:
+    return lambda s, d: shown(operator(whole_src(s, d), w.whole_target(s, d), PK))
+
+
 def on_snapshot(operator: Callable[..., DataFrame], **options) -> Query:
     return lambda s, d: shown(operator(whole_src(s, d), PK, **options))
 
@@ -383,7 +387,7 @@ def reactivated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def update_stamps(spark: SparkSession, sf: str) -> DataFrame:
-    updates = ch.detect_updates(orders_src(spark, sf), w.orders_target(spark, sf), PK).select(PK)
+    updates = ch.detect_updates(whole_src(spark, sf), w.whole_target(spark, sf), PK).select(PK)
     return shown(ch.update_ts(updates, PK, w.RUN_TS, tie_break=True))
 
 
@@ -433,7 +437,7 @@ def reconcile_equal(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checks(spark: SparkSession, sf: str) -> DataFrame:
-    src, active = orders_src(spark, sf), keys.active(w.orders_target(spark, sf))
+    src, active = whole_src(spark, sf), keys.active(w.whole_target(spark, sf))
     rows = F.count(F.lit(1))
     return stack(
         reports.check("active rows", active, rows, F.col("value") > 0, "active"),
@@ -443,7 +447,7 @@ def checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, sf: str) -> DataFrame:
-    target = w.orders_target(spark, sf)
+    target = w.whole_target(spark, sf)
     is_open = F.col("is_active") & (F.col("o_orderstatus") == "O")
     wanted = {"active": F.col("is_active"), "closed": ~F.col("is_active"), "open orders": is_open}
     return stack(*[reports.count_where(target, p).select(F.lit(n).alias("what"), "total_rows") for n, p in wanted.items()])
@@ -536,7 +540,7 @@ QUERIES: dict[str, Query] = {
     "snk01_adopted": adopted,
     "snk02_append_errors": append_errors,
     "snk03_reset": reset,
-    "snk04_append_load": lambda s, d: shown(corrections.append_load([w.orders_before(s, d), w.orders_staging(s, d)], PK)),
+    "snk04_append_load": lambda s, d: shown(corrections.append_load([w.orders_once(s, d), w.orders_delivery(s, d)], PK)),
     "snk06_patch_snapshot": patch_snapshot,
     "snk06_drop_keys": drop_keys,
     "h01_row_hash_keep": lambda s, d: whole_src(s, d).select(PK, "row_hash"),
@@ -564,7 +568,7 @@ QUERIES: dict[str, Query] = {
     "c02_detect_inserts": on_orders(ch.detect_inserts),
     "c03_apply_inserts": lambda s, d: shown(applied(s, d, first=True).target),
     "c04_reactivated": reactivated,
-    "c05_detect_updates": on_orders(ch.detect_updates),
+    "c05_detect_updates": on_whole_book(ch.detect_updates),
     "c06_history_close": target_where(lambda: ended() & ~operation("D")),
     "c07_history_open": target_where(lambda: started() & operation("U")),
     "c06_as_of": stored_as_of,
@@ -575,8 +579,8 @@ QUERIES: dict[str, Query] = {
     "c10_soft_delete": target_where(lambda: operation("D")),
     "c10_hard_delete": target_where(lambda: F.col("is_active"), delete="HARD"),
     "c11_update_ts": update_stamps,
-    "c12_frozen": on_orders(ch.frozen_rows),
-    "c13_detect_unchanged": on_orders(ch.detect_unchanged),
+    "c12_frozen": on_whole_book(ch.frozen_rows),
+    "c13_detect_unchanged": on_whole_book(ch.detect_unchanged),
     "c14_apply_history_soft": full_target("HISTORY", "SOFT"),
     "c14_apply_history_hard": full_target("HISTORY", "HARD"),
     "c14_apply_overwrite_soft": full_target("OVERWRITE", "SOFT"),

@@ -89,19 +89,31 @@ def _delivered(spark: SparkSession, sf_dir: str, here: Column) -> DataFrame:
     )
 
 
-def orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order book at the cut-off, as a snapshot."""
+def orders_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as they once stood, recent ones still open, as a snapshot."""
     still_open = F.col("o_orderdate") >= ts_literal(OPEN_SINCE)
-    return (
-        orders(spark, sf_dir)
-        .where(F.col("o_orderdate") < ts_literal(CUT_OFF))
-        .withColumn("o_orderstatus", F.when(still_open, F.lit("O")).otherwise(F.col("o_orderstatus")))
+    return orders(spark, sf_dir).withColumn(
+        "o_orderstatus", F.when(still_open, F.lit("O")).otherwise(F.col("o_orderstatus"))
     )
 
 
+def orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order book at the cut-off, as a snapshot."""
+    return orders_once(spark, sf_dir).where(F.col("o_orderdate") < ts_literal(CUT_OFF))
+
+
 def orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order book at the cut-off with its closed versions, as a target."""
-    current = with_row_hash(orders_before(spark, sf_dir)).select(
+    return _as_target(spark, sf_dir, orders_before(spark, sf_dir))
+
+
+def whole_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as they once stood with their closed versions, as a target."""
+    return _as_target(spark, sf_dir, orders_once(spark, sf_dir))
+
+
+def _as_target(spark: SparkSession, sf_dir: str, snapshot: DataFrame) -> DataFrame:
+    current = with_row_hash(snapshot).select(
         "*",
         ts_literal(LOADED_TS).alias("start_ts"),
         F.lit(None).cast("timestamp_ntz").alias("end_ts"),
