@@ -4,21 +4,28 @@ The first pass counts, per cell of a filter of ``BITS_PER_ROW`` cells a row, how
 it. The second tests each row: only if all its cells were hit by two rows or more can its hash be
 repeated. Those rows alone, without their texts, are grouped and joined by hash; all others pass
 straight through as groups of one. The test has no false negatives, so the result is exact.
+
+The filter is broadcast in slices of bounded size, one after another, so rows never shuffle for the
+test, whatever their number. A slice costs a broadcast join, and ``SLICES_PER_PASS`` of them a pass
+over the short rows. What is exchanged for the filter are its cells, two numbers per document.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import as_text, small_side, written
+from snapledger.llm.common import BROADCAST_ROWS, as_text, small_side, written
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 BITS_PER_ROW = 16
 HASHES = 2
 WORD_BITS = 6
+#: Slices of the filter that one plan joins; the rows are written before the next ones.
+SLICES_PER_PASS = 8
 
 
 def normalised(text: str) -> Column:
@@ -46,18 +53,26 @@ def repeat_filter(rows: DataFrame, cells_in_all: int) -> DataFrame:
     return repeated.groupBy(F.shiftright("cell", WORD_BITS).alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
-def possibly_repeated(rows: DataFrame) -> DataFrame:
-    """Second pass: ``rows`` with ``possible``, false only for rows whose digest occurs once."""
+def possibly_repeated(rows: DataFrame, words_per_slice: int = BROADCAST_ROWS) -> DataFrame:
+    """Second pass: ``rows`` with ``possible``, false only for rows whose digest occurs once.
+
+    Words are dealt to slices by hash, so a slice has about ``words_per_slice`` of them at most.
+    """
     cells_in_all = max(1 << WORD_BITS, BITS_PER_ROW * rows.count())
     table = written(repeat_filter(rows, cells_in_all), "bloom")
-    probe = small_side(table, table.count())
-    tests = []
+    slices = max(1, math.ceil(table.count() / words_per_slice))
     for i, cell in enumerate(cells(cells_in_all)):
-        side = probe.select(F.col("word").alias(f"word{i}"), F.col("bits").alias(f"bits{i}"))
-        rows = rows.withColumn(f"cell{i}", cell).withColumn(f"word{i}", F.shiftright(f"cell{i}", WORD_BITS))
-        rows = rows.join(side, f"word{i}", "left")
-        set_here = F.expr(f"shiftright(bits{i}, cast(cell{i} & {(1 << WORD_BITS) - 1} as int)) & 1L = 1L")
-        tests.append(F.coalesce(set_here, F.lit(False)))
+        rows = rows.withColumn(f"cell{i}", cell).withColumn(f"set{i}", F.lit(False))
+    for number in range(slices):
+        part = table.filter(F.pmod(F.xxhash64("word"), F.lit(slices)) == number)
+        for i in range(HASHES):
+            side = part.select(F.col("word").alias(f"word{i}"), F.col("bits").alias(f"bits{i}"))
+            rows = rows.join(F.broadcast(side), F.shiftright(f"cell{i}", WORD_BITS) == F.col(f"word{i}"), "left")
+            set_here = F.expr(f"shiftright(bits{i}, cast(cell{i} & {(1 << WORD_BITS) - 1} as int)) & 1L = 1L")
+            rows = rows.withColumn(f"set{i}", F.col(f"set{i}") | F.coalesce(set_here, F.lit(False))).drop(f"word{i}", f"bits{i}")
+        if number + 1 < slices and (number + 1) % SLICES_PER_PASS == 0:
+            rows = written(rows, "probed")
+    tests = [F.col(f"set{i}") for i in range(HASHES)]
     return rows.select("doc_id", "digest", "row", reduce(Column.__and__, tests).alias("possible"))
 
 
@@ -75,8 +90,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     possible = written(tested.filter("possible").drop("possible"), "repeats")
     # Partial aggregation takes a digest that a third of the rows have down to a row per task.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
-    groups = possible.groupBy("digest").agg(first.alias("first"), F.count("*").alias("group_size"))
-    # A digest that very many rows have makes a skewed partition of this join, which is split at run time.
+    groups = written(possible.groupBy("digest").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
+    # Both sides are plain tables, so a partition that a digest of very many rows makes too large is split at run time.
     grouped = possible.join(groups, "digest").select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
@@ -97,9 +112,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     to broadcast. Rows that share both id and text with the kept row are one document given twice
     and stay.
     """
-    groups = exact_groups(docs, id_col, text_col)
-    kept = groups.filter("kept").select(F.col("keep_id").alias("_keep"), "text_sha256")
-    dropped = groups.filter("not kept").join(kept, "text_sha256").filter(~F.col("doc_id").eqNullSafe(F.col("_keep")))
+    dropped = exact_groups(docs, id_col, text_col).filter("not kept and not (doc_id <=> keep_id)")
     dropped = written(dropped.select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_digest")).distinct(), "copies")
     digest = F.unhex(F.sha2(F.encode(normalised(text_col), "UTF-8"), 256))
     side = small_side(dropped, dropped.count())

@@ -57,3 +57,34 @@ def test_no_python_in_the_plan(spark):
     _, docs = messy(spark)
     plan = exact_dedup.exact_groups(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_filter_in_slices_is_the_same_and_moves_no_row(spark):
+    rows = exact_dedup.written(exact_dedup.fingerprints(frame(spark, [(i, f"t{i % 150}") for i in range(200)]), "doc_id", "text"), "rows")
+    whole, sliced = exact_dedup.possibly_repeated(rows), exact_dedup.possibly_repeated(rows, words_per_slice=10)
+    assert sorted(map(str, sliced.collect())) == sorted(map(str, whole.collect()))
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and not re.findall(r"Exchange (hash|range|Round)", plan)
+
+
+def test_a_digest_of_very_many_rows_is_split(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    docs = frame(spark, [(i, "hot" if i % 3 else f"t{i // 2}") for i in range(12_000)], partitions=8)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        groups = exact_dedup.exact_groups(docs)
+        found = groups.collect()
+        plan = groups._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert len(found) == 12_000 and sum(r.group_size == 8000 for r in found) == 8000
