@@ -12,12 +12,16 @@ from snapledger.llm.common import small_side, written
 
 
 def starred(edges: DataFrame) -> DataFrame:
-    """One round: link greater neighbours, then smaller ones, to the smallest node of the neighbourhood."""
+    """One round: link greater neighbours, then smaller ones, to the smallest node of the neighbourhood.
+
+    Both sides of a join are written tables: a node with very many links makes a partition that is
+    split at run time, which an aggregate in the same stage would prevent.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "least")
     large = both.filter("b > a").join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = large.distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    large = written(large.distinct(), "large-star")
+    least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
     small = large.join(least, "a")
     moved = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
