@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +21,27 @@ BROADCAST_ROWS = 1_000_000
 BUCKET_BYTES = 64 << 20
 
 
+def give_back() -> None:
+    """Return unused memory: a worker outlives its task, and the next stage needs what it holds. Arrow keeps what
+    its pool had, and the C library what its heap had."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(function: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``function`` of whole groups; what a group has needed beside its answer is returned before the next one comes."""
+
+    def call(*tables: pa.Table) -> pa.Table:
+        out = function(*tables)
+        give_back()
+        return out
+
+    # Spark tells from the signature how many tables a function takes.
+    return (lambda own, found: call(own, found)) if function.__code__.co_argcount == 2 else (lambda own: call(own))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a parquet table in the shared folder: lineage ends here, and a lost executor loses nothing."""
     path = new_dir(df.sparkSession, label)

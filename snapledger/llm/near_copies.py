@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm import simhash
-from snapledger.llm.common import small_side, written
+from snapledger.llm.common import give_back, small_side, written
 from snapledger.llm.components import Forest, components, paired_chunks, runs
 
 SHINGLE = 5
@@ -45,11 +45,6 @@ FACTORS = _RANDOM.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def give_back() -> None:
-    """Return unused memory: a worker outlives its task, and the next stage needs what it holds."""
-    pa.default_memory_pool().release_unused()
-
-
 def shingles(text: str | None) -> np.ndarray:
     """The hashes of the different shingles of a text, in order. A text of fewer words has one, the whole of
     its words; all texts without a word, NULL among them, have the same one."""

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from snapledger.llm.common import running_total, written
+from snapledger.llm.common import give_back, running_total, written
 from snapledger.llm.hilbert_shards import curve_index
 
 LENGTH = 4096
@@ -102,7 +102,7 @@ class WordTokenizer:
     def forget(self) -> None:
         """Give the memory back: a process outlives its tasks and may have nothing to do for long."""
         self.words, self.pieces = {}, {}
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def others(self, words: list[str]) -> list[bytes]:
         """Ids of words that are not letters with marks after them."""

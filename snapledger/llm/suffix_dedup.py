@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import bucket_count, written
+from snapledger.llm.common import bucket_count, giving_back, written
 
 LENGTH = 100
 GRAM = 32
@@ -275,7 +275,7 @@ def shared_hashes(sent: DataFrame) -> DataFrame:
         columns = list(zip(*out)) or [(), (), ()]
         return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()))], names=["block", "size", "keys"])
 
-    return written(sent.groupBy("bucket").applyInArrow(compare, "block long, size long, keys binary"), "shared")
+    return written(sent.groupBy("bucket").applyInArrow(giving_back(compare), "block long, size long, keys binary"), "shared")
 
 
 def hashes_of(rows: list[dict]) -> np.ndarray:
@@ -334,7 +334,7 @@ def send_segments(blocks: DataFrame, shared: DataFrame, common: np.ndarray, cuts
 
     own = blocks.select("block", "ids", "sizes", "text")
     return own.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        send, "bucket int, block long, size long, numbers binary, text binary"
+        giving_back(send), "bucket int, block long, size long, numbers binary, text binary"
     )
 
 
@@ -449,7 +449,7 @@ def find_repeats(sent: DataFrame) -> DataFrame:
         columns = list(zip(*out)) or [()] * len(kinds)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "size", "starts", "flags"])
 
-    return sent.groupBy("bucket").applyInArrow(compare, "block long, size long, starts binary, flags binary")
+    return sent.groupBy("bucket").applyInArrow(giving_back(compare), "block long, size long, starts binary, flags binary")
 
 
 def remove_repeats(
@@ -510,4 +510,4 @@ def remove_repeats(
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         f"spans array<struct<start:long,length:long>>, kept binary, kept_text string, rest {rest_kind}"
     )
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(remove, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(giving_back(remove), schema)
