@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from snapledger.functions.columns import key_text, ts_literal, valid_key
 from snapledger.functions.hashing import with_row_hash
 from snapledger.operators.keys import repeated_keys
-from snapledger.operators.skew import count_copies, expand_copies, match_keys
+from snapledger.operators.skew import count_copies, expand_copies, flag_keys, match_keys
 
 # The error codes.
 DUPLICATE_INSERT = "DUPLICATE_INSERT"
@@ -50,17 +50,25 @@ def repeated_rows(
     ``keys_fit`` that they were measured and fit a broadcast.
     """
     if keys is None:
-        keys = repeated_keys(src, pk)
+        keys = repeated_keys(src, pk, sized=True)
+    sizes = [F.col("n_bytes").alias("_bytes")] if "n_bytes" in keys.columns else []
     keys = keys.where(_in_duplicate_checks(pk, include_empty_key)).select(
-        pk, F.col("n_rows").alias("_rows"), F.col("is_conflict").alias("_conflict")
+        pk, F.col("n_rows").alias("_rows"), F.col("is_conflict").alias("_conflict"), *sizes
     )
-    matched = match_keys(src, keys, pk, weight="_rows", keys_fit=keys_fit)
-    return count_copies(matched.drop("_rows"))
+    matched = match_keys(src, keys, pk, weight="_rows", keys_fit=keys_fit, size="_bytes" if sizes else None)
+    return count_copies(matched.drop("_rows", "_bytes"))
 
 
 def duplicate_inserts(src: DataFrame, pk: str, include_empty_key: bool = True) -> DataFrame:
-    """Every row that has an equal twin, with ``cnt`` = number of equal rows."""
-    groups = repeated_rows(src, pk, include_empty_key).where(F.col("_copies") > 1)
+    """Every row that has an equal twin, with ``cnt`` = number of equal rows.
+
+    Equal rows have equal hashes, so hashes alone are counted first; whole rows are compared, and travel,
+    only where a hash occurs again.
+    """
+    checked = src.where(_in_duplicate_checks(pk, include_empty_key))
+    again = checked.groupBy("row_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("row_hash")
+    likely = flag_keys(checked, again, "row_hash", "_again").where("_again").select(*[F.col(f"`{c}`") for c in src.columns])
+    groups = count_copies(likely).where(F.col("_copies") > 1)
     rows = groups.withColumn("cnt", F.col("_copies"))
     return expand_copies(rows).select(*src.columns, "cnt")
 
@@ -68,11 +76,11 @@ def duplicate_inserts(src: DataFrame, pk: str, include_empty_key: bool = True) -
 def duplicate_updates(src: DataFrame, pk: str, include_empty_key: bool = True) -> DataFrame:
     """Every row whose key also occurs with other contents."""
     keys = (
-        repeated_keys(src, pk)
+        repeated_keys(src, pk, sized=True)
         .where(F.col("is_conflict") & _in_duplicate_checks(pk, include_empty_key))
-        .select(pk, F.col("n_rows").alias("_rows"))
+        .select(pk, F.col("n_rows").alias("_rows"), F.col("n_bytes").alias("_bytes"))
     )
-    return match_keys(src, keys, pk, weight="_rows").select(*src.columns)
+    return match_keys(src, keys, pk, weight="_rows", size="_bytes").select(*src.columns)
 
 
 def key_errors(src: DataFrame, pk: str) -> DataFrame:

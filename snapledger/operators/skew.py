@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.session import new_dir
@@ -10,6 +12,9 @@ from snapledger.session import new_dir
 # Rows of one key that a reduce task takes; a heavier key is dealt to several tasks.
 ROWS_PER_TASK = 1_000_000
 
+# Bytes of texts of one key that a reduce task takes. Rows may be long, so a key of fewer rows is dealt too.
+BYTES_PER_TASK = 16 << 20
+
 # Copies of one row are written out in runs of this many.
 COPIES_PER_RUN = 65536
 
@@ -20,8 +25,8 @@ LISTED_KEYS = 1_000_000
 def _dealt(rows: DataFrame, heavy: DataFrame, pk: str) -> DataFrame:
     """``rows`` with ``_deal``: 0, or for a heavy key (``_deals`` tasks) one of its tasks.
 
-    ``heavy`` is broadcast: each of its keys has over ``ROWS_PER_TASK`` rows, so there is at most
-    one in so many rows. The deal follows from the place of the row in its partition: snapshots are
+    ``heavy`` is broadcast: each of its keys has over ``ROWS_PER_TASK`` rows or ``BYTES_PER_TASK`` bytes, so
+    there is at most one in so many. The deal follows from the place of the row in its partition: snapshots are
     read from files, so a repeated task deals alike.
     """
     spread = F.xxhash64(F.monotonically_increasing_id())
@@ -29,23 +34,34 @@ def _dealt(rows: DataFrame, heavy: DataFrame, pk: str) -> DataFrame:
     return marked.withColumn("_deal", F.coalesce(F.pmod(spread, F.col("_deals")), F.lit(0))).drop("_deals")
 
 
-def _deals(rows_of_key: str):
-    return F.ceil(F.col(rows_of_key) / F.lit(ROWS_PER_TASK)).cast("long")
+def _deals(rows_of_key: str, bytes_of_key: str | None = None):
+    by_rows = F.ceil(F.col(rows_of_key) / F.lit(ROWS_PER_TASK)).cast("long")
+    if bytes_of_key is None:
+        return by_rows
+    return F.greatest(by_rows, F.ceil(F.col(bytes_of_key) / F.lit(BYTES_PER_TASK)).cast("long"))
+
+
+def text_bytes(rows: DataFrame) -> Column:
+    """Bytes of the texts of a row; all other columns are taken as short."""
+    sizes = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)).cast("long") for f in rows.schema if f.dataType.typeName() in ("string", "binary")]
+    return reduce(lambda a, b: a + b, sizes, F.lit(0).cast("long"))
 
 
 def match_keys(
-    rows: DataFrame, keys: DataFrame, pk: str, weight: str, keys_fit: bool = False
+    rows: DataFrame, keys: DataFrame, pk: str, weight: str, keys_fit: bool = False, size: str | None = None
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``keys`` (one row per key, ``weight`` = rows of that key).
+    """Inner join of ``rows`` with ``keys`` (one row per key, ``weight`` = rows of that key, ``size`` = their
+    bytes if they are known).
 
-    A key with more rows than a task takes is dealt to as many tasks as its weight asks for, and its
+    A key with more rows or bytes than a task takes is dealt to as many tasks as it asks for, and its
     row of ``keys`` goes to each of them. ``keys_fit`` says that the caller measured ``keys`` and that
     all of them may be broadcast.
     """
     if keys_fit:
         return rows.join(F.broadcast(keys), pk)
-    heavy = keys.where(F.col(weight) > ROWS_PER_TASK).select(pk, _deals(weight).alias("_deals"))
-    copied = keys.withColumn("_deal", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(_deals(weight), F.lit(1)) - 1)))
+    deals = _deals(weight, size)
+    heavy = keys.where(deals > 1).select(pk, deals.alias("_deals"))
+    copied = keys.withColumn("_deal", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(deals, F.lit(1)) - 1)))
     return _dealt(rows, heavy, pk).join(copied, [pk, "_deal"]).drop("_deal")
 
 

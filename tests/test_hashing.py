@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapledger.functions.hashing import with_row_hash
+from snapledger.operators.keys import key_summary
 
 
 def hashes(df, **options):
@@ -116,3 +117,19 @@ def test_decimal_scale_is_part_of_the_text(spark):
     df = spark.createDataFrame([(Decimal("1.50"),), (Decimal("1.5"),)], "v decimal(18,2)")
     a, b = hashes(df)
     assert a == b
+
+
+def test_a_hash_is_folded_as_whole_numbers_without_loss(spark):
+    """Digits at both ends of the range of a number, and leading zeros, come back as they were."""
+    hashes = ["0" * 64, "f" * 64, "8" + "0" * 63, "7" + "f" * 63, "0" * 15 + "1" + "f" * 16 + "8" + "0" * 15 + "0" * 15 + "a", "0123456789abcdef" * 4]
+    rows = spark.createDataFrame([(f"k{i}", h) for i, h in enumerate(hashes)] + [("twice", hashes[0]), ("twice", hashes[4])], "id string, row_hash string")
+    found = {r.id: r for r in key_summary(rows, "id").collect()}
+    assert [found[f"k{i}"].only_hash for i in range(len(hashes))] == hashes
+    assert found["twice"].is_conflict and not found["k1"].is_conflict
+    assert plan_numbers(rows) == 4
+
+
+def plan_numbers(rows):
+    """Numbers that are made of a hash: each once, not again for the other end."""
+    optimized = key_summary(rows, "id")._jdf.queryExecution().optimizedPlan().toString()
+    return optimized.count("conv(")

@@ -124,3 +124,22 @@ def test_counts_without_error_rows(src):
     assert tuple(quality.count_errors(src, "id").first()) == (6, 6, 5)
     assert tuple(quality.count_errors(src, "id", include_empty_key=False).first()) == (4, 3, 5)
     assert tuple(quality.count_errors(src.where("id = 'k2'"), "id").first()) == (0, 0, 0)
+
+
+def test_a_key_of_few_long_rows_is_dealt_to_several_tasks(spark, monkeypatch):
+    """100 rows of one key are far fewer than a task takes, but their texts are more bytes than that."""
+    monkeypatch.setattr(skew, "BYTES_PER_TASK", 1000, raising=False)
+    seen = []
+    monkeypatch.setattr(skew, "_dealt", lambda rows, *a, f=skew._dealt: seen.append(f(rows, *a)) or seen[-1])
+    src = with_row_hash(spark.range(100).selectExpr("'only' as id", "repeat(cast(id % 50 as string), 50) as v"))
+    assert quality.duplicate_updates(src, "id").count() == 100
+    assert seen[0].select("_deal").distinct().count() > 1
+
+
+def test_rows_without_a_twin_do_not_travel_to_find_the_others(spark, monkeypatch):
+    """Of 100 rows of one key 20 have a twin, and these alone are folded as a whole."""
+    folded = []
+    monkeypatch.setattr(quality, "count_copies", lambda rows, f=skew.count_copies: folded.append(rows) or f(rows))
+    src = with_row_hash(spark.range(100).selectExpr("'only' as id", "if(id < 20, id % 10, id) as v"))
+    assert sorted((r.v, r.cnt) for r in quality.duplicate_inserts(src, "id").collect()) == sorted([(v, 2) for v in range(10)] * 2)
+    assert folded[0].count() == 20
