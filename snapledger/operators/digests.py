@@ -60,6 +60,18 @@ def differing_groups(new: dict[str, list[int]], old: dict[str, list[int]]) -> li
     return sorted(int(g) for g in {*new, *old} if new.get(g) != old.get(g))
 
 
+def all_counts_differ(new: dict[int, int], old: dict[str, list[int]]) -> bool:
+    """Whether the rows of every single group are more or fewer than before."""
+    return all(new.get(g, 0) != old.get(str(g), [0])[0] for g in range(GROUPS))
+
+
+def counts_differ(rows: DataFrame, old: DataFrame, pk: str, key_type: T.DataType | None = None) -> int:
+    """Buckets whose number of rows with a valid key differs from that of their digest."""
+    new = rows.groupBy(bucket(pk, key_type).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    net = new.unionByName(old.select("bucket", (-F.col("n")).alias("n"))).groupBy("bucket").agg(F.sum("n").alias("n"))
+    return net.where("n <> 0").count()
+
+
 def differing(new: DataFrame, old: DataFrame) -> DataFrame:
     """Buckets (one column) whose digests differ; at most ``BUCKETS`` rows."""
     signed = new.unionByName(old.select("bucket", *[(-F.col(c)).alias(c) for c in SUMS]))

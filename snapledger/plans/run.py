@@ -143,12 +143,20 @@ class Scope:
 def find_scope(store: VersionStore, state: Commit, hashed: DataFrame, fine_from: int = FINE_FROM) -> Scope:
     """Compare the digests of the snapshot with those of the target: first those of groups of buckets,
     then, in the groups that differ, those of buckets. The second level costs another pass over the
-    keys of these groups; where all groups differ it is left out for a target of fewer than ``fine_from`` rows."""
+    keys of these groups; where all groups differ it is left out for a target of fewer than ``fine_from`` rows.
+    Rows are counted before any is hashed: where the counts alone tell that nothing is to be left out,
+    no row is hashed for it."""
     pk = state.primary_key
     key_type = state.columns()[pk].dataType
     place = digests.bucket(pk, key_type)
     valid = valid_key(pk)
     group = F.when(valid, digests.group_of(place)).otherwise(F.lit(-1))
+    counted = {r.bucket: r["count"] for r in hashed.groupBy(group.alias("bucket")).count().collect()}
+    missing = counted.pop(-1, 0)
+    if digests.all_counts_differ(counted, state.digest_sums) and (
+        state.active_rows < fine_from or digests.counts_differ(hashed.where(valid), store.digests(state), pk, key_type) >= digests.BUCKETS // 2
+    ):
+        return Scope(F.lit(True), F.lit(True), missing)
     seen = digests.as_dict(digests.added_up(hashed.select(group.alias("bucket"), *digests.row_sums("row_hash")), F.col("bucket")))
     missing = seen.pop("-1", [0])[0]
     groups = digests.differing_groups(seen, state.digest_sums)

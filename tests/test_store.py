@@ -189,3 +189,20 @@ def test_versions_are_merged_as_runs_go_on(spark, store, monkeypatch):
     assert Counter(tuple(r) for r in store.read_active("A").select("id", "v").collect()) == Counter(rows)
     assert store.read_closed("A").count() == closed
     assert set(PLACE).isdisjoint(store.read_target("A").columns)
+
+
+@pytest.mark.parametrize("fine_from", [0, 1 << 24])
+def test_rows_are_not_hashed_for_a_scope_that_their_number_tells(spark, store, monkeypatch, fine_from):
+    """All groups and buckets of keys get more rows, so all are compared; with as many rows as before the hashes decide."""
+    compared = []
+    monkeypatch.setattr(dg, "BUCKETS", 1 << 10)
+    monkeypatch.setattr(runs.digests, "group_of", lambda place: F.shiftright(place, 2))
+    monkeypatch.setattr(runs.digests, "differing_groups", lambda *a, f=dg.differing_groups: compared.append(a) or f(*a))
+    monkeypatch.setattr(runs, "find_scope", lambda *a, f=runs.find_scope: f(*a, fine_from=fine_from))
+    go(spark, store, [(f"k{k}", "a") for k in range(6000)], 0)
+    assert not compared
+    found = go(spark, store, [(f"k{k}", "b" if k % 3 else "a") for k in range(20000)] + [("", "e"), (None, "n")], 1)
+    assert not compared
+    assert (found["rows_inserted"], found["rows_updated"], found["rows_unchanged"], found["key_errors"]) == (14000, 4000, 2000, 2)
+    assert go(spark, store, [(f"k{k}", "b" if k % 3 else "a") for k in range(20000)], 2)["rows_unchanged"] == 20000
+    assert len(compared) == 1

@@ -8,6 +8,8 @@ key. Every row of the table takes part. Customers follow the same scheme by mark
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,12 +54,20 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _variants(df: DataFrame, pk: str, status: str, variants: list[tuple[Column, Column, Column]]) -> DataFrame:
-    """One scan, each row written out once per variant ``(condition, key, status)`` that holds."""
-    options = F.array_compact(
-        F.array(*[F.when(c, F.struct(k.alias("k"), s.alias("s"))) for c, k, s in variants])
-    )
-    out = df.withColumn("_v", F.explode(options))
-    replaced = {pk: F.col("_v.k"), status: F.col("_v.s")}
+    """One scan, each row written out once per variant ``(condition, key, status)`` that holds. Rows are
+    written out with the number of a variant and then tested, so that all of it is compiled."""
+
+    def of_variant(values: list[Column]) -> Column:
+        chosen = F.when(F.col("_v") == 0, values[0])
+        for number, value in enumerate(values[1:], start=1):
+            chosen = chosen.when(F.col("_v") == number, value)
+        return chosen
+
+    conditions, new_keys, statuses = zip(*variants)
+    any_holds = reduce(lambda a, b: a | b, conditions)
+    numbers = F.explode(F.array(*[F.lit(number) for number in range(len(variants))]))
+    out = df.where(any_holds).withColumn("_v", numbers).where(of_variant(conditions))
+    replaced = {pk: of_variant(new_keys), status: of_variant(statuses)}
     return out.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
 
 
